@@ -25,45 +25,44 @@ ARTICLES_EN = ("a", "an")
 ARTICLES_ES = ("un", "una")
 
 
-def _unit_days(word: Column, units) -> Column:
+def _unit_length(word: Column, units) -> Column:
     return reduce(lambda chain, unit: chain.when(word.isin(*unit[0]), F.lit(unit[1])), units, F.when(F.lit(False), 0))
 
 
-def _days(count: Column, unit: Column, units, articles, compat: bool) -> Column:
-    unit_days = _unit_days(unit, units)
-    is_article = count.isin(*articles)
+def _total(count: Column, unit_days: Column, is_article: Column, compat: bool) -> Column:
     # In compat mode "a week" counts as one day, as in the published results of older runs.
-    one_unit = F.when(F.lit(compat) & (unit_days == 7), F.lit(1)).otherwise(unit_days)
+    one_unit = F.when(unit_days == 7, F.lit(1)).otherwise(unit_days) if compat else unit_days
     return (
-        F.when(unit_days == 0, F.lit(0))
-        .when(is_article, one_unit)
-        .otherwise(count.try_cast("int") * unit_days)
+        F.when(unit_days == 0, F.lit(0)).when(is_article, one_unit).otherwise(count.try_cast("int") * unit_days)
     )
 
 
-def days_en(text: Column, compat: bool = False) -> Column:
-    """Days before the capture for English text; null when the text is not understood."""
-    words = F.split(F.lower(text), " ")
-    return _days(F.get(words, 0), F.get(words, 1), UNITS_EN, ARTICLES_EN, compat)
+def with_days_before(df: DataFrame, text: str = "time", language: str = "language", compat: bool = False) -> DataFrame:
+    """Add days_before_scrape; null when the language or the text is not understood.
 
-
-def days_es(text: Column, compat: bool = False) -> Column:
-    """Days before the capture for Spanish text, which must begin with ``hace``."""
-    words = F.split(F.lower(text), " ")
-    days = _days(F.get(words, 1), F.get(words, 2), UNITS_ES, ARTICLES_ES, compat)
-    return F.when(F.get(words, 0) == "hace", days)
-
-
-def days_before(text: Column, language: Column, compat: bool = False) -> Column:
-    """Choose the rule by language; null for a language without one."""
-    return F.when(language == "en", days_en(text, compat)).when(language == "es", days_es(text, compat))
+    English reads ``<count> <unit> ago``, Spanish ``hace <count> <unit>``. The steps are
+    columns of their own, so that each is worked out once per row.
+    """
+    spanish = F.col(language) == "es"
+    readable = (F.col(language) == "en") | (spanish & (F.get("_words", F.lit(0)) == "hace"))
+    is_article = F.when(spanish, F.col("_count").isin(*ARTICLES_ES)).otherwise(F.col("_count").isin(*ARTICLES_EN))
+    return (
+        df.withColumn("_words", F.split(F.lower(text), " "))
+        .withColumn("_at", F.when(readable, F.when(spanish, F.lit(1)).otherwise(F.lit(0))))
+        .withColumns({"_count": F.get("_words", F.col("_at")), "_unit": F.get("_words", F.col("_at") + 1)})
+        .withColumn(
+            "_unit_days",
+            F.when(spanish, _unit_length(F.col("_unit"), UNITS_ES)).otherwise(_unit_length(F.col("_unit"), UNITS_EN)),
+        )
+        .withColumn("days_before_scrape", _total(F.col("_count"), F.col("_unit_days"), is_article, compat))
+        .drop("_words", "_at", "_count", "_unit", "_unit_days")
+    )
 
 
-def age_error(text: Column, language: Column, compat: bool = False) -> Column:
-    """Why an age is null, or null when it is known."""
+def age_error(days: Column, language: Column) -> Column:
+    """Why an age is null (``language`` or ``text``), or null when it is known."""
     return (
-        F.when(~F.coalesce(language.isin("en", "es"), F.lit(False)), F.lit("language"))
-        .when(days_before(text, language, compat).isNull(), F.lit("text"))
+        F.when(~F.coalesce(language.isin("en", "es"), F.lit(False)), F.lit("language")).when(days.isNull(), F.lit("text"))
     )
 
 
@@ -81,12 +80,12 @@ def with_review_age(
 ) -> DataFrame:
     """Add days_before_scrape, review_date, age_in_days, age_precision and age_error."""
     return (
-        df.withColumn("days_before_scrape", days_before(F.col(text), F.col(language), compat))
+        with_days_before(df, text, language, compat)
         .withColumn("review_date", F.date_sub(F.col(scrape_ds), F.col("days_before_scrape")))
         .withColumns({
             "age_in_days": F.datediff(as_of, F.col("review_date")),
             "age_precision": precision(F.col("days_before_scrape")),
-            "age_error": age_error(F.col(text), F.col(language), compat),
+            "age_error": age_error(F.col("days_before_scrape"), F.col(language)),
         })
     )
 

@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from atlaslens.functions.text import strip
 
 
-def _tidy(parts: Column) -> Column:
-    return F.filter(F.transform(parts, strip), lambda part: F.length(part) > 0)
+def _part(position: Column) -> Column:
+    """The part at a 1-based position (negative from the end), null when there is none."""
+    return F.try_element_at(F.col("_parts"), F.nullif(position, F.lit(0)).cast("int"))
 
 
-def _first_with(parts: Column, tag: Column) -> Column:
+def _first_with(tag: Column) -> Column:
     """1-based position of the first part containing the tag, 0 when there is none."""
-    return F.coalesce(F.array_position(F.transform(parts, lambda part: F.contains(part, tag)), True), F.lit(0))
+    return F.coalesce(F.array_position(F.transform("_parts", lambda part: F.contains(part, tag)), True), F.lit(0))
 
 
-def split_parts(parts: Column, translated_tag: Column, original_tag: Column) -> Column:
-    """``struct<original, translated>`` from the texts of the children of a full review.
+def with_bilingual_texts(
+    df: DataFrame, full_parts: Column, single_text: Column, translated_tag: Column, original_tag: Column,
+) -> DataFrame:
+    """Add ``original`` and ``translated`` of each review.
+
+    ``full_parts`` holds the texts of the children of a full review; where it is null
+    the single text is both original and translation. With parts:
 
     * A part equal to the translated tag: the next part is the translation and the
       previous one the original. With the tag first, "previous" is the last part,
@@ -27,39 +33,38 @@ def split_parts(parts: Column, translated_tag: Column, original_tag: Column) ->
       the part after a part equal to the original tag, or the rest of the part
       containing that tag, or empty.
     * No tag (or nothing beside it): both are the first part, or empty.
-    """
-    tidy = _tidy(parts)
-    at = _first_with(tidy, translated_tag)
-    tagged = F.try_element_at(tidy, F.nullif(at, F.lit(0)).cast("int"))
-    after = F.try_element_at(tidy, (at + 1).cast("int"))
-    before = F.when(
-        F.size(tidy) > 1, F.try_element_at(tidy, F.when(at == 1, F.lit(-1)).otherwise((at - 1).cast("int")))
-    ).otherwise(F.lit(""))
-    rest = strip(F.replace(tagged, translated_tag, F.lit("")))
-
-    original_at = _first_with(tidy, original_tag)
-    original_part = F.try_element_at(tidy, F.nullif(original_at, F.lit(0)).cast("int"))
-    after_original = F.try_element_at(tidy, (original_at + 1).cast("int"))
-    sought = F.when(original_at == 0, F.lit("")).otherwise(
-        F.when((original_part == original_tag) & after_original.isNotNull(), after_original)
-        .otherwise(strip(F.replace(original_part, original_tag, F.lit(""))))
-    )
-    first = F.coalesce(F.try_element_at(tidy, F.lit(1)), F.lit(""))
-
-    def pair(original: Column, translated: Column) -> Column:
-        return F.struct(original.alias("original"), translated.alias("translated"))
 
-    return (
-        F.when(at == 0, pair(first, first))
-        .when(tagged == translated_tag, pair(before, after))
-        .when(rest == "", pair(first, first))
-        .otherwise(pair(sought, rest))
-    )
-
-
-def split_review(full_parts: Column, single_text: Column, translated_tag: Column, original_tag: Column) -> Column:
-    """As ``split_parts``; a review without full text (null parts) uses the single text for both."""
-    single = F.coalesce(strip(single_text), F.lit(""))
-    return F.when(full_parts.isNotNull(), split_parts(full_parts, translated_tag, original_tag)).otherwise(
-        F.struct(single.alias("original"), single.alias("translated"))
+    The steps are columns of their own, so that each is worked out once per row.
+    """
+    single = F.array(F.coalesce(strip(single_text), F.lit("")))
+    tidy = F.filter(F.transform(full_parts, strip), lambda part: F.length(part) > 0)
+    t, o = F.col("_t"), F.col("_o")
+    staged = (
+        df.withColumns({
+            "_parts": F.when(full_parts.isNull(), single).otherwise(tidy), "_ttag": translated_tag, "_otag": original_tag,
+        })
+        .withColumns({
+            "_t": F.when(full_parts.isNull(), F.lit(0)).otherwise(_first_with(F.col("_ttag"))),
+            "_o": _first_with(F.col("_otag")),
+        })
+        .withColumns({
+            "_first": F.coalesce(_part(F.lit(1)), F.lit("")),
+            "_tagged": _part(t),
+            "_after": _part(t + 1),
+            "_before": F.when(F.size("_parts") > 1, _part(F.when(t == 1, F.lit(-1)).otherwise(t - 1))).otherwise(F.lit("")),
+            "_marked": _part(o),
+            "_next": F.when(o > 0, _part(o + 1)),
+        })
+        .withColumns({
+            "_rest": strip(F.replace("_tagged", "_ttag", F.lit(""))),
+            "_sought": F.when(o == 0, F.lit(""))
+            .when((F.col("_marked") == F.col("_otag")) & F.col("_next").isNotNull(), F.col("_next"))
+            .otherwise(strip(F.replace("_marked", "_otag", F.lit("")))),
+        })
     )
+    untagged = (t == 0) | ((F.col("_tagged") != F.col("_ttag")) & (F.col("_rest") == ""))
+    exact = F.col("_tagged") == F.col("_ttag")
+    return staged.withColumns({
+        "original": F.when(untagged, F.col("_first")).when(exact, F.col("_before")).otherwise(F.col("_sought")),
+        "translated": F.when(untagged, F.col("_first")).when(exact, F.col("_after")).otherwise(F.col("_rest")),
+    }).drop("_parts", "_ttag", "_otag", "_t", "_o", "_first", "_tagged", "_after", "_before", "_marked", "_next", "_rest", "_sought")

@@ -19,18 +19,21 @@ _LEVEL_SHIFT = 56
 _X_SHIFT = 28
 
 
+def _bounded(value: Column, low, high) -> Column:
+    """Value kept between two bounds. Unlike greatest and least, null stays null."""
+    return F.when(value < low, F.lit(low)).when(value > high, F.lit(high)).otherwise(value)
+
+
 def tile_x(lng: Column, level: int) -> Column:
     side = 2**level
-    x = F.floor((lng + 180.0) / 360.0 * side)
-    return F.greatest(F.lit(0), F.least(F.lit(side - 1), x)).cast("long")
+    return _bounded(F.floor((lng + 180.0) / 360.0 * side), 0, side - 1).cast("long")
 
 
 def tile_y(lat: Column, level: int) -> Column:
     side = 2**level
-    bounded = F.greatest(F.lit(-MAX_LATITUDE), F.least(F.lit(MAX_LATITUDE), lat))
-    radians = F.radians(bounded)
+    radians = F.radians(_bounded(lat, -MAX_LATITUDE, MAX_LATITUDE))
     y = F.floor((1.0 - F.log(F.tan(radians) + 1.0 / F.cos(radians)) / math.pi) / 2.0 * side)
-    return F.greatest(F.lit(0), F.least(F.lit(side - 1), y)).cast("long")
+    return _bounded(y, 0, side - 1).cast("long")
 
 
 def cell_id(x: Column, y: Column, level: int) -> Column:

@@ -7,95 +7,130 @@ receives only the page column and returns arrays, with all further rules in colu
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
+import html
+import re
+import sys
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql.functions import arrow_udf
 
-# Elements that never have content.
+# The code below travels with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Elements that never have content, and elements whose content is not page text.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+RAW = frozenset(("script", "style"))
+
+TAG = re.compile(
+    r"""<!--.*?(?:-->|\Z) | <[!?][^>]*> | <(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*'|["'])*+)>""", re.S | re.X
+)
+ATTRIBUTE = re.compile(r"""([^\s/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s]+))?""")
 
 
 class _Element:
-    __slots__ = ("tag", "attrs", "children", "source")
+    """An element as ranges: of elements below it, of texts below it, and of its source."""
+
+    __slots__ = ("tag", "raw", "index", "last", "text_from", "text_to", "start", "end")
 
-    def __init__(self, tag: str, attrs, source: str) -> None:
-        self.tag, self.attrs, self.children, self.source = tag, dict(attrs), [], source
+    def __init__(self, tag: str, raw: str, index: int, text_from: int, start: int, end: int) -> None:
+        self.tag, self.raw, self.index, self.last = tag, raw, index, index
+        self.text_from, self.text_to, self.start, self.end = text_from, text_from, start, end
+
+    def attribute(self, name: str) -> str | None:
+        if name not in self.raw:
+            return None
+        for key, value in ATTRIBUTE.findall(self.raw):
+            if key.lower() == name:
+                return html.unescape(value[1:-1] if value[:1] in ("'", '"') else value)
+        return None
 
     def has_class(self, wanted: str) -> bool:
-        value = self.attrs.get("class") or ""
+        if wanted not in self.raw and "&" not in self.raw:
+            return False
+        value = self.attribute("class") or ""
         return value == wanted or wanted in value.split()
 
-    def descendants(self):
-        """Elements below this one in document order."""
-        stack = self.children[::-1]
-        while stack:
-            node = stack.pop()
-            if isinstance(node, _Element):
-                yield node
-                stack.extend(node.children[::-1])
-
-    def text(self, with_tags: bool = False) -> str:
-        """All text below, in order; with start tags when the markup is wanted."""
-        pieces, stack = [self.source] if with_tags else [], self.children[::-1]
-        while stack:
-            node = stack.pop()
-            if isinstance(node, str):
-                pieces.append(node)
-            else:
-                if with_tags:
-                    pieces.append(node.source)
-                stack.extend(node.children[::-1])
-        return "".join(pieces)
-
-
-class _Page(HTMLParser):
-    """Forgiving tree: an end tag closes the nearest open element of its name."""
-
-    def __init__(self, content: str) -> None:
-        super().__init__(convert_charrefs=True)
-        self.root = _Element("", (), "")
-        self._open = [self.root]
-        self._open_tags: dict[str, int] = {}
-        self.feed(content)
-        self.close()
-
-    def handle_starttag(self, tag, attrs):
-        element = _Element(tag, attrs, self.get_starttag_text() or "")
-        self._open[-1].children.append(element)
-        if tag not in VOID:
-            self._open.append(element)
-            self._open_tags[tag] = self._open_tags.get(tag, 0) + 1
-
-    def handle_startendtag(self, tag, attrs):
-        self._open[-1].children.append(_Element(tag, attrs, self.get_starttag_text() or ""))
-
-    def handle_endtag(self, tag):
-        if not self._open_tags.get(tag):
-            return
-        while True:
-            closed = self._open.pop()
-            self._open_tags[closed.tag] -= 1
-            if closed.tag == tag:
-                return
-
-    def handle_data(self, data):
-        self._open[-1].children.append(data)
-
-    def select(self, tag: str, css_class: str | None = None):
-        for element in self.root.descendants():
-            if element.tag == tag and (css_class is None or element.has_class(css_class)):
-                yield element
-
-
-def _field(element: _Element, field: str) -> str | None:
+
+class _Page:
+    """The elements of a page in document order.
+
+    Forgiving about markup: an end tag closes the nearest open element of its name
+    and all inside it, an end tag without one is ignored.
+    """
+
+    def __init__(self, source: str) -> None:
+        self.source, self.elements, self.texts = source, [], []
+        open_elements, open_tags, at = [], {}, 0
+
+        def close(end: int) -> str:
+            element = open_elements.pop()
+            element.last, element.text_to, element.end = len(self.elements) - 1, len(self.texts), end
+            open_tags[element.tag] -= 1
+            return element.tag
+
+        while (found := TAG.search(source, at)) is not None:
+            self._add_text(source[at:found.start()])
+            at = found.end()
+            slash, tag, raw = found.groups()
+            if tag is None:
+                continue
+            tag = tag.lower()
+            if slash:
+                while open_tags.get(tag) and close(at) != tag:
+                    pass
+                continue
+            element = _Element(tag, raw, len(self.elements), len(self.texts), found.start(), at)
+            self.elements.append(element)
+            if tag in RAW:
+                end = re.compile(f"</{tag}", re.I).search(source, at)
+                at = end.start() if end else len(source)
+            if tag not in VOID and not raw.endswith("/"):
+                open_elements.append(element)
+                open_tags[tag] = open_tags.get(tag, 0) + 1
+        self._add_text(source[at:])
+        while open_elements:
+            close(len(source))
+
+    def _add_text(self, text: str) -> None:
+        if text:
+            self.texts.append(html.unescape(text) if "&" in text else text)
+
+    def select(self, tag: str, css_class: str | None = None) -> list[_Element]:
+        return [e for e in self.elements if e.tag == tag and (css_class is None or e.has_class(css_class))]
+
+    def below(self, element: _Element, tag: str) -> list[_Element]:
+        return [e for e in self.elements[element.index + 1:element.last + 1] if e.tag == tag]
+
+    def text(self, element: _Element) -> str:
+        return "".join(self.texts[element.text_from:element.text_to])
+
+    def parts(self, element: _Element) -> list[str | _Element]:
+        """Texts and elements directly inside an element, in order."""
+        found, text_at, index = [], element.text_from, element.index + 1
+        while index <= element.last:
+            child = self.elements[index]
+            found += self.texts[text_at:child.text_from]
+            found.append(child)
+            text_at, index = child.text_to, child.last + 1
+        return found + self.texts[text_at:element.text_to]
+
+    def lead(self, element: _Element) -> str:
+        """Text before the first element inside."""
+        first = next(iter(self.parts(element)), "")
+        return first if isinstance(first, str) else ""
+
+    def outer(self, element: _Element) -> str:
+        return self.source[element.start:element.end]
+
+
+def _field(page: _Page, element: _Element, field: str) -> str | None:
     if field == "text":
-        return element.text()
+        return page.text(element)
     if field == "lead":
-        first = element.children[0] if element.children else ""
-        return first if isinstance(first, str) else ""
-    return element.attrs.get(field.removeprefix("attr:"))
+        return page.lead(element)
+    return element.attribute(field.removeprefix("attr:"))
 
 
 def select_fields(content: Column, wanted: dict[str, tuple[str, str | None, str]]) -> Column:
@@ -113,7 +148,7 @@ def select_fields(content: Column, wanted: dict[str, tuple[str, str | None, str]
             page = _Page(content.as_py() or "")
             row = {}
             for name, (tag, css_class, field) in wanted.items():
-                values = (_field(element, field) for element in page.select(tag, css_class))
+                values = (_field(page, element, field) for element in page.select(tag, css_class))
                 row[name] = [value for value in values if value is not None]
             rows.append(row)
         return pa.array(rows, type=result)
@@ -133,16 +168,16 @@ _REVIEW_LISTS_ARROW = pa.struct([
 ])
 
 
-def _review(block: _Element, full_class: str, single_class: str) -> dict:
-    spans = [element for element in block.descendants() if element.tag == "span"]
+def _review(page: _Page, block: _Element, full_class: str, single_class: str) -> dict:
+    spans = page.below(block, "span")
     full = next((span for span in spans if span.has_class(full_class)), None)
     if full is not None:
-        parts = [child if isinstance(child, str) else child.text() for child in full.children]
+        parts = [part if isinstance(part, str) else page.text(part) for part in page.parts(full)]
         return {"parts": parts, "single": None}
     holder = next((span for span in spans if span.has_class(single_class)), None)
-    group = holder.children[1] if holder is not None and len(holder.children) > 1 else None
-    lead = _field(group, "lead") if isinstance(group, _Element) else ""
-    return {"parts": None, "single": lead}
+    parts = page.parts(holder) if holder is not None else []
+    group = parts[1] if len(parts) > 1 else None
+    return {"parts": None, "single": page.lead(group) if isinstance(group, _Element) else ""}
 
 
 def review_lists(content: Column, stars: Column, review: Column, single: Column, full: Column,
@@ -159,11 +194,11 @@ def review_lists(content: Column, stars: Column, review: Column, single: Column,
                 continue
             page = _Page(content or "")
             rows.append({
-                "reviews": [_review(block, full_class, single_class) for block in page.select("div", review_class)],
-                "names": [element.text() for element in page.select("div", name_class)],
-                "times": [element.text() for element in page.select("div", time_class)],
+                "reviews": [_review(page, block, full_class, single_class) for block in page.select("div", review_class)],
+                "names": [page.text(element) for element in page.select("div", name_class)],
+                "times": [page.text(element) for element in page.select("div", time_class)],
                 "stars": [
-                    {"label": element.attrs.get("aria-label"), "outer": element.text(with_tags=True)}
+                    {"label": element.attribute("aria-label"), "outer": page.outer(element)}
                     for element in page.select("span", stars_class)
                 ],
             })

@@ -62,17 +62,20 @@ def is_stop(
     )
 
 
-def take_until_stop(pages: DataFrame, keys: Sequence[str] = PAGE_KEY) -> DataFrame:
+def take_until_stop(
+    pages: DataFrame, keys: Sequence[str] = PAGE_KEY, max_pages: int = config.MAX_PAGES,
+) -> DataFrame:
     """Pages up to and including the first stopping page of their key.
 
-    The first stop is a minimum, combined before the shuffle, and not a running
-    window over all pages of a key.
+    Expects one row per key and page. Paging never goes beyond the page limit, so a
+    window holds at most ``max_pages`` rows, whatever the number of reviews of a key.
     """
-    first_stop = pages.where("is_stop").groupBy(*keys).agg(F.min("page_number").alias("_first_stop"))
+    before = Window.partitionBy(*keys).orderBy("page_number").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        pages.join(first_stop, list(keys), "left")
-        .where(F.col("_first_stop").isNull() | (F.col("page_number") <= F.col("_first_stop")))
-        .drop("_first_stop")
+        pages.where(F.col("page_number") < max_pages)
+        .withColumn("_stopped", F.max("is_stop").over(before))
+        .where(~F.coalesce("_stopped", F.lit(False)))
+        .drop("_stopped")
     )
 
 

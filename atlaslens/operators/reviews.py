@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from atlaslens import config
 from atlaslens.functions import text as tx
 from atlaslens.functions.age import with_review_age
-from atlaslens.functions.bilingual import split_review
+from atlaslens.functions.bilingual import with_bilingual_texts
 from atlaslens.functions.html import review_lists
 
 
@@ -20,9 +20,10 @@ def zip_lists(df: DataFrame, lists: dict[str, str], position: str = "position")
     # A null list would make the whole zip null, so it counts as empty.
     filled = df.withColumns({column: F.coalesce(F.col(column), F.array()) for column in lists})
     first = next(iter(lists))
-    zipped = filled.select(
-        *(column for column in df.columns if column not in lists),
-        F.size(first).alias("_first_size"),
+    # The size is taken before the lists are exploded, else each row would carry the whole first list.
+    sized = filled.withColumn("_first_size", F.size(first))
+    zipped = sized.select(
+        *(column for column in sized.columns if column not in lists),
         F.posexplode(F.arrays_zip(*lists)).alias(position, "_zipped"),
     )
     return zipped.select(
@@ -66,14 +67,14 @@ def parse_pages(pages: DataFrame, parsers: DataFrame, as_of: Column, compat_age:
         with_review_lists(pages, parsers),
         {"reviews": "review", "names": "raw_name", "times": "raw_time", "stars": "star"},
     )
-    texts = split_review(
-        F.col("review.parts"), F.col("review.single"), F.col("translated_tag"), F.col("original_tag")
+    texts = with_bilingual_texts(
+        rows, F.col("review.parts"), F.col("review.single"), F.col("translated_tag"), F.col("original_tag")
     )
+    aligned = F.col("aligned")
     reviews = (
-        rows.withColumn("_texts", F.when(F.col("aligned"), texts))
-        .withColumns({
-            "review_original": F.col("_texts.original"),
-            "review_target_language": F.col("_texts.translated"),
+        texts.withColumns({
+            "review_original": F.when(aligned, F.col("original")),
+            "review_target_language": F.when(aligned, F.col("translated")),
             "language": F.col("scrape_language"),
             "reviewer_name": tx.clean_name(F.col("raw_name")),
             "time": tx.collapse_whitespace(F.col("raw_time")),
@@ -81,7 +82,7 @@ def parse_pages(pages: DataFrame, parsers: DataFrame, as_of: Column, compat_age:
             "restaurant_name": F.col("name"),
         })
         .withColumn("unique_review_id", tx.review_id(F.col("place_id"), F.col("reviewer_name"), F.col("language")))
-        .drop("_texts", "review", "raw_name", "raw_time", "star", "translated_tag", "original_tag", "name",
-              "scrape_language")
+        .drop("original", "translated", "review", "raw_name", "raw_time", "star", "translated_tag", "original_tag",
+              "name", "scrape_language")
     )
     return with_review_age(reviews, as_of, compat=compat_age)

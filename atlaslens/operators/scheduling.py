@@ -75,7 +75,7 @@ def even_slots(keys: DataFrame, key: str, hours: float = 24.0, seed: int = 10, d
     within = F.row_number().over(Window.partitionBy("_bucket").orderBy("_hash")) - 1
     return (
         hashed.withColumn("_within", within)
-        .join(offsets, "_bucket")
+        .join(offsets, "_bucket", "left")
         .withColumn("position", F.col("_before") + F.col("_within"))
         .withColumn("slot", F.round(F.col("position") / F.col("_total") * hours, 1))
         .select(key, "position", "slot")

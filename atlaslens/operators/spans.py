@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def live_keys(state: DataFrame, as_of: Column, key: str = "key", set_at: str = "set_at", ttl_s: str = "ttl_s") -> DataFrame:
+def live_keys(
+    state: DataFrame, as_of: Column, max_ttl_s: int, key: str = "key", set_at: str = "set_at", ttl_s: str = "ttl_s",
+) -> DataFrame:
     """Keys whose latest set has not expired, with the seconds they have left.
 
     ``set_at`` is in whole microseconds. Setting a key again replaces its expiry,
     so only the latest row of a key counts. A key is gone at exactly set_at + ttl.
+
+    No row older than the longest ttl can make a key live, and if it is the latest of
+    its key, the key is gone anyway: such rows are dropped before anything is shuffled.
     """
-    latest = state.groupBy(key).agg(F.max_by(F.struct(set_at, ttl_s), F.struct(set_at, ttl_s)).alias("_last"))
+    recent = state.where(F.col(set_at) > as_of - max_ttl_s * 1_000_000)
+    latest = recent.groupBy(key).agg(F.max_by(F.struct(set_at, ttl_s), F.struct(set_at, ttl_s)).alias("_last"))
     left_us = F.col(f"_last.{set_at}") + F.col(f"_last.{ttl_s}") * 1_000_000 - as_of
     return (
         latest.withColumn("_left_us", left_us)
@@ -50,7 +56,8 @@ def alive_spans(df: DataFrame, key: str, at_us: str, ttl_s: int) -> DataFrame:
     slice, a number bounded by the length of the time range and not by the rows.
     """
     width = ttl_s * 1_000_000
-    slices = df.groupBy(key, F.floor(F.col(at_us) / F.lit(width)).alias("_slice")).agg(
+    slice_start = F.col(at_us) - F.pmod(F.col(at_us), F.lit(width))
+    slices = df.groupBy(key, slice_start.alias("_slice")).agg(
         F.min(at_us).alias("_first"), F.max(at_us).alias("_last"), F.count(F.lit(1)).alias("_n")
     )
     in_time = Window.partitionBy(key).orderBy("_slice")

@@ -31,7 +31,7 @@ def upsert_set(store: DataFrame, incoming: DataFrame, key: str, array: str, elem
     empty = F.expr("cast(array() as array<string>)")
     return (
         store.join(additions, key, "full")
-        .withColumn(array, F.array_sort(F.array_union(F.coalesce(array, empty), F.coalesce("_added", empty))))
+        .withColumn(array, F.sort_array(F.array_union(F.coalesce(array, empty), F.coalesce("_added", empty))))
         .drop("_added")
     )
 

@@ -124,10 +124,9 @@ def bilingual_split(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(turn == 5, F.array(text))
         .when(turn == 6, F.array(text, tag))
     )
-    split = bilingual.split_review(parts, text, tag, original_tag)
-    return tables.table(spark, sf_dir, "conversations").select("conv_id", "turn", split.alias("s")).select(
-        "conv_id", "turn", "s.original", "s.translated"
-    )
+    laid_out = tables.table(spark, sf_dir, "conversations").select("conv_id", "turn", "text", parts.alias("parts"))
+    split = bilingual.with_bilingual_texts(laid_out, F.col("parts"), text, tag, original_tag)
+    return split.select("conv_id", "turn", "original", "translated")
 
 
 @query("clean_name", rf"""

@@ -41,15 +41,15 @@ DUE_SQL = f"""
 
 def live_leases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places someone works on, as of the last event."""
-    taken = tables.leases(spark, sf_dir)
-    live = spans.live_keys(taken, tables.latest(taken, "set_at"))
+    now = tables.latest(tables.events(spark, sf_dir), "at_us")
+    live = spans.live_keys(tables.leases(spark, sf_dir), now, config.LEASE_TTL_S)
     return spans.keys_with_prefix(live, config.LEASE_PREFIX, name="place_id")
 
 
-def due(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = tables.table(spark, sf_dir, "orders")
-    places = tables.places_with_country(spark, sf_dir).join(tables.last_orders(spark, sf_dir), "c_custkey", "left")
-    today = tables.latest(orders, F.to_date("o_orderdate"))
+def due(spark: SparkSession, sf_dir: str, places: DataFrame) -> DataFrame:
+    """The given places that are due on the day of the last order."""
+    today = F.to_date(tables.latest(tables.table(spark, sf_dir, "orders"), "o_orderdate"))
+    places = places.join(tables.last_orders(spark, sf_dir), "c_custkey", "left")
     return scheduling.due_places(places, live_leases(spark, sf_dir).select("place_id"), today)
 
 
@@ -58,7 +58,7 @@ def due(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM due ORDER BY priority DESC NULLS LAST, place_id LIMIT 50""")
 def due_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The places to refresh next: due, not in progress, highest priority first."""
-    first = scheduling.highest_priority(due(spark, sf_dir), 50, "place_id")
+    first = scheduling.highest_priority(due(spark, sf_dir, tables.places(spark, sf_dir)), 50, "place_id")
     return first.select(
         "place_id", "data_id", "name", "priority",
         F.coalesce(tables.day_text("last_scraped"), F.lit("")).alias("last_scraped"),
@@ -88,7 +88,8 @@ def need_id_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM due JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey""")
 def dispatch_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every due place as a request message, decoded again to compare the fields."""
-    shaped = scheduling.shape_requests(due(spark, sf_dir), tables.region_localization(spark))
+    places = due(spark, sf_dir, tables.places_with_country(spark, sf_dir))
+    shaped = scheduling.shape_requests(places, tables.region_localization(spark))
     sent = shaped.select(scheduling.as_message().alias("body"))
     return decode_requests(sent).select("request.*").select(*schemas.SCRAPE_REQUEST_KEYS)
 

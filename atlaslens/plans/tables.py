@@ -53,8 +53,10 @@ def last_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def leases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each event takes a lease on its user's place."""
-    return events(spark, sf_dir).select(
+    """Each event takes a lease on its user's place. Leases long past are not read."""
+    source = events(spark, sf_dir)
+    recent = source.where(F.col("ts") > latest(source, "ts") - F.expr(f"interval {config.LEASE_TTL_S} seconds"))
+    return recent.select(
         F.concat(F.lit(config.LEASE_PREFIX + "p"), F.col("user_id")).alias("key"),
         F.col("at_us").alias("set_at"),
         F.lit(config.LEASE_TTL_S).cast("long").alias("ttl_s"),

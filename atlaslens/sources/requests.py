@@ -17,14 +17,13 @@ def decode_requests(messages: DataFrame, body: str = "body", schema: str = schem
     return messages.withColumn("request", F.from_json(F.col(body), schema))
 
 
-def request_outcome(body: Column, request: Column) -> Column:
-    """``ok``, ``malformed``, ``keys`` (key set differs) or ``data_id`` (null or empty)."""
+def request_outcome(keys: Column, data_id: Column) -> Column:
+    """``ok``, ``malformed``, ``keys`` (key set differs) or ``data_id`` (null or empty), from the sorted keys."""
     expected = F.array(*(F.lit(key) for key in sorted(schemas.SCRAPE_REQUEST_KEYS)))
-    keys = F.array_sort(F.json_object_keys(body))
     return (
         F.when(keys.isNull(), "malformed")
         .when(keys != expected, "keys")
-        .when(F.coalesce(request["data_id"], F.lit("")) == "", "data_id")
+        .when(F.coalesce(data_id, F.lit("")) == "", "data_id")
         .otherwise("ok")
     )
 
@@ -32,4 +31,5 @@ def request_outcome(body: Column, request: Column) -> Column:
 def check_requests(messages: DataFrame, body: str = "body") -> DataFrame:
     """Decoded messages with their outcome. Rejected ones stay, for a quarantine table."""
     decoded = decode_requests(messages, body)
-    return decoded.withColumn("outcome", request_outcome(F.col(body), F.col("request")))
+    keyed = decoded.withColumn("_keys", F.sort_array(F.json_object_keys(body)))
+    return keyed.withColumn("outcome", request_outcome(F.col("_keys"), F.col("request.data_id"))).drop("_keys")

@@ -20,13 +20,12 @@ def place_results(responses: DataFrame, body: str = "body") -> DataFrame:
     Pages of results may differ in their fields: missing ones are null. A response
     without a next-page token keeps its rows.
     """
-    parsed = responses.withColumn("_response", F.from_json(body, schemas.PLACE_RESPONSE)).drop(body)
-    return (
-        parsed.withColumn("_place", F.explode("_response.results"))
-        .withColumn("next_page_token", F.col("_response.next_page_token"))
-        .select("*", "_place.*")
-        .drop("_response", "_place")
-    )
+    carried = [column for column in responses.columns if column != body]
+    parsed = responses.select(*carried, F.from_json(body, schemas.PLACE_RESPONSE).alias("_response"))
+    # The results leave the parsed response before they are exploded, so no row carries all of it.
+    fields = parsed.select(*carried, "_response.next_page_token", F.col("_response.results").alias("_results"))
+    exploded = fields.select(*carried, "next_page_token", F.explode("_results").alias("_place"))
+    return exploded.select(*carried, "next_page_token", "_place.*")
 
 
 def _tagged(entry: Column, tag: Column) -> Column:
@@ -42,12 +41,12 @@ def search_entries(responses: DataFrame, body: str = "body") -> DataFrame:
     repeated on each row. A response with an error, or of an unknown shape, gives one
     row with ``search_error`` set, so that nothing is lost on the way.
     """
-    response = F.from_json(F.col(body), SEARCH_RESPONSE)
-    parsed = responses.withColumn("_response", response).drop(body)
-    primary = F.col("_response.place_results")
-    no_entries = F.expr(f"cast(array() as array<{schemas.SEARCH_ENTRY}>)")
-    related = F.coalesce(F.try_element_at(primary["people_also_search_for"], F.lit(1))["local_results"], no_entries)
-    listed = F.coalesce(F.col("_response.local_results"), no_entries)
+    metadata = ["search_metadata", "search_parameters", "search_information"]
+    carried = [column for column in responses.columns if column != body]
+    parsed = responses.select(*carried, F.from_json(body, SEARCH_RESPONSE).alias("_response")).select(*carried, "_response.*")
+    primary = F.col("place_results")
+    nothing = F.expr(f"cast(array() as array<{schemas.SEARCH_ENTRY}>)")
+    related = F.coalesce(F.try_element_at(primary["people_also_search_for"], F.lit(1))["local_results"], nothing)
     entries = F.when(
         primary.isNotNull(),
         F.concat(
@@ -55,20 +54,16 @@ def search_entries(responses: DataFrame, body: str = "body") -> DataFrame:
             F.transform(related, lambda e: _tagged(e, F.concat(F.lit("pasf_"), e["position"].cast("string")))),
         ),
     ).when(
-        F.col("_response.local_results").isNotNull(),
-        F.transform(listed, lambda e: _tagged(e, F.concat(F.lit("ll_"), e["position"].cast("string")))),
+        F.col("local_results").isNotNull(),
+        F.transform("local_results", lambda e: _tagged(e, F.concat(F.lit("ll_"), e["position"].cast("string")))),
     )
-    error = F.when(entries.isNull(), F.coalesce(F.col("_response.error"), F.lit("unexpected response")))
-    return (
-        parsed.withColumns({"_entries": entries, "search_error": error})
-        .withColumn("_entry", F.explode_outer("_entries"))
-        .select(
-            *(column for column in parsed.columns if column != "_response"),
-            "search_error",
-            "_response.search_metadata", "_response.search_parameters", "_response.search_information",
-            "_entry.*",
-        )
+    # Entries and metadata are columns of their own before the explode, so no row carries the response.
+    tagged = parsed.select(*carried, *metadata, "error", entries.alias("_entries"))
+    failed = F.when(F.col("_entries").isNull(), F.coalesce("error", F.lit("unexpected response"))).alias("search_error")
+    exploded = tagged.select(*carried, *metadata, failed, "_entries").select(
+        *carried, *metadata, "search_error", F.explode_outer("_entries").alias("_entry")
     )
+    return exploded.select(*carried, *metadata, "search_error", "_entry.*")
 
 
 def normalise_entries(entries: DataFrame) -> DataFrame:
