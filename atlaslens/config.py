@@ -6,6 +6,7 @@ which is the size bound behind broadcasting them.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # One row per country.
@@ -43,16 +44,20 @@ NO_DATE_IN_REQUEST = "2017-01-01"
 LEASE_PREFIX = "working_on_"
 CURRENT_SLOT_SUFFIX = "_current_slot"
 
-LOCALIZATION_SCHEMA = "country string, language string, domain string, food string, service string, atmosphere string"
-PARSER_SCHEMA = (
-    "language string, stars_class string, review_class string, sing_lang_review_class string, "
-    "full_review_class string, translated_tag string, original_tag string"
+LOCALIZATION_COLUMNS = ("country", "language", "domain", "food", "service", "atmosphere")
+PARSER_COLUMNS = (
+    "language", "stars_class", "review_class", "sing_lang_review_class", "full_review_class", "translated_tag", "original_tag",
 )
 
 
+def _table(spark: SparkSession, rows, columns) -> DataFrame:
+    # An Arrow table becomes a local relation; plain Python rows would be read through an RDD.
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(columns, row)) for row in rows]))
+
+
 def localization_table(spark: SparkSession, rows=LOCALIZATION) -> DataFrame:
-    return spark.createDataFrame(rows, LOCALIZATION_SCHEMA)
+    return _table(spark, rows, LOCALIZATION_COLUMNS)
 
 
 def parser_table(spark: SparkSession, rows=PARSER) -> DataFrame:
-    return spark.createDataFrame(rows, PARSER_SCHEMA)
+    return _table(spark, rows, PARSER_COLUMNS)

@@ -39,7 +39,7 @@ class _Element:
         self.text_from, self.text_to, self.start, self.end = text_from, text_from, start, end
 
     def attribute(self, name: str) -> str | None:
-        if name not in self.raw:
+        if name not in self.raw.lower():
             return None
         for key, value in ATTRIBUTE.findall(self.raw):
             if key.lower() == name:
