@@ -9,6 +9,7 @@ from atlaslens.functions import text as tx
 from atlaslens.functions.age import with_review_age
 from atlaslens.functions.bilingual import with_bilingual_texts
 from atlaslens.functions.html import review_lists
+from atlaslens.operators.paging import page_outcome
 
 
 def zip_lists(df: DataFrame, lists: dict[str, str], position: str = "position") -> DataFrame:
@@ -36,6 +37,7 @@ def zip_lists(df: DataFrame, lists: dict[str, str], position: str = "position")
 def with_review_lists(pages: DataFrame, parsers: DataFrame, language: str = "scrape_language") -> DataFrame:
     """Pages with their lists of reviews, names, times and stars in place of the content.
 
+    Adds ``n_rows``, the length of the longest list, and the ``outcome`` of the page.
     The parser table has a fixed size and is broadcast. A page in a language without
     parser settings has empty lists.
     """
@@ -48,23 +50,24 @@ def with_review_lists(pages: DataFrame, parsers: DataFrame, language: str = "scr
         pages.join(settings, language, "left")
         .withColumn("_lists", lists)
         .select("*", "_lists.*")
+        .withColumn("n_rows", F.greatest(*(F.size(name) for name in ("reviews", "names", "times", "stars"))))
+        .withColumn("outcome", page_outcome(F.col("content"), F.col("n_rows")))
         .drop("_lists", "content", "stars_class", "review_class", "sing_lang_review_class", "full_review_class")
     )
 
 
-def extraction_counts(with_lists: DataFrame) -> dict[str, Column]:
-    """How many elements of each kind a page has."""
-    return {f"n_{name}": F.size(name) for name in ("reviews", "names", "times", "stars") if name in with_lists.columns}
+def parse_pages(pages: DataFrame, parsers: DataFrame, as_of: Column, compat_age: bool = False) -> DataFrame:
+    """Typed review rows of captured pages, all pages in one lazy plan."""
+    return rows_from_lists(with_review_lists(pages, parsers), as_of, compat_age)
 
 
-def parse_pages(pages: DataFrame, parsers: DataFrame, as_of: Column, compat_age: bool = False) -> DataFrame:
-    """Typed review rows of captured pages, all pages in one lazy plan.
+def rows_from_lists(with_lists: DataFrame, as_of: Column, compat_age: bool = False) -> DataFrame:
+    """One row per review position with its texts, name, age and id.
 
-    Expects page records; gives one row per review position with its texts, name, age
-    and id. Surplus names, times or stars keep their page's keys, with ``aligned`` false.
+    Surplus names, times or stars keep their page's keys, with ``aligned`` false.
     """
     rows = zip_lists(
-        with_review_lists(pages, parsers),
+        with_lists.drop("n_rows", "outcome"),
         {"reviews": "review", "names": "raw_name", "times": "raw_time", "stars": "star"},
     )
     texts = with_bilingual_texts(

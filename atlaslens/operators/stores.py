@@ -36,6 +36,21 @@ def upsert_set(store: DataFrame, incoming: DataFrame, key: str, array: str, elem
     )
 
 
+def upsert_rows(store: DataFrame, rows: DataFrame, key: str, array: str) -> DataFrame:
+    """Rows with a new key are added; of the others only the array's elements are merged in.
+
+    Both tables have one row per key.
+    """
+    elements = rows.select(key, F.col(array).alias("_added"))
+    empty = F.expr("cast(array() as array<string>)")
+    kept = (
+        store.join(elements, key, "left")
+        .withColumn(array, F.sort_array(F.array_union(F.coalesce(array, empty), F.coalesce("_added", empty))))
+        .drop("_added")
+    )
+    return kept.unionByName(absent_from(rows, store, [key]), allowMissingColumns=True)
+
+
 def update_column(store: DataFrame, updates: DataFrame, key: str, column: str) -> DataFrame:
     """Set a column where there is an update (one row per key); other rows keep theirs."""
     new = updates.select(key, F.col(column).alias("_new"))

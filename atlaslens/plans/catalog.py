@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from atlaslens.plans import discovery, paging, parsing, refresh, upkeep  # noqa: F401
+from atlaslens.plans import discovery, paging, parsing, refresh, runs, upkeep  # noqa: F401
 from atlaslens.plans import streams  # noqa: F401  (after the batch twins whose SQL it shares)
 from atlaslens.plans.registry import ORACLES, QUERIES
 

@@ -253,7 +253,7 @@ def review_facets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _escaped(text: Column) -> Column:
+def escaped(text: Column) -> Column:
     for character, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
         text = F.replace(text, F.lit(character), F.lit(entity))
     return text
@@ -272,7 +272,7 @@ def rendered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.filter(F.split("text", "\n"), lambda line: F.length(F.trim(line)) > 0)
 
     def block(line: Column, position: Column) -> Column:
-        safe, number = _escaped(line), position.cast("string")
+        safe, number = escaped(line), position.cast("string")
         translated = F.concat(F.lit('<span class="review-full-text">'), tag, F.lit("<br>tr "), safe,
                               F.lit("<br><i>(Original)</i>\n"), safe, F.lit("</span>"))
         whole = F.concat(F.lit('<p><span class="x review-full-text">'), safe, F.lit("</span>"))
