@@ -52,7 +52,8 @@ def nearest_by_name(
     dx, dy = F.col("_px") - F.col("_x"), F.col("_py") - F.col("_y")
     chosen = (
         spots.join(candidates, ["name", "_cx", "_cy"])
-        .groupBy("name", "_x", "_y")
+        # Grouping by the join keys as well keeps the pairs where the join put them.
+        .groupBy("name", "_cx", "_cy", "_x", "_y")
         .agg(F.min(F.struct((dx * dx + dy * dy).alias("cells2"), F.col("_place_id").alias("place_id"))).alias("_best"))
         .select("name", "_x", "_y", F.col("_best.place_id").alias("place_id"), F.col("_best.cells2").alias("cells2"))
     )

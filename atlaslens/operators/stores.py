@@ -90,6 +90,11 @@ def append(df: DataFrame, path: str, *partition_by: str) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+def append_messages(df: DataFrame, path: str, message: Column) -> None:
+    """Append one JSON message per line, as work items for whoever reads the folder."""
+    df.select(message.alias("value")).write.mode("append").text(path)
+
+
 def write_version(df: DataFrame, root: str, version: str, *partition_by: str) -> None:
     """Write a whole table as a new version; fails when the version exists."""
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(f"{root}/{version}")

@@ -176,7 +176,8 @@ def used_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.floor(F.col("at_us") / 1_000_000).cast("string"),
         ).alias("pairs")
     )
-    return state.decode_slots(pairs).groupBy("name", "slot").agg(F.max("last_used").alias("last_used"))
+    last = state.hash_pairs(pairs).groupBy("key").agg(F.max(F.col("value").cast("long")).alias("value"))
+    return state.decode_slots(last)
 
 
 @query("state_report", """

@@ -12,20 +12,24 @@ def find(table: DataFrame, condition: Column, columns: Sequence[str]) -> DataFra
     return table.where(condition).select(*columns)
 
 
-def decode_slots(table: DataFrame, pairs: str = "pairs") -> DataFrame:
-    """Rows (name, slot, last_used) from a map ``<name>_<slot>`` to epoch seconds.
+def hash_pairs(table: DataFrame, pairs: str = "pairs") -> DataFrame:
+    """Rows (key, value) from a column of maps; the other columns are repeated."""
+    return table.select(*(column for column in table.columns if column != pairs), F.explode(pairs).alias("key", "value"))
 
-    The name may itself hold ``_``: the slot is the part after the last one.
+
+def decode_slots(rows: DataFrame) -> DataFrame:
+    """Name, slot and last use from rows with key ``<name>_<slot>`` and value epoch seconds.
+
+    The name may itself hold ``_``: the slot is the part after the last one. Best done
+    after the last write of each key was chosen, so that each key is taken apart once.
     """
-    return (
-        table.select(*(column for column in table.columns if column != pairs), F.explode(pairs).alias("_key", "_value"))
-        .withColumns({
-            "name": F.regexp_extract("_key", r"^(.*)_[^_]*$", 1),
-            "slot": F.regexp_extract("_key", r"_([^_]*)$", 1).try_cast("double"),
-            "last_used": F.col("_value").try_cast("double"),
-        })
-        .drop("_key", "_value")
-    )
+    return rows.withColumns({
+        "name": F.substring_index("key", "_", -1),
+    }).withColumns({
+        "slot": F.col("name").try_cast("double"),
+        "name": F.expr("left(key, length(key) - length(name) - 1)"),
+        "last_used": F.col("value").try_cast("double"),
+    }).drop("key", "value")
 
 
 def encode_slot(name: Column, slot: Column) -> Column:

@@ -14,9 +14,9 @@ from atlaslens.sources.requests import check_requests, decode_body
 
 
 def file_stream(spark: SparkSession, path: str, schema: str, max_files: int | None = None,
-                file_format: str = "parquet") -> DataFrame:
+                file_format: str = "parquet", **options: str) -> DataFrame:
     """Files that arrive below a path (or glob) as a stream, a bounded number per batch."""
-    reader = spark.readStream.format(file_format).schema(schema)
+    reader = spark.readStream.format(file_format).schema(schema).options(**options)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path)

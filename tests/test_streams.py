@@ -92,6 +92,28 @@ def test_staged_reviews_are_added_once(spark, folder):
     assert add() == [("r1", 1), ("r2", 0)]
 
 
+def test_messages_sent_are_messages_received(spark, folder):
+    from atlaslens.operators.scheduling import as_message, shape_requests
+    from atlaslens import config
+
+    due = spark.createDataFrame([("p1", "d1", "A", 2, None, "es"), ("p2", "d2", "B", None, dt.date(2024, 1, 1), "es")],
+                                "place_id string, data_id string, name string, priority int, last_scraped date, country string")
+    stores.append_messages(shape_requests(due, config.localization_table(spark)), f"{folder}/queue", as_message())
+    stream = jobs.file_stream(spark, f"{folder}/queue", "value string", file_format="text")
+    got = jobs.run(check_requests(stream, "value").select("request.*", "outcome"), f"{folder}/got")
+    assert sorted((r.place_id, r.priority, r.language, r.country_domain, r.last_scraped, r.outcome) for r in got.collect()) == [
+        ("p1", 2, "en", "es", "2017-01-01", "ok"), ("p2", None, "en", "es", "2024-01-01", "ok")]
+
+
+def test_retention(spark):
+    rows = spark.createDataFrame([(0, 10), (5, 10), (0, 5)], "at_s long, ttl long")
+    kept = rows.where(stores.unexpired(F.col("at_s") * 1_000_000, F.col("ttl"), F.lit(10_000_000)))
+    assert [tuple(r) for r in kept.collect()] == [(5, 10)]
+    days = spark.createDataFrame([(dt.date(2024, 1, d),) for d in (1, 2, 3)], "day date")
+    gone = days.where(stores.expired_days(F.col("day"), F.lit(dt.date(2024, 1, 16)), 14 * 86400))
+    assert [r.day.day for r in gone.collect()] == [1]
+
+
 def test_versions_are_never_overwritten(spark, folder):
     first = spark.createDataFrame([("a", 1)], "k string, v int")
     stores.write_version(first, f"{folder}/t", "run=1")
