@@ -62,16 +62,22 @@ class _Page:
 
     def __init__(self, source: str) -> None:
         self.source, self.elements, self.texts = source, [], []
+        self.by_tag: dict[str, list[_Element]] = {}
         open_elements, open_tags, at = [], {}, 0
+        elements, texts, by_tag = self.elements, self.texts, self.by_tag
 
         def close(end: int) -> str:
             element = open_elements.pop()
-            element.last, element.text_to, element.end = len(self.elements) - 1, len(self.texts), end
+            element.last, element.text_to, element.end = len(elements) - 1, len(texts), end
             open_tags[element.tag] -= 1
             return element.tag
 
-        while (found := TAG.search(source, at)) is not None:
-            self._add_text(source[at:found.start()])
+        tags = TAG.finditer(source)
+        while (found := next(tags, None)) is not None:
+            start = found.start()
+            if start > at:
+                text = source[at:start]
+                texts.append(html.unescape(text) if "&" in text else text)
             at = found.end()
             slash, tag, raw = found.groups()
             if tag is None:
@@ -81,24 +87,24 @@ class _Page:
                 while open_tags.get(tag) and close(at) != tag:
                     pass
                 continue
-            element = _Element(tag, raw, len(self.elements), len(self.texts), found.start(), at)
-            self.elements.append(element)
+            element = _Element(tag, raw, len(elements), len(texts), start, at)
+            elements.append(element)
+            by_tag.setdefault(tag, []).append(element)
             if tag in RAW:
+                # What follows is no markup up to the end tag; the search for tags goes on there.
                 end = re.compile(f"</{tag}", re.I).search(source, at)
                 at = end.start() if end else len(source)
+                tags = TAG.finditer(source, at)
             if tag not in VOID and not raw.endswith("/"):
                 open_elements.append(element)
                 open_tags[tag] = open_tags.get(tag, 0) + 1
-        self._add_text(source[at:])
+        if at < len(source):
+            texts.append(html.unescape(source[at:]))
         while open_elements:
             close(len(source))
 
-    def _add_text(self, text: str) -> None:
-        if text:
-            self.texts.append(html.unescape(text) if "&" in text else text)
-
     def select(self, tag: str, css_class: str | None = None) -> list[_Element]:
-        return [e for e in self.elements if e.tag == tag and (css_class is None or e.has_class(css_class))]
+        return [e for e in self.by_tag.get(tag, ()) if css_class is None or e.has_class(css_class)]
 
     def below(self, element: _Element, tag: str) -> list[_Element]:
         return [e for e in self.elements[element.index + 1:element.last + 1] if e.tag == tag]

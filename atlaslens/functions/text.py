@@ -7,10 +7,16 @@ from pyspark.sql import Column, functions as F
 # Word characters and trailing equal signs; (?U) makes \w match letters of every script.
 NEXT_PAGE_TOKEN = r'(?U)data-next-page-token="(\w+=+)'
 
+# The characters that count as white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 
 def strip(text: Column) -> Column:
-    """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    """Trim every kind of white space, not only blanks. Looks at the ends only, not at the whole text."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def collapse_whitespace(text: Column) -> Column:
@@ -20,7 +26,8 @@ def collapse_whitespace(text: Column) -> Column:
 
 def clean_name(text: Column) -> Column:
     """Newlines become blanks, commas and bars are dropped, the ends are trimmed."""
-    return strip(F.translate(text, "\n,|", " "))
+    flat = F.replace(text, F.lit("\n"), F.lit(" "))
+    return strip(F.replace(F.replace(flat, F.lit(","), F.lit("")), F.lit("|"), F.lit("")))
 
 
 def first_digit(text: Column) -> Column:

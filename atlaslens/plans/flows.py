@@ -75,7 +75,7 @@ def mark_refreshed(places: DataFrame, run: RefreshRun, language: str, day: Colum
 
 
 def resolve_identifiers(places: DataFrame, wanted: DataFrame, cache: DataFrame, responses: DataFrame,
-                        order: list[Column], cache_order: list[Column], as_of: Column) -> DataFrame:
+                        order: list[Column], cache_order: list[Column], as_of: Column, folder: str) -> DataFrame:
     """Places with the identifiers found for those that wanted one.
 
     ``places`` have place_id, data_id, name, coords and unserpable; ``wanted`` place_id;
@@ -83,19 +83,27 @@ def resolve_identifiers(places: DataFrame, wanted: DataFrame, cache: DataFrame,
     body. A cached entry decides; otherwise the entries of the response do. Entries
     without a place are looked up by name and position, or dropped. Entries of unknown
     places are added. Wanted places still without identifier are marked.
+
+    The entries of the responses, which are also the new rows for the cache, and the
+    links are written below ``folder`` once and read from there by the steps after.
     """
+    spark = places.sparkSession
     looked = search.look_up_cache(wanted.select("place_id"), cache, *cache_order)
     hits = looked.where("cache_hit").select("place_id", F.col("cached_data_id").alias("data_id"))
     misses = looked.where(~F.col("cache_hit")).select(F.col("place_id").alias("asked_for"))
     asked = responses.withColumnRenamed("place_id", "asked_for").join(misses, "asked_for", "left_semi")
-    entries = rs.normalise_entries(rs.search_entries(asked)).where(F.col("search_error").isNull())
+    # Failed responses are left out after the write: a filter before it would be pushed below
+    # the parsing and parse each response once more for the test.
+    rs.normalise_entries(rs.search_entries(asked)).write.parquet(f"{folder}/entries")
+    entries = spark.read.parquet(f"{folder}/entries").where(F.col("search_error").isNull())
     point = {"lat": F.col("geometry.location.lat"), "lng": F.col("geometry.location.lng")}
     unplaced = entries.where(F.col("place_id").isNull()).drop("place_id").withColumns(point)
     known = places.select("place_id", "name", F.col("coords.lat").alias("lat"), F.col("coords.lng").alias("lng"))
     placed = entries.where(F.col("place_id").isNotNull()).unionByName(
         resolve.nearest_by_name(unplaced, known).drop("lat", "lng", "cells2")
     )
-    links = search.one_link_per_place(placed, *order)
+    search.one_link_per_place(placed, *order).write.parquet(f"{folder}/links")
+    links = spark.read.parquet(f"{folder}/links")
     new = pl.normalise_places(links, F.lit(None).cast("string"), as_of)
     linked = search.apply_links(places, new)
     return search.mark_unresolved(_with_ids(linked, hits), wanted)

@@ -144,6 +144,7 @@ def id_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     resolved = flows.resolve_identifiers(
         places, wanted, cache, town_responses(orders.where("o_totalprice < 150000")),
         [F.col("o_orderkey"), F.col("position")], [F.col("o_orderkey")], F.timestamp_seconds(F.lit(1706659200)),
+        work_dir(spark, "links"),
     )
     return resolved.select(
         "place_id", F.coalesce("data_id", F.lit("")).alias("data_id"),
