@@ -19,21 +19,23 @@ _LEVEL_SHIFT = 56
 _X_SHIFT = 28
 
 
-def _bounded(value: Column, low, high) -> Column:
-    """Value kept between two bounds. Unlike greatest and least, null stays null."""
-    return F.when(value < low, F.lit(low)).when(value > high, F.lit(high)).otherwise(value)
+def _bounded(value: Column, low: float, high: float) -> Column:
+    return F.greatest(F.lit(low), F.least(F.lit(high), value))
 
 
 def tile_x(lng: Column, level: int) -> Column:
     side = 2**level
-    return _bounded(F.floor((lng + 180.0) / 360.0 * side), 0, side - 1).cast("long")
+    x = F.floor((lng + 180.0) / 360.0 * side)
+    # greatest and least skip null, so a missing coordinate is told apart first.
+    return F.when(lng.isNotNull(), _bounded(x, 0, side - 1).cast("long"))
 
 
 def tile_y(lat: Column, level: int) -> Column:
     side = 2**level
     radians = F.radians(_bounded(lat, -MAX_LATITUDE, MAX_LATITUDE))
-    y = F.floor((1.0 - F.log(F.tan(radians) + 1.0 / F.cos(radians)) / math.pi) / 2.0 * side)
-    return _bounded(y, 0, side - 1).cast("long")
+    # ln(tan + sec) written as atanh(sin): one trigonometric function per point.
+    y = F.floor((1.0 - F.atanh(F.sin(radians)) / math.pi) / 2.0 * side)
+    return F.when(lat.isNotNull(), _bounded(y, 0, side - 1).cast("long"))
 
 
 def cell_id(x: Column, y: Column, level: int) -> Column:

@@ -38,23 +38,30 @@ def nearest_by_name(
 
     located = with_cell(entries)
     spots = (
-        located.where(F.col("name").isNotNull() & F.col("_x").isNotNull() & F.col("_y").isNotNull())
+        located.where(F.col("name").isNotNull() & F.col(lat).isNotNull() & F.col(lng).isNotNull())
         .select("name", "_x", "_y").distinct()
         .withColumns({"_cx": F.shiftright("_x", steps), "_cy": F.shiftright("_y", steps)})
     )
-    candidates = (
-        with_cell(places)
-        .groupBy("name", F.col("_x").alias("_px"), F.col("_y").alias("_py"))
-        .agg(F.min("place_id").alias("_place_id"))
+    folded = with_cell(places).groupBy("name", "_x", "_y").agg(F.min("place_id").alias("place_id"))
+
+    # A place of that name in the entry's own cell cannot be beaten; it is unique by now.
+    here = spots.join(folded, ["name", "_x", "_y"], "left")
+    found = here.where(F.col("place_id").isNotNull()).select("name", "_x", "_y", "place_id", F.lit(0).cast("long").alias("cells2"))
+
+    # Only where there is none, the places around are compared.
+    around = (
+        folded.select("name", F.col("_x").alias("_px"), F.col("_y").alias("_py"), F.col("place_id").alias("_place_id"))
         .withColumn("_cx", _around("_px", steps))
         .withColumn("_cy", _around("_py", steps))
     )
     dx, dy = F.col("_px") - F.col("_x"), F.col("_py") - F.col("_y")
-    chosen = (
-        spots.join(candidates, ["name", "_cx", "_cy"])
+    nearest = (
+        here.where(F.col("place_id").isNull()).drop("place_id")
+        .join(around, ["name", "_cx", "_cy"])
         # Grouping by the join keys as well keeps the pairs where the join put them.
         .groupBy("name", "_cx", "_cy", "_x", "_y")
         .agg(F.min(F.struct((dx * dx + dy * dy).alias("cells2"), F.col("_place_id").alias("place_id"))).alias("_best"))
-        .select("name", "_x", "_y", F.col("_best.place_id").alias("place_id"), F.col("_best.cells2").alias("cells2"))
+        .select("name", "_x", "_y", "_best.place_id", "_best.cells2")
     )
+    chosen = found.unionByName(nearest)
     return located.join(chosen, ["name", "_x", "_y"], "left").drop("_x", "_y")

@@ -19,7 +19,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # Pages can be megabytes long; a batch of 10,000 of them would not fit a Python worker.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "100",
 }
 
 

@@ -15,6 +15,7 @@ from atlaslens.functions.bilingual import with_bilingual_texts
 from atlaslens.functions.facets import facet_columns
 from atlaslens.functions import geo
 from atlaslens.operators import paging, places, reviews, scheduling, search, spans, stores
+from atlaslens.sources import state
 from atlaslens.sources.requests import check_requests
 
 DAY = dt.date(2024, 3, 1)
@@ -261,6 +262,27 @@ def test_spans_end_at_exactly_the_ttl(spark):
         (0, 119_999_998, 3), (179_999_998, 179_999_998, 1)]
 
 
+def test_keys_by_prefix_and_suffix(spark):
+    df = spark.createDataFrame([("working_on_a_b",), ("x_working_on_c",), ("w1_current_slot",), ("_current_slot",)], "key string")
+    assert values(spans.keys_with_prefix(df, config.LEASE_PREFIX), "name") == ["a_b"]
+    assert values(spans.keys_with_suffix(df, config.CURRENT_SLOT_SUFFIX), "name") == ["w1", ""]
+
+
+def test_slots_are_decoded(spark):
+    df = spark.createDataFrame([({"es_12_b.conf_23.6": "1700000000.5", "plain": "7", "a_x": "1"},)], "pairs map<string, string>")
+    rows = values(state.decode_slots(state.hash_pairs(df)), "name", "slot", "last_used")
+    assert sorted(rows, key=str) == sorted([("es_12_b.conf", 23.6, 1700000000.5), ("", None, 7.0), ("a", None, 1.0)], key=str)
+
+
+def test_best_slot_is_rested_and_nearest(spark):
+    day = 86_400.0
+    rows = [("g", "a", 12.0, 0.0), ("g", "b", 1.0, 0.0), ("g", "c", 23.5, 10 * day), ("h", "z", 5.0, 10 * day), ("i", "q", 23.0, 9 * day)]
+    df = spark.createDataFrame(rows, "g string, name string, slot double, last_used double")
+    best = scheduling.best_slots(df, ["g"], F.lit(23.75), F.lit(10 * day))
+    # c fits best but was just used, i has rested for exactly a day, which is not more than a day.
+    assert values(best, "g", "name") == [("g", "b")]
+
+
 def test_facets(spark):
     df = spark.createDataFrame([({"Review": ["fine"], "Food": ["4", "5"], "FOOD": ["1"], "Service": []},)], "m map<string, array<string>>")
     labels = {name: F.lit(name.title()) for name in ("food", "service", "atmosphere")}
