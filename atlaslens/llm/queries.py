@@ -4,22 +4,104 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from atlaslens.llm import packing, rules
+from atlaslens.llm import chat, mixing, ngram_join, packing, rules
 from atlaslens.llm.common import table
 
+QUERIES = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(build):
+    QUERIES[build.__name__] = build
+    return build
+
+
+@query
+def op3_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mixed_counts(mixing.plan_mix(docs))
 
+
+# Seats one by one from the quotients, which the operator does not do.
+ORACLES["op3_sainte_lague_mix"] = r"""
+WITH d AS (
+  SELECT doc_id, source, CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS key,
+    CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+    CAST('0x' || substr(md5('mix-1:' || doc_id), 1, 8) AS BIGINT) AS number, md5('mix-1:order:' || doc_id) AS place
+  FROM documents
+), s AS (
+  SELECT key, source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY ALL
+), w AS (
+  SELECT *, CAST([5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS weight, 2.0::DOUBLE * source_size AS most FROM s
+), l AS (
+  SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(most) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w WINDOW o AS (ORDER BY most / weight, key)
+), t AS (
+  SELECT key, source_size, least(weight * max(level) OVER (), most) AS target FROM l
+), n AS (
+  SELECT CAST(round(sum(target) / 64) AS BIGINT) AS seats FROM t
+), q AS (
+  SELECT key, target / (2 * k - 1) AS quotient FROM t, n, range(1, CAST(seats AS BIGINT) + 1) r(k) WHERE target > 0
+), b AS (
+  SELECT key, count(*) AS blocks FROM (SELECT key FROM q ORDER BY quotient DESC, key LIMIT (SELECT seats FROM n)) GROUP BY key
+), p AS (
+  SELECT d.*, source_size, target, coalesce(blocks, 0) AS blocks, number % greatest(1, least(4096, CAST(ceil(source_size / 65536) AS BIGINT))) AS shard
+  FROM d JOIN t USING (key) LEFT JOIN b USING (key)
+), h AS (
+  SELECT key, shard, blocks, CAST(sum(size) AS BIGINT) AS shard_size FROM p GROUP BY ALL
+), hq AS (
+  SELECT key, shard, shard_size, blocks, shard_size / (2 * k - 1) AS quotient FROM h, range(1, CAST(blocks AS BIGINT) + 1) r(k) WHERE shard_size > 0
+), hr AS (
+  SELECT key, shard, CASE WHEN row_number() OVER (PARTITION BY key ORDER BY quotient DESC, shard) <= blocks THEN 1 ELSE 0 END AS won FROM hq
+), g AS (
+  SELECT key, shard, CAST(sum(won) AS BIGINT) AS quota FROM hr GROUP BY ALL
+), f AS (
+  SELECT p.*, shard_size, least(64 * coalesce(quota, 0), 2 * shard_size) AS takes,
+    sum(size) OVER (PARTITION BY p.key, p.shard ORDER BY place, doc_id ROWS UNBOUNDED PRECEDING) - size AS start
+  FROM p JOIN h ON p.key = h.key AND p.shard = h.shard LEFT JOIN g ON p.key = g.key AND p.shard = g.shard
+)
+SELECT doc_id, size, source_size, target,
+  CAST(greatest(0, least(size, takes - start)) + greatest(0, least(size, takes - shard_size - start)) AS BIGINT) AS taken
+FROM f
+"""
+
+
+@query
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior"]
-    return rules.score(table(spark, sf_dir, "documents")).select(*names)
+@query
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {
-    "op4_best_fit_packing": op4_best_fit_packing,
-    "op8_quality_rules": op8_quality_rules,
-}
+@query
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    awkward = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", awkward), (-1, 1, "assistant", awkward)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.digests(chat.read_back(chat.format_conversations(turns)))
 
-ORACLES: dict[str, str] = {}
+
+ORACLES["op6_chat_format"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), e AS (
+  SELECT *, regexp_replace(role, '([<\[])(\\*)(/?s>|/?ROLE\]|/?INST\])', '\1\2\\\3', 'g') AS r,
+    regexp_replace(text, '([<\[])(\\*)(/?s>|/?ROLE\]|/?INST\])', '\1\2\\\3', 'g') AS x FROM t
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('<s>[ROLE]' || r || '[/ROLE]' || x || '</s>')) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior"]
+    return rules.score(table(spark, sf_dir, "documents")).select(*names)
