@@ -22,19 +22,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Shuffle files go at the end of the query that made them, and not only when the driver collects its garbage.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a result to the shared work folder and read it back.
 
     It is worked out once, and a lost executor costs no more than reading a
-    file again. The folder goes when the driver's JVM ends.
+    file again. The folder goes when the driver's JVM ends, or with ``release``.
     """
     spark = df.sparkSession
     path = work_dir(spark, name)
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
+    system, target = _file_system(spark, path)
+    system.deleteOnExit(target)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.staged_at = path
+    return staged
+
+
+def release(*staged: DataFrame) -> None:
+    """Remove staged results that nothing returned to a caller is built on."""
+    for df in staged:
+        system, target = _file_system(df.sparkSession, df.staged_at)
+        system.delete(target, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
 def n_words(text: Column) -> Column:
@@ -60,7 +82,3 @@ def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[in
         last = max(first + 1, int(np.searchsorted(at, at[first] + limit, side="right")) - 1)
         yield first, whole[at[first] : at[last]], at[first : last + 1] - at[first]
         first = last
-
-
-def of_type(field: str, kind: pa.DataType, values) -> tuple[str, pa.Array]:
-    return field, pa.array(values, type=kind)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from atlaslens.llm.common import stage
+from atlaslens.llm.common import release, stage
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -21,6 +21,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     )
     state = None
     while True:
+        before = edges
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -30,6 +31,7 @@ def connected_components(links: DataFrame) -> DataFrame:
             lowest.select("a", F.col("m").alias("b"))
         ).where("a <> b").distinct()
         edges = stage(small, "stars")
+        release(before)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state or not now[0]:
             break

@@ -23,10 +23,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from atlaslens.llm import texthash as T
-from atlaslens.llm.common import stage, text_blocks
+from atlaslens.llm.common import release, stage, text_blocks
 from atlaslens.llm.components import connected_components
 
 WORDS = 5
@@ -40,15 +40,29 @@ COMMON_AT_MOST = 1 << 20
 # Members of one tree. Larger groups are dealt into chunks, and every two chunks share a tree.
 CHUNK = 2_048
 BROADCAST_KEYS = 2_000_000
+# Sets that one task compares with a leader.
+STAR = 4_096
 
 _KEY_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def set_key(shingles: np.ndarray) -> int:
-    """64 bits that stand for a whole set."""
-    with np.errstate(over="ignore"):
-        a, b = T.mix(shingles).sum(dtype=np.uint64), np.bitwise_xor.reduce(T.mix(shingles * _KEY_ODD))
-        return int(T.mix(np.array([a * _KEY_ODD + b + np.uint64(len(shingles))]))[0].view(np.int64))
+class SetBlock:
+    """Shingle sets of some texts, one after another, with a 64-bit key for each whole set."""
+
+    def __init__(self, data: np.ndarray, at: np.ndarray, words: int):
+        self.values, self.at = T.shingle_sets(data, at, words)
+        self.sizes = np.diff(self.at)
+        self.full = np.flatnonzero(self.sizes)
+        self.keys = np.zeros(len(self.sizes), dtype=np.int64)
+        if len(self.full):
+            starts = self.at[:-1][self.full]
+            with np.errstate(over="ignore"):
+                total = np.add.reduceat(T.mix(self.values), starts)
+                other = np.bitwise_xor.reduceat(T.mix(self.values * _KEY_ODD), starts)
+                self.keys[self.full] = T.mix(total * _KEY_ODD + other + self.sizes[self.full].astype(np.uint64)).view(np.int64)
+
+    def set(self, k: int) -> np.ndarray:
+        return self.values[self.at[k] : self.at[k + 1]]
 
 
 def prefix_length(n: int) -> int:
@@ -56,102 +70,209 @@ def prefix_length(n: int) -> int:
     return n - -(-NEED * n // OF) + 1
 
 
-def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+def _blocks(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.RecordBatch, SetBlock]]:
+    """The second column holds the texts."""
     for batch in batches:
         for first, data, at in text_blocks(batch.column(1), 4 << 20):
-            yield batch.column(0).slice(first, len(at) - 1), T.shingle_sets(data, at, words)
+            yield batch.slice(first, len(at) - 1), SetBlock(data, at, words)
 
 
 def set_sizes(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Two kinds of rows. kind 0: doc_id, n (set size), key (of the set). kind 1: a shingle (key) and in how many
-    documents of a block it occurs (n), where these are more than one."""
+    sets of some of a task's documents it occurs (n), where these are more than one."""
+    names = ["doc_id", "n", "key", "kind"]
+
+    def shared(waiting: list[np.ndarray]) -> pa.RecordBatch:
+        values = np.concatenate(waiting)
+        values.sort()
+        starts = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
+        times = np.diff(np.append(starts, len(values)))
+        again = times > 1
+        out = values[starts[again]].view(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.nulls(len(out), pa.int64()), pa.array(times[again]), pa.array(out), pa.array(np.ones(len(out), np.int32))], names=names
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[np.ndarray] = []
         held, seen = 0, set()
-
-        def common() -> pa.RecordBatch:
-            values, times = np.unique(np.concatenate(waiting), return_counts=True)
-            again = times > 1
-            values, times = values[again].view(np.int64), times[again].astype(np.int64)
-            return pa.RecordBatch.from_arrays(
-                [pa.nulls(len(values), pa.int64()), pa.array(times), pa.array(values), pa.array(np.ones(len(values), np.int32))], names=names
-            )
-
-        names = ["doc_id", "n", "key", "kind"]
-        for ids, sets in _sets(batches, words):
-            keys = [set_key(s) if len(s) else None for s in sets]
-            sizes = np.array([len(s) for s in sets], dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes), pa.array(keys, pa.int64()), pa.array(np.zeros(len(sets), np.int32))], names=names)
-            for key, shingles in zip(keys, sets):
-                if key is not None and key not in seen:  # equal sets count once
+        for rows, block in _blocks(batches, words):
+            yield pa.RecordBatch.from_arrays([
+                rows.column(0), pa.array(block.sizes.astype(np.int64)), pa.array(block.keys, mask=block.sizes == 0),
+                pa.array(np.zeros(len(block.sizes), np.int32)),
+            ], names=names)
+            for k in block.full.tolist():
+                if (key := int(block.keys[k])) not in seen:  # equal sets count once
                     seen.add(key)
-                    waiting.append(shingles)
-                    held += len(shingles)
+                    waiting.append(block.set(k))
+                    held += len(waiting[-1])
             if held > 4_000_000:
-                yield common()
+                yield shared(waiting)
                 waiting, held, seen = [], 0, set()
         if waiting:
-            yield common()
+            yield shared(waiting)
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, key long, kind int")
 
 
+class CommonLast:
+    """The order of shingles: by value, but the common ones last, the most common at the very end."""
+
+    def __init__(self, common: np.ndarray):  # rarest first
+        order = np.argsort(common)
+        self.values, self.ranks = common[order], order
+        self.hint = np.zeros(1 << 22, dtype=bool)
+        self.hint[self.values >> np.uint64(42)] = True
+
+    def places(self, values: np.ndarray) -> np.ndarray:
+        """Place among the common shingles, -1 for others."""
+        out = np.full(len(values), -1, dtype=np.int64)
+        maybe = np.flatnonzero(self.hint[values >> np.uint64(42)])
+        if len(maybe):
+            some = values[maybe]
+            at = np.minimum(np.searchsorted(self.values, some), len(self.values) - 1)
+            out[maybe] = np.where(self.values[at] == some, self.ranks[at], -1)
+        return out
+
+
 def prefixes(docs: DataFrame, common: np.ndarray, words: int = WORDS) -> DataFrame:
-    """(shingle, key, n): the first shingles of every set, once per set and task. ``common``: in order, rarest first."""
-    ranks = np.argsort(common)
-    ordered = common[ranks]
-    shared = docs.sparkSession.sparkContext.broadcast((ordered, ranks))
+    """(shingle, key): the first shingles of every set, once per set and task."""
+    shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ordered, ranks = shared.value
-        seen = set()
-        for _, sets in _sets(batches, words):
+        order, seen = CommonLast(shared.value), set()
+        for _, block in _blocks(batches, words):
+            places = order.places(block.values)
+            any_common = np.concatenate(([0], np.cumsum(places >= 0)))[block.at]
             out: list[np.ndarray] = []
-            keys, sizes = [], []
-            for s in sets:
-                key = set_key(s) if len(s) else None
-                if key is None or key in seen:
+            keys: list[int] = []
+            for k in block.full.tolist():
+                if (key := int(block.keys[k])) in seen:
                     continue
                 seen.add(key)
-                want = prefix_length(len(s))
-                if len(ordered):
-                    at = np.minimum(np.searchsorted(ordered, s), len(ordered) - 1)
-                    usual = ordered[at] == s
-                    rare = s[~usual][:want]
-                    if len(rare) < want:
-                        late = at[usual]
-                        rare = np.concatenate((rare, ordered[late[np.argsort(ranks[late])]][: want - len(rare)]))
+                low, high = block.at[k], block.at[k + 1]
+                own, want = block.values[low:high], prefix_length(int(high - low))
+                if any_common[k + 1] > any_common[k]:
+                    place = places[low:high]
+                    first = own[place < 0][:want]
+                    if len(first) < want:
+                        late = np.flatnonzero(place >= 0)
+                        first = np.concatenate((first, own[late[np.argsort(place[late])]][: want - len(first)]))
                 else:
-                    rare = s[:want]
-                out.append(rare)
+                    first = own[:want]
+                out.append(first)
                 keys.append(key)
-                sizes.append(len(s))
             if out:
-                each = [len(x) for x in out]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate(out).view(np.int64)),
-                    pa.array(np.repeat(np.array(keys, np.int64), each)),
-                    pa.array(np.repeat(np.array(sizes, np.int32), each)),
-                ], names=["shingle", "key", "n"])
+                    pa.array(np.concatenate(out).view(np.int64)), pa.array(np.repeat(np.array(keys, np.int64), [len(x) for x in out])),
+                ], names=["shingle", "key"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "shingle long, key long, n int")
+    return docs.select("doc_id", "text").mapInArrow(run, "shingle long, key long")
 
 
-def whole_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS, groups: int = GROUPS) -> DataFrame:
-    """(key, n, shingles, point) of the wanted documents (doc_id)."""
+def with_leaders(postings: DataFrame) -> DataFrame:
+    """(shingle, key, leader) of all shingles that several sets have; the leader is the smallest of these.
+
+    One pass over rows in order; nothing is held but the last row, so a shingle
+    may have any number of sets.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, sets in _sets(batches, words):
-            sets = [s for s in sets if len(s)]
-            points = [np.bincount((s >> np.uint64(40)).astype(np.int64) % groups, minlength=groups).astype("<i4").tobytes() for s in sets]
+        last = None  # (shingle, key, leader, whether it has company) of the row that waits for its successor
+        for batch in batches:
+            s, k = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            if not len(s):
+                continue
+            if last:
+                s, k = np.concatenate(([last[0]], s)), np.concatenate(([last[1]], k))
+            new = np.concatenate(([True], s[1:] != s[:-1]))
+            starts = np.flatnonzero(new)
+            leader = k[starts][np.cumsum(new) - 1]
+            company = ~new
+            company[:-1] |= ~new[1:]
+            if last:
+                leader[: starts[1] if len(starts) > 1 else len(s)] = last[2]
+                company[0] |= last[3]
+            last = (s[-1], k[-1], leader[-1], bool(company[-1] and not new[-1]) or (len(s) == 1 and bool(company[-1])))
+            keep = company[:-1]
+            yield pa.RecordBatch.from_arrays([pa.array(x[:-1][keep]) for x in (s, k, leader)], names=["shingle", "key", "leader"])
+        if last and last[3]:
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in last[:3]], names=["shingle", "key", "leader"])
+
+    dealt = postings.repartition("shingle").sortWithinPartitions("shingle", "key")
+    return dealt.mapInArrow(run, "shingle long, key long, leader long")
+
+
+def _sets_of(docs: DataFrame, wanted: DataFrame, columns: list[str], kinds: str, words: int) -> DataFrame:
+    """Texts of the wanted documents as (key, n, shingles, then the other columns of ``wanted``).
+
+    ``wanted`` has doc_id. A set comes once per task and other columns, even if
+    its document is repeated.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for rows, block in _blocks(batches, words):
+            others = [rows.column(c).to_pylist() for c in columns]
+            fresh = []
+            for k in block.full.tolist():
+                mark = (int(block.keys[k]), *(str(o[k]) for o in others))
+                if mark not in seen:
+                    seen.add(mark)
+                    fresh.append(k)
             yield pa.RecordBatch.from_arrays([
-                pa.array([set_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()),
-                pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(points, pa.binary()),
-            ], names=["key", "n", "shingles", "point"])
+                pa.array(block.keys[fresh]), pa.array(block.sizes[fresh].astype(np.int32)),
+                pa.array([block.set(k).tobytes() for k in fresh], pa.binary()), *(rows.column(c).take(pa.array(fresh, pa.int64())) for c in columns),
+            ], names=["key", "n", "shingles", *columns])
 
     some = F.broadcast(wanted) if wanted.count() <= BROADCAST_KEYS else wanted
-    return docs.select("doc_id", "text").join(some, "doc_id", "left_semi").mapInArrow(run, "key long, n int, shingles binary, point binary")
+    joined = docs.select("doc_id", "text").join(some, "doc_id").select("doc_id", "text", *columns)
+    return joined.mapInArrow(run, "key long, n int, shingles binary" + kinds)
+
+
+def verify_stars(docs: DataFrame, stars: DataFrame, stand: DataFrame, words: int = WORDS) -> DataFrame:
+    """Which of (leader, key) link, as (a, b). Large stars are dealt over several tasks, each with a copy of the leader."""
+    salts = F.ceil(F.count("*") / STAR).cast("int")
+    sizes = stars.groupBy("leader").agg(salts.alias("salts"))
+    leaders = sizes.select("leader", F.col("leader").alias("key"), F.sequence(F.lit(0), F.col("salts") - 1).alias("at"))
+    others = stars.join(sizes, "leader").select("leader", "key", F.array(F.pmod(F.xxhash64("key"), F.col("salts")).cast("int")).alias("at"))
+    roles = leaders.unionByName(others).groupBy("key").agg(F.collect_list(F.struct("leader", "at")).alias("roles"))
+    wanted = stage(stand.join(roles, "key").select("doc_id", F.col("key").alias("own"), "roles"), "star-roles")
+    sets = _sets_of(docs, wanted, ["own", "roles"], ", own long, roles array<struct<leader:long,at:array<int>>>", words)
+    dealt = (
+        sets.where("key = own").withColumn("role", F.explode("roles")).withColumn("salt", F.explode("role.at"))
+        .select(F.col("role.leader").alias("leader"), "salt", "key", "shingles")
+        .repartition("leader", "salt").sortWithinPartitions("leader", "salt", F.col("key") != F.col("leader"))
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leader, first = None, np.empty(0, np.uint64)
+        for batch in batches:
+            a, b = [], []
+            for of, key, shingles in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
+                own = np.frombuffer(shingles.as_buffer(), np.uint64)
+                if of == key:
+                    leader, first = of, own.copy()
+                elif of == leader and linked(first, own):
+                    a.append(of)
+                    b.append(key)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def tree_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
+    """(key, n, shingles, point) of the wanted documents (doc_id)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            points = []
+            for shingles in batch.column("shingles"):
+                groups = np.frombuffer(shingles.as_buffer(), np.uint64) >> np.uint64(40)
+                points.append(np.bincount(groups.astype(np.int64) % GROUPS, minlength=GROUPS).astype("<i4").tobytes())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(points, pa.binary())], names=["key", "n", "shingles", "point"])
+
+    return _sets_of(docs, wanted, [], "", words).mapInArrow(run, "key long, n int, shingles binary, point binary")
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -277,30 +398,32 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     common = usual.orderBy(F.desc("n"), "key").limit(COMMON_AT_MOST).select("key").toPandas()["key"].to_numpy(np.int64)
 
     first = stage(prefixes(docs, common[::-1].astype(np.int64).view(np.uint64), words), "prefixes")
-    groups = first.groupBy("shingle").agg(F.min("key").alias("leader"), F.max("key").alias("_last")).where("leader <> _last")
-    members = stage(first.join(groups.drop("_last"), "shingle").distinct(), "members")
-
-    # One document stands for each set that has company.
-    stand = sized.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    wanted = stage(stand.join(members.select("key").distinct(), "key", "left_semi"), "stand-ins").select("doc_id").where("doc_id IS NOT NULL")
-    sets = stage(whole_sets(docs, wanted, words).dropDuplicates(["key"]), "sets")
-
-    stars = members.where(
-        (F.col("leader") != F.col("key"))
-    ).select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")).distinct()
-    links = stage(verify(stars, sets), "star-links")
+    members = stage(with_leaders(first), "members")
+    release(first)
+
+    # One document stands for each set; every set of a group is compared with the group's leader.
+    stand = stage(sized.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id")), "stand-ins")
+    stars = stage(members.where("leader <> key").select("leader", "key").distinct(), "stars")
+    links = stage(verify_stars(docs, stars, stand, words).distinct(), "star-links")
     labels = stage(connected_components(links), "star-labels")
 
-    labelled = members.join(labels, F.col("key") == F.col("node"), "left").withColumn("label", F.coalesce("component", "key"))
-    mixed = labelled.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("shingle")
-    open_groups = stage(labelled.join(mixed, "shingle", "left_semi").select("shingle", "key", "n", "label"), "open-groups")
-    points = sets.select("key", "point")
+    # A group is open where a member is still in another component than its leader. Its members meet in a tree.
+    label = lambda df, key, out: df.join(labels.select(F.col("node").alias(key), F.col("component").alias(out)), key, "left").withColumn(
+        out, F.coalesce(out, key))
+    apart = label(label(stars, "leader", "x"), "key", "y").where("x <> y").select("leader", "key")
+    opened = members.join(apart, ["leader", "key"], "left_semi").select("shingle").distinct()
+    open_groups = stage(label(members.join(opened, "shingle", "left_semi").select("shingle", "key").distinct(), "key", "label"), "open-groups")
+    wanted = stand.join(open_groups.select("key").distinct(), "key", "left_semi").select("doc_id")
+    sets = stage(tree_sets(docs, wanted, words), "tree-sets")
+    points = sets.select("key", "n", "point").dropDuplicates(["key"])
     candidates = stage(tree_pairs(chunked(open_groups.join(points, "key"))), "candidates")
     more = stage(verify(candidates, sets), "tree-links")
 
     reached = connected_components(links.unionByName(more))
+    release(members, stars, open_groups, sets, candidates, links, labels, more)
     classes = stage(
-        stand.join(reached, F.col("key") == F.col("node"), "left").withColumn("class", F.coalesce("component", "key")).select("key", "doc_id", "class"), "classes"
+        sized.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+        .join(reached, F.col("key") == F.col("node"), "left").withColumn("class", F.coalesce("component", "key")).select("key", "doc_id", "class"), "classes"
     )
     names = classes.groupBy("class").agg(F.min("doc_id").alias("component_id"))
     named = classes.join(names, "class").select("key", "component_id")

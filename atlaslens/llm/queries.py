@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from atlaslens.llm import chat, mixing, ngram_join, packing, rules
+from atlaslens.llm import chat, mixing, ngram_join, packing, pii, quality, rules
 from atlaslens.llm.common import table
 
 QUERIES = {}
@@ -105,3 +105,15 @@ FROM e GROUP BY conv_id
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior"]
     return rules.score(table(spark, sf_dir, "documents")).select(*names)
+
+
+@query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
+@query
+def op1_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -110,8 +110,18 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
         return mix(total)
 
 
-def shingle_sets(data: np.ndarray, at: np.ndarray, size: int) -> list[np.ndarray]:
-    """Sorted distinct shingles of each text, A-Z taken as a-z.
+def distinct_runs(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorts every run in place and leaves out repeats within a run; ``at`` has each run's start and the last end."""
+    for low, high in zip(at[:-1].tolist(), at[1:].tolist()):
+        values[low:high].sort()
+    keep = np.ones(len(values), dtype=bool)
+    keep[1:] = values[1:] != values[:-1]
+    keep[at[:-1][at[1:] > at[:-1]]] = True
+    return values[keep], np.concatenate(([0], np.cumsum(keep)))[at]
+
+
+def shingle_sets(data: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingles of each text of a block, A-Z taken as a-z: all values, and where each text's begin and end.
 
     A text with fewer words than ``size`` has its whole word sequence as one
     shingle; a text without words has none.
@@ -119,14 +129,17 @@ def shingle_sets(data: np.ndarray, at: np.ndarray, size: int) -> list[np.ndarray
     w = words(data, at)
     hashes = Runs(data, lower=True).hash(w.starts, w.ends)
     spans = windows(hashes, size)
-    out = []
-    for first, count in zip(w.first.tolist(), w.count.tolist()):
-        if count >= size:
-            out.append(np.unique(spans[first : first + count - size + 1]))
-        elif count:
-            with np.errstate(over="ignore"):
-                whole = windows(hashes[first : first + count], count) + np.uint64(count)
-            out.append(mix(whole))
-        else:
-            out.append(np.empty(0, np.uint64))
-    return out
+    whole = spans[w.doc[: len(spans)] == w.doc[size - 1 :]] if len(spans) else spans
+    short = np.flatnonzero((w.count > 0) & (w.count < size))
+    lengths = np.maximum(w.count - size + 1, 0)
+    lengths[short] = 1
+    bounds = np.concatenate(([0], np.cumsum(lengths)))
+    values = np.empty(bounds[-1], dtype=np.uint64)
+    is_short = np.zeros(len(values), dtype=bool)
+    is_short[bounds[short]] = True
+    values[~is_short] = whole
+    for k in short.tolist():
+        first, count = int(w.first[k]), int(w.count[k])
+        with np.errstate(over="ignore"):
+            values[bounds[k]] = mix(windows(hashes[first : first + count], count) + np.uint64(count))[0]
+    return distinct_runs(values, bounds)
