@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from atlaslens.llm.common import WORD, n_words, stage
+from atlaslens.llm.common import WORD, n_words, pick_rows, stage
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -145,22 +145,18 @@ def mixed_documents(docs: DataFrame, plan: DataFrame) -> DataFrame:
 
     ``n_chars``, if there, is the length of the text that is left.
     """
-    marked = docs.withColumn("fingerprint", F.xxhash64(*docs.columns))
     per_copy = F.expr("sequence(0L, copies - 1)")
     laps = F.array_sort(F.flatten(F.transform(per_copy, lambda c: F.array(taken_words(c, 0), taken_words(c, 1)))))
     wanted = plan.select(
-        F.col("doc_id").alias("_doc_id"), F.col("fingerprint").alias("_fingerprint"), "size", "copies",
-        F.filter(laps, lambda n: n > 0).alias("laps"),
-    ).where(F.size("laps") > 0)
-    # Equal rows of documents are as many as the plan says; each of the copies but one is left out, and one emits for all.
-    single, several = wanted.where("copies = 1"), wanted.where("copies > 1")
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("fingerprint") == F.col("_fingerprint"))
-    folded = marked.join(several.select("_doc_id", "_fingerprint"), same, "left_semi").dropDuplicates(["doc_id", "fingerprint"])
-    taken = marked.join(single, same).unionByName(folded.join(several, same))
-    part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0)), 1, F.col("take").cast("int")), "")
-    out = taken.withColumn("take", F.explode("laps")).withColumn(
-        "text", F.when(F.col("take") == F.col("size"), F.col("text")).otherwise(part)
+        F.col("doc_id").alias("_doc_id"), F.col("fingerprint").alias("_mark"), "copies", F.col("size").alias("_size"),
+        F.filter(laps, lambda n: n > 0).alias("_laps"),
+    ).where(F.size("_laps") > 0)
+    # Equal rows are one row of the plan, which says what all of them together give.
+    taken = pick_rows(docs, wanted, F.xxhash64(*docs.columns))
+    part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0)), 1, F.col("_take").cast("int")), "")
+    out = taken.withColumn("_take", F.explode("_laps")).withColumn(
+        "text", F.when(F.col("_take") == F.col("_size"), F.col("text")).otherwise(part)
     )
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.when(F.col("_take") == F.col("_size"), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*docs.columns)

@@ -23,10 +23,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from atlaslens.llm import texthash as T
-from atlaslens.llm.common import release, stage, text_blocks
+from atlaslens.llm.common import WORD, pick_rows, release, stage, text_blocks
 from atlaslens.llm.components import connected_components
 
 WORDS = 5
@@ -78,9 +78,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.
 
 
 def set_sizes(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """Two kinds of rows. kind 0: doc_id, n (set size), key (of the set). kind 1: a shingle (key) and in how many
+    """Two kinds of rows. kind 0: doc_id, mark, n (set size), key (of the set). kind 1: a shingle (key) and in how many
     sets of some of a task's documents it occurs (n), where these are more than one."""
-    names = ["doc_id", "n", "key", "kind"]
+    names = ["doc_id", "mark", "n", "key", "kind"]
 
     def shared(waiting: list[np.ndarray]) -> pa.RecordBatch:
         values = np.concatenate(waiting)
@@ -90,7 +90,7 @@ def set_sizes(docs: DataFrame, words: int = WORDS) -> DataFrame:
         again = times > 1
         out = values[starts[again]].view(np.int64)
         return pa.RecordBatch.from_arrays(
-            [pa.nulls(len(out), pa.int64()), pa.array(times[again]), pa.array(out), pa.array(np.ones(len(out), np.int32))], names=names
+            [*[pa.nulls(len(out), pa.int64())] * 2, pa.array(times[again]), pa.array(out), pa.array(np.ones(len(out), np.int32))], names=names
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,7 +98,7 @@ def set_sizes(docs: DataFrame, words: int = WORDS) -> DataFrame:
         held, seen = 0, set()
         for rows, block in _blocks(batches, words):
             yield pa.RecordBatch.from_arrays([
-                rows.column(0), pa.array(block.sizes.astype(np.int64)), pa.array(block.keys, mask=block.sizes == 0),
+                rows.column(0), rows.column(2), pa.array(block.sizes.astype(np.int64)), pa.array(block.keys, mask=block.sizes == 0),
                 pa.array(np.zeros(len(block.sizes), np.int32)),
             ], names=names)
             for k in block.full.tolist():
@@ -112,7 +112,12 @@ def set_sizes(docs: DataFrame, words: int = WORDS) -> DataFrame:
         if waiting:
             yield shared(waiting)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, key long, kind int")
+    return docs.select("doc_id", "text", text_mark().alias("mark")).mapInArrow(run, "doc_id long, mark long, n long, key long, kind int")
+
+
+def text_mark() -> Column:
+    """Tells rows of one doc_id with different texts apart."""
+    return F.xxhash64("text")
 
 
 class CommonLast:
@@ -390,10 +395,10 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     ``docs`` has doc_id and text; other columns are not read. Null, empty and
     wordless texts have no shingles and no links; a text of fewer words than
     ``words`` is one shingle. Repeated rows give repeated rows. A null doc_id
-    joins the component of its text but never names one.
+    joins the component of its text but never names one. A ``mark`` of the text follows.
     """
     found = stage(set_sizes(docs, words), "set-sizes")
-    sized = found.where("kind = 0").select("doc_id", "n", "key")
+    sized = found.where("kind = 0").select("doc_id", "mark", "n", "key")
     usual = found.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON_FROM)
     common = usual.orderBy(F.desc("n"), "key").limit(COMMON_AT_MOST).select("key").toPandas()["key"].to_numpy(np.int64)
 
@@ -427,5 +432,22 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     )
     names = classes.groupBy("class").agg(F.min("doc_id").alias("component_id"))
     named = classes.join(names, "class").select("key", "component_id")
-    without = sized.where("key IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return sized.join(named, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(without)
+    without = sized.where("key IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "mark")
+    return sized.join(named, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "mark").unionByName(without)
+
+
+def keep_one(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """One document of each component, the one with the smallest doc_id; all columns as they are.
+
+    Texts without words are linked with nothing and all stay. Of repeated rows
+    one stays; rows of one doc_id with different texts are told apart. Texts
+    of which no row has a doc_id stay.
+    """
+    found = jaccard_components(docs, words).where("n_shingles > 0")
+    rows = found.groupBy("component_id", "doc_id", "mark").agg(F.count("*").alias("copies"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "copies")).alias("f")
+    named = rows.where("component_id IS NOT NULL").groupBy("component_id").agg(first).select("f.*")
+    picked = named.unionByName(rows.where("component_id IS NULL").select(F.lit(True).alias("none"), "doc_id", "mark", "copies"))
+    picked = stage(picked.select(F.col("doc_id").alias("_doc_id"), F.col("mark").alias("_mark"), "copies"), "kept")
+    no_words = docs.where(F.coalesce(~F.col("text").rlike(WORD), F.lit(True)))
+    return pick_rows(docs.where(F.col("text").rlike(WORD)), picked, text_mark()).select(*docs.columns).unionByName(no_words)

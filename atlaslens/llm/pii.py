@@ -198,6 +198,11 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", names[s["kind"]], s["start"], s["end"])), ",")
 
 
+def count(spans: Column, kind: str) -> Column:
+    number = KINDS.index(kind)
+    return F.size(F.filter(spans, lambda s: s["kind"] == number)).cast("long")
+
+
 def find(docs: DataFrame) -> DataFrame:
     """doc_id, base and spans of every document. Repeated rows are found again; empty tables give no rows."""
     found = stage(candidates(docs.select("doc_id", "text")).drop("text"), "pii")

@@ -92,9 +92,9 @@ def fit(counts: np.ndarray, labels: np.ndarray, share: float) -> Model:
 
 
 def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    """Rows of (id, text, ...) with their term counts."""
+    """Rows that have a text, with their term counts."""
     for batch in batches:
-        for first, data, at in text_blocks(batch.column(1)):
+        for first, data, at in text_blocks(batch.column("text")):
             for low in range(0, len(at) - 1, 2_048):  # many short texts: bound the matrix too
                 part = at[low : low + 2_049]
                 yield batch.slice(first + low, len(part) - 1), term_counts(data[part[0] : part[-1]], part - part[0])
@@ -138,18 +138,30 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id and score (0 to 1; higher: label 1 likelier) of every whole text.
 
     A null text is empty; an empty text resembles nothing and gets about the
-    share of label 1. Without labelled documents every score is 0.5.
+    share of label 1. Without labelled documents every score is 0.5. Repeated
+    rows are scored again; other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, counts in count_batches(batches):
             values = shared.value.score(counts) if shared.value else np.full(len(counts), 0.5)
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(values)], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(values)], names=["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
 
 
+def keep(docs: DataFrame, model: Model | None, least: float = 0.5) -> DataFrame:
+    """The documents that score at least so much, with all their columns as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, counts in count_batches(batches):
+            yield rows.filter(pa.array(shared.value.score(counts) >= least)) if shared.value else rows
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id="doc_id"):
     """Whether a document's label must not be learned from; ids that are null are never held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))

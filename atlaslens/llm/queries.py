@@ -73,7 +73,7 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents")).drop("mark")
 
 
 @query
@@ -110,7 +110,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    counts = [pii.count(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
 
 
