@@ -19,9 +19,9 @@ components, and no group is expanded into all its pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -73,7 +73,7 @@ def prefix_length(n: int) -> int:
 def _blocks(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.RecordBatch, SetBlock]]:
     """The second column holds the texts."""
     for batch in batches:
-        for first, data, at in text_blocks(batch.column(1), 4 << 20):
+        for first, data, at in text_blocks(batch.column(1), 1 << 20):
             yield batch.slice(first, len(at) - 1), SetBlock(data, at, words)
 
 
@@ -359,21 +359,51 @@ class Tree:
 
 
 def tree_pairs(members: DataFrame) -> DataFrame:
-    """(a, b) of different labels that may link, from members (shingle, key, n, label, point, chunk, slot)."""
+    """(a, b) of different labels that may link, from members (shingle, chunk, slot, key, n, label, point).
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        points = np.stack([np.frombuffer(p, "<i4") for p in group["point"]])
-        keys, labels, slot = group["key"].to_numpy(), group["label"].to_numpy(), group["slot"].to_numpy()
-        a, b = [], []
-        for x, y in Tree(points, group["n"].to_numpy()).pairs():
+    A task reads its groups in order and holds one at a time: at most two chunks.
+    """
+
+    def pairs(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        labels, slot, keys = (group.column(c).to_numpy() for c in ("label", "slot", "key"))
+        none = np.empty(0, np.int64)
+        if (labels == labels[0]).all():
+            return none, none
+        points = np.frombuffer(b"".join(group.column("point").to_pylist()), "<i4").reshape(len(keys), -1)
+        a, b = [none], [none]
+        for x, y in Tree(points, group.column("n").to_numpy()).pairs():
             # Two chunks in one tree: pairs within one of them belong to that chunk's own tree.
             keep = (labels[x] != labels[y]) & ((slot[x] != slot[y]) | (slot[x] < 0))
             a.append(np.minimum(keys[x], keys[y])[keep])
             b.append(np.maximum(keys[x], keys[y])[keep])
-        none = np.empty(0, np.int64)
-        return pd.DataFrame({"a": np.concatenate(a or [none]), "b": np.concatenate(b or [none])}).drop_duplicates()
+        return np.concatenate(a), np.concatenate(b)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in chain(batches, (None,)):
+            whole = held if batch is None else pa.Table.from_batches([*(held.to_batches() if held else []), batch])
+            if whole is None or not len(whole):
+                continue
+            s, c = whole.column("shingle").to_numpy(), whole.column("chunk").to_numpy()
+            starts = np.flatnonzero(np.concatenate(([True], (s[1:] != s[:-1]) | (c[1:] != c[:-1]))))
+            ends = np.append(starts[1:], len(s))
+            done = len(starts) if batch is None else len(starts) - 1
+            found = [pairs(whole.slice(i, j - i)) for i, j in zip(starts[:done].tolist(), ends[:done].tolist())]
+            held = whole.slice(int(starts[-1])).combine_chunks()
+            if found:
+                both = np.unique(np.column_stack([np.concatenate(x) for x in zip(*found)]), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["a", "b"])
+
+    names = ["shingle", "chunk", "slot", "key", "n", "label", "point"]
+    dealt = members.select(*names).repartition("shingle", "chunk").sortWithinPartitions("shingle", "chunk")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
 
-    return members.groupBy("shingle", "chunk").applyInPandas(run, "a long, b long").distinct()
+def one_of_each(groups: DataFrame) -> DataFrame:
+    """Of groups (shingle, key, label) with the same members only the one with the smallest shingle."""
+    alike = [F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "key")).alias("y"), F.count("*").alias("n")]
+    chosen = groups.groupBy("shingle").agg(*alike).groupBy("x", "y", "n").agg(F.min("shingle").alias("shingle")).select("shingle")
+    return groups.join(chosen, "shingle", "left_semi")
 
 
 def chunked(members: DataFrame) -> DataFrame:
@@ -421,7 +451,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     wanted = stand.join(open_groups.select("key").distinct(), "key", "left_semi").select("doc_id")
     sets = stage(tree_sets(docs, wanted, words), "tree-sets")
     points = sets.select("key", "n", "point").dropDuplicates(["key"])
-    candidates = stage(tree_pairs(chunked(open_groups.join(points, "key"))), "candidates")
+    candidates = stage(tree_pairs(chunked(one_of_each(open_groups).join(points, "key"))), "candidates")
     more = stage(verify(candidates, sets), "tree-links")
 
     reached = connected_components(links.unionByName(more))

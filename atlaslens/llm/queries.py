@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from atlaslens.llm import chat, mixing, ngram_join, packing, pii, quality, rules
+from atlaslens.llm import chat, mixing, ngram_join, packing, pii, quality, rpforest, rules
 from atlaslens.llm.common import table
 
 QUERIES = {}
@@ -117,3 +117,8 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rpforest.near_duplicates(table(spark, sf_dir, "embeddings"))

@@ -32,7 +32,7 @@ def _power_table(base: int, count: int) -> np.ndarray:
     have = _powers.get(base)
     if have is None or len(have) < count:
         with np.errstate(over="ignore"):
-            steps = np.full(max(count, 1 << 21), base, dtype=np.uint64)
+            steps = np.full(max(count, 1 << 20), base, dtype=np.uint64)
             steps[0] = 1
             have = np.multiply.accumulate(steps)
         if count <= 1 << 22:
