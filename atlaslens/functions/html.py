@@ -23,12 +23,85 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset(("script", "style"))
 
-TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z) | <[!?][^>]*> | <(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*'|["'])*+)>""", re.S | re.X
-)
+NAME_END = re.compile(r"[\s/>]")
+QUOTE_OR_END = re.compile("[\"'>]")
 ATTRIBUTE = re.compile(r"""([^\s/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s]+))?""")
 
 
+class Tags:
+    """Finds the tags, comments and declarations of a page one after another, in time linear in the page.
+
+    A quote without a partner further on is an ordinary character. What cannot
+    be closed is no tag but text. Whatever a search has learned about the rest
+    of the page (no further quote, no way to a closing bracket from here) is
+    kept, so broken markup is not searched again from every tag start.
+    """
+
+    def __init__(self, source: str) -> None:
+        self.source, self.at = source, 0
+        self.last_end = source.rfind(">")
+        self.last_quote = {'"': source.rfind('"'), "'": source.rfind("'")}
+        self.dead: set[int] = set()
+        self.name_from = self.name_to = -1
+        self.sign_from, self.sign_to = 0, -1
+
+    def _name_end(self, start: int) -> int:
+        if not self.name_from <= start <= self.name_to:
+            found = NAME_END.search(self.source, start)
+            self.name_from, self.name_to = start, found.start() if found else len(self.source)
+        return self.name_to
+
+    def _sign(self, start: int) -> int:
+        """Where the next quote or closing bracket is; the end of the page if there is none."""
+        if not self.sign_from <= start <= self.sign_to:
+            found = QUOTE_OR_END.search(self.source, start)
+            self.sign_from, self.sign_to = start, found.start() if found else len(self.source)
+        return self.sign_to
+
+    def _close(self, at: int) -> int | None:
+        """Where a tag ends whose name ends here: the first ``>`` outside quotes."""
+        source, path = self.source, []
+        while at not in self.dead:
+            path.append(at)
+            at = self._sign(at) + 1
+            if at > len(source):
+                break
+            sign = source[at - 1]
+            if sign == ">":
+                return at
+            if self.last_quote[sign] >= at:
+                at = source.find(sign, at) + 1
+        self.dead.update(path)
+        return None
+
+    def next(self) -> tuple[int, int, str, str | None, str] | None:
+        """(start, end, "/" of an end tag, name, rest inside) of the next tag; the name is None for what is no element."""
+        source = self.source
+        while (start := source.find("<", self.at)) >= 0:
+            self.at = start + 1
+            first = source[start + 1 : start + 2]
+            if source.startswith("<!--", start):
+                end = source.find("-->", start + 4)
+                self.at = len(source) if end < 0 else end + 3
+                return start, self.at, "", None, ""
+            if start > self.last_end:
+                continue
+            if first in ("!", "?"):
+                self.at = source.index(">", start + 2) + 1
+                return start, self.at, "", None, ""
+            slash = "/" if first == "/" else ""
+            begin = start + 1 + len(slash)
+            letter = source[begin : begin + 1]
+            if not (letter.isascii() and letter.isalpha()):
+                continue
+            name_end = self._name_end(begin)
+            end = self._close(name_end)
+            if end is not None:
+                self.at = end
+                return start, end, slash, source[begin:name_end], source[name_end : end - 1]
+        return None
+
+
 class _Element:
     """An element as ranges: of elements below it, of texts below it, and of its source."""
 
@@ -72,14 +145,13 @@ class _Page:
             open_tags[element.tag] -= 1
             return element.tag
 
-        tags = TAG.finditer(source)
-        while (found := next(tags, None)) is not None:
-            start = found.start()
+        tags = Tags(source)
+        while (found := tags.next()) is not None:
+            start, end, slash, tag, raw = found
             if start > at:
                 text = source[at:start]
                 texts.append(html.unescape(text) if "&" in text else text)
-            at = found.end()
-            slash, tag, raw = found.groups()
+            at = end
             if tag is None:
                 continue
             tag = tag.lower()
@@ -94,7 +166,7 @@ class _Page:
                 # What follows is no markup up to the end tag; the search for tags goes on there.
                 end = re.compile(f"</{tag}", re.I).search(source, at)
                 at = end.start() if end else len(source)
-                tags = TAG.finditer(source, at)
+                tags.at = at
             if tag not in VOID and not raw.endswith("/"):
                 open_elements.append(element)
                 open_tags[tag] = open_tags.get(tag, 0) + 1
