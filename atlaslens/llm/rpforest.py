@@ -25,7 +25,8 @@ from atlaslens.llm.components import connected_components
 
 COSINE = 0.9
 TREES = 10
-SPILL = 0.12  # a vector of length 1 within this distance of a split goes both ways
+# A vector of length 1 goes both ways at a split this near, in units of how far projections spread (1 / sqrt(width)).
+SPILL = 0.16
 SAMPLE = 20_000  # the splits are fitted on at most so many vectors
 LEAF = 400  # vectors of a leaf that a tree aims at
 CHUNK = 2_048  # vectors of one side of a comparison in one task
@@ -50,9 +51,10 @@ class Tree:
     def leaves(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, leaf) of every vector and each of its leaves."""
         rows, nodes = np.arange(len(vectors)), np.zeros(len(vectors), np.int64)
+        near = SPILL / np.sqrt(vectors.shape[1])
         for direction in self.directions:
             away = (vectors @ direction)[rows] - self.thresholds[nodes]
-            left, right = away < SPILL, away >= -SPILL
+            left, right = away < near, away >= -near
             rows, nodes = (
                 np.concatenate((rows[left], rows[right])), np.concatenate((2 * nodes[left] + 1, 2 * nodes[right] + 2))
             )
@@ -80,17 +82,23 @@ def fit(sample: np.ndarray, total: int, trees: int = TREES, leaf: int = LEAF, se
     return forest
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<f8").reshape(len(column), -1)
+def _matrix(values: list[bytes], kind: str) -> np.ndarray:
+    """Vectors of length 1 from their components as they were stored."""
+    return unit(np.frombuffer(b"".join(values), kind).reshape(len(values), -1).astype(np.float64))
+
+
+def component_kind(vectors: DataFrame) -> str:
+    """Components travel as they are stored: single precision where the table has it, else double."""
+    return "<f4" if vectors.schema["embedding"].dataType.elementType.simpleString() == "float" else "<f8"
 
 
 def classes(vectors: DataFrame) -> DataFrame:
-    """(vec_id, key, width, vector): the vector of length 1 as bytes and a hash of it, null where it links with nothing.
+    """(vec_id, key, width, vector): the components as bytes and a hash of them, null where the vector links with nothing.
 
     That is: null, empty or zero vectors, and those with a null or non-finite
-    component. Vectors that point the same way up to rounding of their
-    components still are classes of their own, and are linked by their cosine.
+    component. Only vectors with equal components are one class.
     """
+    kind = component_kind(vectors)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,7 +106,7 @@ def classes(vectors: DataFrame) -> DataFrame:
             for value in batch.column(1):
                 v = np.array(value.as_py() if value.is_valid else [], dtype=np.float64)  # null components become nan
                 good = len(v) > 0 and np.isfinite(v).all() and v.any()
-                out.append(unit(v[None])[0].astype("<f8").tobytes() if good else None)
+                out.append((v + 0.0).astype(kind).tobytes() if good else None)  # -0 becomes 0
                 widths.append(len(v))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(widths, pa.int32()), pa.array(out, pa.binary())], names=["vec_id", "width", "vector"]
@@ -107,7 +115,7 @@ def classes(vectors: DataFrame) -> DataFrame:
     return vectors.select("vec_id", "embedding").mapInArrow(run, "vec_id long, width int, vector binary").withColumn("key", F.xxhash64("vector"))
 
 
-def leaf_rows(points: DataFrame, forest: list[Tree], width: int) -> DataFrame:
+def leaf_rows(points: DataFrame, forest: list[Tree], width: int, kind: str) -> DataFrame:
     """(tree, leaf, key, vector) for every leaf of every point."""
     shared = points.sparkSession.sparkContext.broadcast(forest)
 
@@ -115,7 +123,7 @@ def leaf_rows(points: DataFrame, forest: list[Tree], width: int) -> DataFrame:
         for batch in batches:
             if not len(batch):
                 continue
-            matrix = _matrix(batch.column("vector"))
+            matrix = _matrix(batch.column("vector").to_pylist(), kind)
             for number, tree in enumerate(shared.value):
                 rows, leaves = tree.leaves(matrix)
                 take = pa.array(rows)
@@ -137,11 +145,11 @@ def dealt(rows: DataFrame) -> DataFrame:
     return rows.join(sizes, ["tree", "leaf"]).withColumn("own", own).withColumn("at", F.explode(each)).select(*rows.columns, "at.chunk", "at.slot")
 
 
-def compare(rows: DataFrame, least: float) -> DataFrame:
+def compare(rows: DataFrame, least: float, kind: str) -> DataFrame:
     """(a, b) with a cosine of at least ``least`` among the rows of each tree, leaf and chunk."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        matrix = np.frombuffer(b"".join(group["vector"]), "<f8").reshape(len(group), -1)
+        matrix = _matrix(group["vector"].tolist(), kind)
         keys, slot = group["key"].to_numpy(), group["slot"].to_numpy()
         sides = [np.flatnonzero(slot == s) for s in np.unique(slot)]
         if len(sides) == 1 and slot[0] >= 0:
@@ -168,7 +176,7 @@ def near_duplicates(vectors: DataFrame, least: float = COSINE, trees: int = TREE
     Vectors of different widths are never compared. Vectors that link with
     nothing are their own component. An empty table gives no rows.
     """
-    known = stage(classes(vectors), "vectors")
+    known, kind = stage(classes(vectors), "vectors"), component_kind(vectors)
     grouped = known.where("vector IS NOT NULL").groupBy("key").agg(
         F.count("*").alias("copies"), F.min("vec_id").alias("smallest"), F.first("width").alias("width"), F.first("vector").alias("vector")
     )
@@ -177,8 +185,8 @@ def near_duplicates(vectors: DataFrame, least: float = COSINE, trees: int = TREE
     widths = [(r["width"], r["n"]) for r in points.groupBy("width").agg(F.count("*").alias("n")).orderBy("width").collect()]
     for width, n in widths:
         some = points.where(F.col("width") == width).orderBy(F.xxhash64("key", F.lit(SEED))).limit(SAMPLE).select("vector")
-        sample = np.array([np.frombuffer(r["vector"], "<f8") for r in some.collect()])
-        found = compare(dealt(leaf_rows(points, fit(sample, n, trees), width)), least)
+        sample = _matrix([bytes(r["vector"]) for r in some.collect()], kind)
+        found = compare(dealt(leaf_rows(points, fit(sample, n, trees), width, kind)), least, kind)
         links = found if links is None else links.unionByName(found)
     alone = lambda rows: rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     if links is None:
