@@ -10,7 +10,9 @@ An R-tree over a whole corpus would have to be in one place, so texts are
 first dealt out, without losing a pair: two linked texts must share a shingle
 among the first quarter of either set in any fixed order (prefix principle).
 The order puts shingles that are common in the corpus last, so passages that
-many documents share do not bring these together. Equal sets are one text from
+many documents share do not bring these together. Pairs that the tree or a
+group's leader brings up are first bounded on a finer point, with a group for
+every few shingles, so that few sets have to be sent anywhere. Equal sets are one text from
 the start. In a group of near copies all are first compared with one of them;
 only texts that this leaves unconnected meet in the tree. That suffices for
 components, and no group is expanded into all its pairs.
@@ -31,7 +33,9 @@ from atlaslens.llm.components import connected_components
 
 WORDS = 5
 NEED, OF = 75, 100  # linked when OF * shared >= NEED * union
-GROUPS = 64
+GROUPS = 64  # coordinates of points in the tree
+PER_GROUP = 4  # shingles to a group of the finer points, up to FINEST groups
+FINEST = 1 << 14
 LEAF = 16
 # A shingle counts as common from this many documents on. The list only sets an
 # order, so its bound costs no links: the most common ones go last, others by hash.
@@ -78,9 +82,10 @@ def _blocks(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.
 
 
 def set_sizes(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """Two kinds of rows. kind 0: doc_id, mark, n (set size), key (of the set). kind 1: a shingle (key) and in how many
+    """Two kinds of rows. kind 0: doc_id, mark, n (set size), key (of the set), and at the first of equal sets that a task
+    comes upon its points, ``coarse`` and ``fine``. kind 1: a shingle (key) and in how many
     sets of some of a task's documents it occurs (n), where these are more than one."""
-    names = ["doc_id", "mark", "n", "key", "kind"]
+    names = ["doc_id", "mark", "n", "key", "kind", "coarse", "fine"]
 
     def shared(waiting: list[np.ndarray]) -> pa.RecordBatch:
         values = np.concatenate(waiting)
@@ -90,29 +95,77 @@ def set_sizes(docs: DataFrame, words: int = WORDS) -> DataFrame:
         again = times > 1
         out = values[starts[again]].view(np.int64)
         return pa.RecordBatch.from_arrays(
-            [*[pa.nulls(len(out), pa.int64())] * 2, pa.array(times[again]), pa.array(out), pa.array(np.ones(len(out), np.int32))], names=names
+            [*[pa.nulls(len(out), pa.int64())] * 2, pa.array(times[again]), pa.array(out), pa.array(np.ones(len(out), np.int32)),
+             *[pa.nulls(len(out), pa.binary())] * 2], names=names
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[np.ndarray] = []
         held, seen = 0, set()
         for rows, block in _blocks(batches, words):
-            yield pa.RecordBatch.from_arrays([
-                rows.column(0), rows.column(2), pa.array(block.sizes.astype(np.int64)), pa.array(block.keys, mask=block.sizes == 0),
-                pa.array(np.zeros(len(block.sizes), np.int32)),
-            ], names=names)
+            coarse: list[bytes | None] = [None] * len(block.sizes)
+            fine = coarse.copy()
             for k in block.full.tolist():
                 if (key := int(block.keys[k])) not in seen:  # equal sets count once
                     seen.add(key)
-                    waiting.append(block.set(k))
-                    held += len(waiting[-1])
+                    own = block.set(k)
+                    waiting.append(own)
+                    held += len(own)
+                    coarse[k], fine[k] = point(own, GROUPS), point(own, finest(len(own)))
+            yield pa.RecordBatch.from_arrays([
+                rows.column(0), rows.column(2), pa.array(block.sizes.astype(np.int64)), pa.array(block.keys, mask=block.sizes == 0),
+                pa.array(np.zeros(len(block.sizes), np.int32)), pa.array(coarse, pa.binary()), pa.array(fine, pa.binary()),
+            ], names=names)
             if held > 4_000_000:
                 yield shared(waiting)
                 waiting, held, seen = [], 0, set()
         if waiting:
             yield shared(waiting)
 
-    return docs.select("doc_id", "text", text_mark().alias("mark")).mapInArrow(run, "doc_id long, mark long, n long, key long, kind int")
+    return docs.select("doc_id", "text", text_mark().alias("mark")).mapInArrow(run, "doc_id long, mark long, n long, key long, kind int, coarse binary, fine binary")
+
+
+def finest(n: int) -> int:
+    """Groups of a set's finer point: a power of two, so that points of different sizes fold onto each other."""
+    return min(FINEST, max(GROUPS, 1 << max(0, n // PER_GROUP - 1).bit_length()))
+
+
+def point(shingles: np.ndarray, groups: int) -> bytes:
+    """How many shingles fall into each group, in as few bytes as the largest count needs."""
+    counts = np.bincount((shingles >> np.uint64(20)).astype(np.int64) & (groups - 1), minlength=groups)
+    most = int(counts.max())
+    return counts.astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4").tobytes()
+
+
+def counts_of(stored: bytes, groups: int) -> np.ndarray:
+    return np.frombuffer(stored, f"<u{len(stored) // groups}").astype(np.int64)
+
+
+def may_link(n: int, left: bytes, m: int, right: bytes) -> bool:
+    """Whether sizes and summed smaller counts leave a link possible."""
+    if OF * min(n, m) < NEED * max(n, m):
+        return False
+    x, y = counts_of(left, finest(n)), counts_of(right, finest(m))
+    while len(x) > len(y):
+        x = x[: len(x) // 2] + x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] + y[len(y) // 2 :]
+    return (OF + NEED) * int(np.minimum(x, y).sum()) >= NEED * (n + m)
+
+
+def bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
+    """The pairs (a, b: keys) that their points leave possible."""
+    one = points.select(F.col("key").alias("a"), F.col("n").alias("n"), F.col("fine").alias("left"))
+    other = points.select(F.col("key").alias("b"), F.col("n").alias("m"), F.col("fine").alias("right"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("n", "left", "m", "right")))
+            good = pa.array([may_link(*row) for row in rows], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(good)
+
+    joined = pairs.join(one, "a").join(other, "b").select("a", "b", "n", "left", "m", "right")
+    return joined.mapInArrow(run, "a long, b long").distinct()
 
 
 def text_mark() -> Column:
@@ -266,20 +319,6 @@ def verify_stars(docs: DataFrame, stars: DataFrame, stand: DataFrame, words: int
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def tree_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
-    """(key, n, shingles, point) of the wanted documents (doc_id)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            points = []
-            for shingles in batch.column("shingles"):
-                groups = np.frombuffer(shingles.as_buffer(), np.uint64) >> np.uint64(40)
-                points.append(np.bincount(groups.astype(np.int64) % GROUPS, minlength=GROUPS).astype("<i4").tobytes())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(points, pa.binary())], names=["key", "n", "shingles", "point"])
-
-    return _sets_of(docs, wanted, [], "", words).mapInArrow(run, "key long, n int, shingles binary, point binary")
-
-
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
     """The exact rule on two sorted sets."""
     if len(a) > len(b):
@@ -359,7 +398,7 @@ class Tree:
 
 
 def tree_pairs(members: DataFrame) -> DataFrame:
-    """(a, b) of different labels that may link, from members (shingle, chunk, slot, key, n, label, point).
+    """(a, b) of different labels that may link, from members (shingle, chunk, slot, key, n, label, coarse).
 
     A task reads its groups in order and holds one at a time: at most two chunks.
     """
@@ -369,7 +408,7 @@ def tree_pairs(members: DataFrame) -> DataFrame:
         none = np.empty(0, np.int64)
         if (labels == labels[0]).all():
             return none, none
-        points = np.frombuffer(b"".join(group.column("point").to_pylist()), "<i4").reshape(len(keys), -1)
+        points = np.stack([counts_of(p, GROUPS) for p in group.column("coarse").to_pylist()])
         a, b = [none], [none]
         for x, y in Tree(points, group.column("n").to_numpy()).pairs():
             # Two chunks in one tree: pairs within one of them belong to that chunk's own tree.
@@ -394,7 +433,7 @@ def tree_pairs(members: DataFrame) -> DataFrame:
                 both = np.unique(np.column_stack([np.concatenate(x) for x in zip(*found)]), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["a", "b"])
 
-    names = ["shingle", "chunk", "slot", "key", "n", "label", "point"]
+    names = ["shingle", "chunk", "slot", "key", "n", "label", "coarse"]
     dealt = members.select(*names).repartition("shingle", "chunk").sortWithinPartitions("shingle", "chunk")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
@@ -438,8 +477,10 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
     # One document stands for each set; every set of a group is compared with the group's leader.
     stand = stage(sized.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id")), "stand-ins")
+    points = found.where("fine IS NOT NULL").select("key", "n", "coarse", "fine")
     stars = stage(members.where("leader <> key").select("leader", "key").distinct(), "stars")
-    links = stage(verify_stars(docs, stars, stand, words).distinct(), "star-links")
+    near = stage(bounded(stars.select(F.col("leader").alias("a"), F.col("key").alias("b")), points), "near-stars")
+    links = stage(verify_stars(docs, near.select(F.col("a").alias("leader"), F.col("b").alias("key")), stand, words).distinct(), "star-links")
     labels = stage(connected_components(links), "star-labels")
 
     # A group is open where a member is still in another component than its leader. Its members meet in a tree.
@@ -448,14 +489,15 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     apart = label(label(stars, "leader", "x"), "key", "y").where("x <> y").select("leader", "key")
     opened = members.join(apart, ["leader", "key"], "left_semi").select("shingle").distinct()
     open_groups = stage(label(members.join(opened, "shingle", "left_semi").select("shingle", "key").distinct(), "key", "label"), "open-groups")
-    wanted = stand.join(open_groups.select("key").distinct(), "key", "left_semi").select("doc_id")
-    sets = stage(tree_sets(docs, wanted, words), "tree-sets")
-    points = sets.select("key", "n", "point").dropDuplicates(["key"])
-    candidates = stage(tree_pairs(chunked(one_of_each(open_groups).join(points, "key"))), "candidates")
-    more = stage(verify(candidates, sets), "tree-links")
+    some = points.select("key", "n", "coarse").dropDuplicates(["key"])
+    candidates = stage(tree_pairs(chunked(one_of_each(open_groups).join(some, "key"))), "candidates")
+    possible = stage(bounded(candidates, points), "possible")
+    wanted = stand.join(possible.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key", "left_semi").select("doc_id")
+    sets = stage(_sets_of(docs, wanted, [], "", words).select("key", "shingles"), "tree-sets")
+    more = stage(verify(possible, sets).distinct(), "tree-links")
 
     reached = connected_components(links.unionByName(more))
-    release(members, stars, open_groups, sets, candidates, links, labels, more)
+    release(members, stars, near, open_groups, sets, candidates, possible, links, labels, more)
     classes = stage(
         sized.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
         .join(reached, F.col("key") == F.col("node"), "left").withColumn("class", F.coalesce("component", "key")).select("key", "doc_id", "class"), "classes"
