@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from atlaslens.llm import chat, mixing, ngram_join, packing, pii, quality, rpforest, rules
+from atlaslens.llm import chat, html_blocks, mixing, ngram_join, packing, pii, quality, rpforest, rules, sharding
 from atlaslens.llm.common import table
 
 QUERIES = {}
@@ -122,3 +122,33 @@ def op1_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rpforest.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_blocks.extract(pages, html_blocks.train(pages))
+
+
+@query
+def op2_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+# Bucket sums at every depth, one after another; the given tables repeat no doc_id, so 60 bits are enough.
+ORACLES["op2_extendible_shards"] = """
+WITH d AS (
+  SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes,
+    CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT) AS h FROM documents
+), e AS (
+  SELECT d.*, CAST(k AS INTEGER) AS depth, h >> (60 - k) AS above FROM d, range(0, 41) r(k)
+), s AS (
+  SELECT depth, above, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes, count(*) AS shard_documents FROM e GROUP BY ALL
+), f AS (
+  SELECT doc_id, n_bytes, depth, above, shard_bytes, shard_documents,
+    row_number() OVER (PARTITION BY doc_id ORDER BY depth) AS r
+  FROM e JOIN s USING (depth, above) WHERE shard_bytes <= 1048576 OR shard_documents = 1
+)
+SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(above), depth, '0') END AS shard, depth, shard_bytes, shard_documents
+FROM f WHERE r = 1
+"""
