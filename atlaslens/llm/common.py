@@ -62,13 +62,13 @@ def _file_system(spark: SparkSession, path: str):
 def pick_rows(docs: DataFrame, picked: DataFrame, mark: Column) -> DataFrame:
     """Rows of ``docs`` whose doc_id and mark (a number worked out from the row) are picked, once each.
 
-    ``picked`` has _doc_id, _mark, copies (how many such rows there are) and
+    ``picked`` has _doc_id, _mark, _copies (how many such rows there are) and
     what else the result is to carry. Rows without copies are joined as they
     are; only those with copies are folded, before their texts travel far.
     """
     marked = docs.withColumn("_own_mark", mark)
     same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_own_mark") == F.col("_mark"))
-    single, several = picked.where("copies = 1"), picked.where("copies > 1")
+    single, several = picked.where("_copies = 1"), picked.where("_copies > 1")
     folded = marked.join(several.select("_doc_id", "_mark"), same, "left_semi").dropDuplicates(["doc_id", "_own_mark"])
     return marked.join(single, same).unionByName(folded.join(several, same)).drop("_own_mark", "_doc_id", "_mark")
 

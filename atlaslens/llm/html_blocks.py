@@ -39,7 +39,7 @@ PATH_TERMS, WORD_TERMS, SIZES = 160, 48, 6
 WIDTH = PATH_TERMS + WORD_TERMS + SIZES
 HIDDEN = 16
 SAMPLE_PAGES = 200  # given pages to learn from, at most
-MADE_PAGES = 500  # laid out by the generator
+MADE_PAGES = 600  # laid out by the generator
 EPOCHS, BATCH, RATE, SEED = 18, 25, 0.02, 7
 #: Longer sequences are read in windows of so many blocks with as much context on either side as fits a quarter.
 WINDOW = 4_096
@@ -370,6 +370,9 @@ def made_page(random: Random) -> tuple[str, str]:
     wrapped = before + body + closing
     if random.random() < 0.4:
         wrapped = f'<div class="{random.choice(["wrapper", "container", "page", "site", "row"])}">' + wrapped + random.choice(["</div>", ""])
+    if random.random() < 0.15:  # a fragment, as some feeds hold them
+        head = before = ""
+        wrapped, after = body + closing, random.choice(["", after])
     return head + wrapped + after + random.choice(["</body></html>", ""]), " ".join(" ".join(html.unescape(m).split()) for m in main)
 
 

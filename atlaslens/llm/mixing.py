@@ -21,8 +21,6 @@ SHARD_WORDS = 65_536
 MAX_SHARDS = 4_096
 SEED = "mix-1"
 
-EVERYTHING = F.lit(0)
-
 
 def apportion(parties: DataFrame, group: list[str], votes: str, seats: str, ties: list[str], out: str) -> DataFrame:
     """Sainte-Laguë: the seats of a group go to the highest quotients votes / (2k - 1), k-th seat of a party.
@@ -32,7 +30,7 @@ def apportion(parties: DataFrame, group: list[str], votes: str, seats: str, ties
     party can be moved by at most n/2 times its share plus one seats, so only so
     many quotients per party are looked at. ``ties`` settles equal quotients.
     """
-    over = Window.partitionBy(*group) if group else Window.partitionBy(EVERYTHING)
+    over = Window.partitionBy(*group)
     share = F.when(F.col("_sum") > 0, F.col(votes) / F.col("_sum")).otherwise(0.0)
     rounded = (
         parties.withColumn("_sum", F.sum(votes).over(over)).withColumn("_n", F.count(F.lit(1)).over(over))
@@ -47,7 +45,7 @@ def apportion(parties: DataFrame, group: list[str], votes: str, seats: str, ties
     ranked = rounded.withColumn("_step", F.explode_outer(F.when(F.col("_base") + F.col("_short") >= 0, step)))
     quotient = F.when(F.col("_step").isNotNull(), F.col(votes) / (2 * seat - 1))
     signed = F.when(F.col("_short") > 0, -quotient).otherwise(quotient)
-    order = (Window.partitionBy(*group) if group else Window.partitionBy(EVERYTHING)).orderBy(
+    order = Window.partitionBy(*group).orderBy(
         signed.asc_nulls_last(), *(F.when(F.col("_short") > 0, F.col(t)).asc_nulls_last() for t in ties), *(F.col(t).desc() for t in ties)
     )
     chosen = ranked.withColumn("_chosen", F.when(
@@ -66,7 +64,7 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
     k as full gives a common level for the rest; the true level is the highest
     of these, as any other choice of k counts some source for more than it gives.
     """
-    everything = Window.partitionBy(EVERYTHING)
+    everything = Window.partitionBy()
     position = F.row_number().over(everything.orderBy(F.col("source").asc_nulls_last())) - 1
     weight = F.element_at(F.array(*(F.lit(w) for w in weights)), (position % len(weights) + 1).cast("int"))
     limit = (F.col("source_size") * most).cast("double")
@@ -105,7 +103,7 @@ def plan_mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int =
     words = F.col("size") * F.col("copies")
     sizes = folded.groupBy("key", "source").agg(F.sum(words).alias("source_size"))
     targeted = source_targets(sizes, **targets)
-    total = F.sum("target").over(Window.partitionBy(EVERYTHING))
+    total = F.sum("target").over(Window.partitionBy())
     sources = apportion(
         targeted.withColumn("seats", F.round(total / block_words).cast("long")), [], "target", "seats", ["key"], "blocks"
     ).withColumn("shards", F.greatest(F.lit(1), F.least(F.lit(MAX_SHARDS), F.ceil(F.col("source_size") / shard_words))).cast("int"))
@@ -148,7 +146,7 @@ def mixed_documents(docs: DataFrame, plan: DataFrame) -> DataFrame:
     per_copy = F.expr("sequence(0L, copies - 1)")
     laps = F.array_sort(F.flatten(F.transform(per_copy, lambda c: F.array(taken_words(c, 0), taken_words(c, 1)))))
     wanted = plan.select(
-        F.col("doc_id").alias("_doc_id"), F.col("fingerprint").alias("_mark"), "copies", F.col("size").alias("_size"),
+        F.col("doc_id").alias("_doc_id"), F.col("fingerprint").alias("_mark"), F.col("copies").alias("_copies"), F.col("size").alias("_size"),
         F.filter(laps, lambda n: n > 0).alias("_laps"),
     ).where(F.size("_laps") > 0)
     # Equal rows are one row of the plan, which says what all of them together give.

@@ -33,7 +33,7 @@ from atlaslens.llm.components import connected_components
 
 WORDS = 5
 NEED, OF = 75, 100  # linked when OF * shared >= NEED * union
-GROUPS = 64  # coordinates of points in the tree
+GROUPS = 256  # coordinates of points in the tree
 PER_GROUP = 4  # shingles to a group of the finer points, up to FINEST groups
 FINEST = 1 << 14
 LEAF = 16
@@ -44,6 +44,8 @@ COMMON_AT_MOST = 1 << 20
 # Members of one tree. Larger groups are dealt into chunks, and every two chunks share a tree.
 CHUNK = 2_048
 BROADCAST_KEYS = 2_000_000
+# How often the components of a group are compared by one member each before all members that are still apart meet.
+ROUNDS = 3
 # Sets that one task compares with a leader.
 STAR = 4_096
 
@@ -138,7 +140,7 @@ def point(shingles: np.ndarray, groups: int) -> bytes:
 
 
 def counts_of(stored: bytes, groups: int) -> np.ndarray:
-    return np.frombuffer(stored, f"<u{len(stored) // groups}").astype(np.int64)
+    return np.frombuffer(stored, f"<u{len(stored) // groups}").astype(np.int32)
 
 
 def may_link(n: int, left: bytes, m: int, right: bytes) -> bool:
@@ -362,7 +364,7 @@ class Tree:
             self.nodes.append((*box, None, rows))
         else:
             with_size = np.column_stack((sizes, points))
-            axis = int(np.argmax(with_size.max(0) - with_size.min(0)))
+            axis = int(np.argmax(np.ptp(with_size, axis=0)))
             order = np.argsort(with_size[:, axis], kind="stable")
             half = len(rows) // 2
             children = (self._load(rows[order[:half]]), self._load(rows[order[half:]]))
@@ -445,6 +447,32 @@ def one_of_each(groups: DataFrame) -> DataFrame:
     return groups.join(chosen, "shingle", "left_semi")
 
 
+def verified(docs: DataFrame, pairs: DataFrame, points: DataFrame, stand: DataFrame, words: int) -> DataFrame:
+    """The pairs (a, b) that link: first by their points, then by their sets."""
+    near = stage(bounded(pairs, points), "near")
+    found = verify_stars(docs, near.select(F.col("a").alias("leader"), F.col("b").alias("key")), stand, words)
+    return stage(found.distinct(), "verified")
+
+
+def open_groups(groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """(shingle, key, label, members) of the groups whose members are not all in one component."""
+    named = labels.select(F.col("node").alias("key"), F.col("component").alias("label"))
+    tagged = groups.select("shingle", "key").join(named, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    mixed = tagged.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("members"))
+    return stage(tagged.join(mixed.where("x <> y").select("shingle", "members"), "shingle"), "open-groups")
+
+
+def representatives(groups: DataFrame, number: int) -> DataFrame:
+    """Pairs (a, b): one member of the largest component of a group with one of each other component.
+
+    Groups of two are left to the tree, which looks at their only pair anyway.
+    """
+    drawn = F.min(F.struct(F.xxhash64("key", F.lit(number)).alias("h"), "key"))["key"]
+    each = groups.where("members > 2").groupBy("shingle", "label").agg(F.count("*").alias("size"), drawn.alias("b"))
+    first = each.groupBy("shingle").agg(F.max(F.struct("size", "label", F.col("b").alias("a"))).alias("f")).select("shingle", F.col("f.label").alias("main"), "f.a")
+    return each.join(first, "shingle").where("label <> main").select("a", "b").distinct()
+
+
 def chunked(members: DataFrame) -> DataFrame:
     """Deals groups of more than CHUNK members into chunks, and gives every two chunks of a group a tree of their own.
 
@@ -475,29 +503,31 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     members = stage(with_leaders(first), "members")
     release(first)
 
-    # One document stands for each set; every set of a group is compared with the group's leader.
+    # One document stands for each set. Each set is compared with the smallest leader of its groups; then, group by
+    # group, the components that are left are compared with the largest by one member each, a few times over.
     stand = stage(sized.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id")), "stand-ins")
     points = found.where("fine IS NOT NULL").select("key", "n", "coarse", "fine")
-    stars = stage(members.where("leader <> key").select("leader", "key").distinct(), "stars")
-    near = stage(bounded(stars.select(F.col("leader").alias("a"), F.col("key").alias("b")), points), "near-stars")
-    links = stage(verify_stars(docs, near.select(F.col("a").alias("leader"), F.col("b").alias("key")), stand, words).distinct(), "star-links")
-    labels = stage(connected_components(links), "star-labels")
-
-    # A group is open where a member is still in another component than its leader. Its members meet in a tree.
-    label = lambda df, key, out: df.join(labels.select(F.col("node").alias(key), F.col("component").alias(out)), key, "left").withColumn(
-        out, F.coalesce(out, key))
-    apart = label(label(stars, "leader", "x"), "key", "y").where("x <> y").select("leader", "key")
-    opened = members.join(apart, ["leader", "key"], "left_semi").select("shingle").distinct()
-    open_groups = stage(label(members.join(opened, "shingle", "left_semi").select("shingle", "key").distinct(), "key", "label"), "open-groups")
+    stars = members.groupBy("key").agg(F.min("leader").alias("leader")).where("leader <> key")
+    links = verified(docs, stars.select(F.col("leader").alias("a"), F.col("key").alias("b")), points, stand, words)
+    labels = stage(connected_components(links), "labels")
+    groups = open_groups(members, labels)
+    for number in range(ROUNDS):
+        pairs = stage(representatives(groups, number), "representatives")
+        if pairs.isEmpty():
+            break
+        links = stage(links.unionByName(verified(docs, pairs, points, stand, words)), "links")
+        labels = stage(connected_components(links), "labels")
+        groups = open_groups(groups, labels)
+
     some = points.select("key", "n", "coarse").dropDuplicates(["key"])
-    candidates = stage(tree_pairs(chunked(one_of_each(open_groups).join(some, "key"))), "candidates")
+    candidates = stage(tree_pairs(chunked(one_of_each(groups).join(some, "key"))), "candidates")
     possible = stage(bounded(candidates, points), "possible")
     wanted = stand.join(possible.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key", "left_semi").select("doc_id")
     sets = stage(_sets_of(docs, wanted, [], "", words).select("key", "shingles"), "tree-sets")
     more = stage(verify(possible, sets).distinct(), "tree-links")
 
     reached = connected_components(links.unionByName(more))
-    release(members, stars, near, open_groups, sets, candidates, possible, links, labels, more)
+    release(members, groups, sets, candidates, possible, links, labels, more)
     classes = stage(
         sized.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
         .join(reached, F.col("key") == F.col("node"), "left").withColumn("class", F.coalesce("component", "key")).select("key", "doc_id", "class"), "classes"
@@ -520,6 +550,6 @@ def keep_one(docs: DataFrame, words: int = WORDS) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "copies")).alias("f")
     named = rows.where("component_id IS NOT NULL").groupBy("component_id").agg(first).select("f.*")
     picked = named.unionByName(rows.where("component_id IS NULL").select(F.lit(True).alias("none"), "doc_id", "mark", "copies"))
-    picked = stage(picked.select(F.col("doc_id").alias("_doc_id"), F.col("mark").alias("_mark"), "copies"), "kept")
+    picked = stage(picked.select(F.col("doc_id").alias("_doc_id"), F.col("mark").alias("_mark"), F.col("copies").alias("_copies")), "kept")
     no_words = docs.where(F.coalesce(~F.col("text").rlike(WORD), F.lit(True)))
     return pick_rows(docs.where(F.col("text").rlike(WORD)), picked, text_mark()).select(*docs.columns).unionByName(no_words)
