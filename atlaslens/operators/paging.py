@@ -62,20 +62,21 @@ def is_stop(
     )
 
 
-def take_until_stop(
-    pages: DataFrame, keys: Sequence[str] = PAGE_KEY, max_pages: int = config.MAX_PAGES,
-) -> DataFrame:
+def take_until_stop(pages: DataFrame, keys: Sequence[str] = PAGE_KEY) -> DataFrame:
     """Pages up to and including the first stopping page of their key.
 
-    Expects one row per key and page. Paging never goes beyond the page limit, so a
-    window holds at most ``max_pages`` rows, whatever the number of reviews of a key.
+    The first stop is a minimum per key, found before the shuffle in each task; a key
+    may have any number of pages.
     """
-    before = Window.partitionBy(*keys).orderBy("page_number").rowsBetween(Window.unboundedPreceding, -1)
+    stops = pages.where("is_stop").groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.min("page_number").alias("_first_stop"))
+    same = None
+    for k in keys:
+        each = F.col(k).eqNullSafe(F.col(f"_{k}"))
+        same = each if same is None else same & each
     return (
-        pages.where(F.col("page_number") < max_pages)
-        .withColumn("_stopped", F.max("is_stop").over(before))
-        .where(~F.coalesce("_stopped", F.lit(False)))
-        .drop("_stopped")
+        pages.join(stops, same, "left")
+        .where(F.col("_first_stop").isNull() | (F.col("page_number") <= F.col("_first_stop")))
+        .select(*pages.columns)
     )
 
 

@@ -6,62 +6,61 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from atlaslens.functions import geo
 
+# Levels looked at one after another: cells of about 38 m, 306 m and 2.4 km at the equator.
+FINEST_LEVEL = 20
+LEVEL_STEP = 3
 
-def _around(xy: str, steps: int) -> Column:
-    """The coarse coordinate of a cell and its two neighbours."""
-    coarse = F.shiftright(F.col(xy), steps)
-    return F.explode(F.sequence(coarse - 1, coarse + 1))
 
+def _wrapped(x: Column, level: int) -> Column:
+    """Cells east of the last column are those west of the first."""
+    return F.pmod(x, F.lit(1 << level))
 
-def nearest_by_name(
-    entries: DataFrame, places: DataFrame, lat: str = "lat", lng: str = "lng",
-    coarse: int = geo.COARSE_LEVEL, fine: int = geo.FINE_LEVEL,
-) -> DataFrame:
-    """Add place_id of the first candidate, or null: same name, nearest fine cell.
 
-    Candidates have exactly the entry's name and lie in its coarse cell or one of the
-    eight around it. They are ranked by the squared distance between fine cells, then
-    by place_id.
+def _around(x: Column, y: Column, level: int) -> Column:
+    """The cell and its eight neighbours as an array of (x, y)."""
+    steps = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
+    return F.array(*(F.struct(_wrapped(x + dx, level).alias("x"), (y + dy).alias("y")) for dx, dy in steps))
 
-    Only the fine cell and the name of an entry matter for the choice, so both sides
-    are first folded to one row per name and fine cell. After that a name meets, per
-    coarse cell, at most 4**(fine - coarse) entry rows and 9 times as many places,
-    however many rows share the name or the spot.
-    """
-    steps = fine - coarse
 
-    def with_cell(df: DataFrame) -> DataFrame:
-        return df.withColumns({
-            "_x": geo.tile_x(F.col(lng), fine),
-            "_y": geo.tile_y(F.col(lat), fine),
-        })
-
-    located = with_cell(entries)
-    spots = (
-        located.where(F.col("name").isNotNull() & F.col(lat).isNotNull() & F.col(lng).isNotNull())
-        .select("name", "_x", "_y").distinct()
-        .withColumns({"_cx": F.shiftright("_x", steps), "_cy": F.shiftright("_y", steps)})
-    )
-    folded = with_cell(places).groupBy("name", "_x", "_y").agg(F.min("place_id").alias("place_id"))
+def nearest_by_name(
+    entries: DataFrame, places: DataFrame, lat: str = "lat", lng: str = "lng", coarse: int = geo.COARSE_LEVEL,
+) -> DataFrame:
+    """Add place_id of the nearest place of exactly the entry's name, and distance_mm; null if there is none.
 
-    # A place of that name in the entry's own cell cannot be beaten; it is unique by now.
-    here = spots.join(folded, ["name", "_x", "_y"], "left")
-    found = here.where(F.col("place_id").isNotNull()).select("name", "_x", "_y", "place_id", F.lit(0).cast("long").alias("cells2"))
+    Candidates lie in the entry's coarse cell or one of the eight around it, across the
+    180th meridian too. They are ranked by distance in whole millimetres, then place_id.
 
-    # Only where there is none, the places around are compared.
-    around = (
-        folded.select("name", F.col("_x").alias("_px"), F.col("_y").alias("_py"), F.col("place_id").alias("_place_id"))
-        .withColumn("_cx", _around("_px", steps))
-        .withColumn("_cy", _around("_py", steps))
-    )
-    dx, dy = F.col("_px") - F.col("_x"), F.col("_py") - F.col("_y")
-    nearest = (
-        here.where(F.col("place_id").isNull()).drop("place_id")
-        .join(around, ["name", "_cx", "_cy"])
-        # Grouping by the join keys as well keeps the pairs where the join put them.
-        .groupBy("name", "_cx", "_cy", "_x", "_y")
-        .agg(F.min(F.struct((dx * dx + dy * dy).alias("cells2"), F.col("_place_id").alias("place_id"))).alias("_best"))
-        .select("name", "_x", "_y", "_best.place_id", "_best.cells2")
+    Entries and places are first folded to one row per name and point. Entries then look
+    around in ever coarser cells and stop as soon as nothing outside the nine cells can be
+    nearer, so in a crowd they meet only the places next to them.
+    """
+    located = entries.where(F.col("name").isNotNull() & F.col(lat).isNotNull() & F.col(lng).isNotNull())
+    spots = located.select("name", F.col(lat).alias("_lat"), F.col(lng).alias("_lng")).distinct()
+    folded = places.where(F.col("name").isNotNull()).groupBy("name", F.col(lat).alias("_plat"), F.col(lng).alias("_plng")).agg(
+        F.min("place_id").alias("_place_id")
     )
-    chosen = found.unionByName(nearest)
-    return located.join(chosen, ["name", "_x", "_y"], "left").drop("_x", "_y")
+    metres = geo.haversine_m(F.col("_lat"), F.col("_lng"), F.col("_plat"), F.col("_plng"))
+    distance = F.floor(metres * 1000.0 + 0.5)
+    levels = [*range(FINEST_LEVEL, coarse, -LEVEL_STEP), coarse]
+    open_spots, found = spots, None
+    for level in levels:
+        cell = lambda la, ln, level=level: (geo.tile_x(F.col(ln), level), geo.tile_y(F.col(la), level))
+        px, py = cell("_plat", "_plng")
+        x, y = cell("_lat", "_lng")
+        there = folded.withColumns({"_x": _wrapped(px, level), "_y": py})
+        near = (
+            open_spots.withColumn("_cell", F.explode(_around(x, y, level)))
+            .select("*", F.col("_cell.x").alias("_x"), F.col("_cell.y").alias("_y"))
+            .join(there, ["name", "_x", "_y"])
+            .groupBy("name", "_lat", "_lng")
+            .agg(F.min(F.struct(distance.alias("distance_mm"), F.col("_place_id").alias("place_id"))).alias("_best"))
+        )
+        # Whatever lies outside is at least one cell away; rows of cells get lower towards the poles.
+        side = geo.EARTH_CIRCUMFERENCE_M / float(2**level) * F.cos(F.radians(F.least(F.abs("_lat") + 360.0 / 2**level, F.lit(90.0))))
+        sure = F.lit(True) if level == coarse else F.col("_best.distance_mm") < side * 990.0
+        settled = near.where(sure).select("name", "_lat", "_lng", "_best.place_id", "_best.distance_mm")
+        found = settled if found is None else found.unionByName(settled)
+        if level != coarse:
+            open_spots = open_spots.join(settled.select("name", "_lat", "_lng"), ["name", "_lat", "_lng"], "left_anti")
+    same = (F.col("name") == F.col("_name")) & (F.col(lat) == F.col("_lat")) & (F.col(lng) == F.col("_lng"))
+    return entries.join(found.withColumnRenamed("name", "_name"), same, "left").drop("_name", "_lat", "_lng")

@@ -38,10 +38,10 @@ def with_review_lists(pages: DataFrame, parsers: DataFrame, language: str = "scr
     """Pages with their lists of reviews, names, times and stars in place of the content.
 
     Adds ``n_rows``, the length of the longest list, and the ``outcome`` of the page.
-    The parser table has a fixed size and is broadcast. A page in a language without
+    Spark broadcasts the parser table if its size allows. A page in a language without
     parser settings has empty lists.
     """
-    settings = F.broadcast(parsers.withColumnRenamed("language", language))
+    settings = parsers.withColumnRenamed("language", language)
     lists = review_lists(
         F.col("content"), F.col("stars_class"), F.col("review_class"), F.col("sing_lang_review_class"),
         F.col("full_review_class"), config.NAME_CLASS, config.TIME_CLASS,

@@ -41,9 +41,9 @@ def last_scraped_by_language(places: DataFrame, language: Column) -> Column:
 def shape_requests(due: DataFrame, localization: DataFrame, country: str = "country") -> DataFrame:
     """Due places as scrape requests: language and domain of the country are added.
 
-    The localization table has a fixed size and is broadcast.
+    Spark broadcasts the localization table if its size allows.
     """
-    loc = F.broadcast(localization.select(F.col("country").alias(country), "language", F.col("domain").alias("country_domain")))
+    loc = localization.select(F.col("country").alias(country), "language", F.col("domain").alias("country_domain"))
     return due.join(loc, country).withColumn(
         "last_scraped",
         F.coalesce(F.date_format("last_scraped", "yyyy-MM-dd"), F.lit(config.NO_DATE_IN_REQUEST)),

@@ -5,19 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def live_keys(
-    state: DataFrame, as_of: Column, max_ttl_s: int, key: str = "key", set_at: str = "set_at", ttl_s: str = "ttl_s",
-) -> DataFrame:
+def live_keys(state: DataFrame, as_of: Column, key: str = "key", set_at: str = "set_at", ttl_s: str = "ttl_s") -> DataFrame:
     """Keys whose latest set has not expired, with the seconds they have left.
 
     ``set_at`` is in whole microseconds. Setting a key again replaces its expiry,
     so only the latest row of a key counts. A key is gone at exactly set_at + ttl.
-
-    No row older than the longest ttl can make a key live, and if it is the latest of
-    its key, the key is gone anyway: such rows are dropped before anything is shuffled.
+    A row with a null ttl deletes its key; of a set and a delete at the same time
+    the set counts.
     """
-    recent = state.where(F.col(set_at) > as_of - max_ttl_s * 1_000_000)
-    latest = recent.groupBy(key).agg(F.max_by(F.struct(set_at, ttl_s), F.struct(set_at, ttl_s)).alias("_last"))
+    latest = state.groupBy(key).agg(F.max_by(F.struct(set_at, ttl_s), F.struct(set_at, ttl_s)).alias("_last"))
     left_us = F.col(f"_last.{set_at}") + F.col(f"_last.{ttl_s}") * 1_000_000 - as_of
     return (
         latest.withColumn("_left_us", left_us)
@@ -33,7 +29,7 @@ def live_keys(
 def keys_with_prefix(state: DataFrame, prefix: str, key: str = "key", name: str = "name") -> DataFrame:
     """Rows whose key begins with the prefix, with the rest of the key as a column."""
     return state.where(F.startswith(F.col(key), F.lit(prefix))).withColumn(
-        name, F.substring(F.col(key), len(prefix) + 1, 1_000_000)
+        name, F.expr(f"right({key}, length({key}) - {len(prefix)})")
     )
 
 
@@ -44,32 +40,44 @@ def keys_with_suffix(state: DataFrame, suffix: str, key: str = "key", name: str
     )
 
 
-def alive_spans(df: DataFrame, key: str, at_us: str, ttl_s: int) -> DataFrame:
-    """Spans in which a key stayed set, when every row sets it for ``ttl_s`` seconds.
-
-    A span ends where the next set comes ``ttl_s`` or more after the last one.
-    Returns key, span_start_us, last_set_us and n_sets.
+def span_slices(df: DataFrame, keys: list[str], at_us: str, ttl_s: int, *latest: str) -> DataFrame:
+    """Sets folded to one row per key and ``ttl_s`` slice of time.
 
-    Rows of one key in the same ``ttl_s`` slice of time are less than a ttl apart, so
-    they always share a span. The first step therefore folds each slice to one row,
-    combined before the shuffle; the windows below then see one row per key and
-    slice, a number bounded by the length of the time range and not by the rows.
+    Rows of one key in the same slice are less than a ttl apart, so they always
+    share a span: nothing is lost by folding them, in any order and in any number
+    of batches. ``latest`` names columns whose values at the last set are kept; they
+    break ties of time, in the order given.
     """
     width = ttl_s * 1_000_000
     slice_start = F.col(at_us) - F.pmod(F.col(at_us), F.lit(width))
-    slices = df.groupBy(key, slice_start.alias("_slice")).agg(
-        F.min(at_us).alias("_first"), F.max(at_us).alias("_last"), F.count(F.lit(1)).alias("_n")
+    return df.groupBy(*keys, slice_start.alias("_slice")).agg(
+        F.min(at_us).alias("_first"), F.max(F.struct(at_us, *latest)).alias("_end"), F.count(F.lit(1)).alias("_n")
     )
-    in_time = Window.partitionBy(key).orderBy("_slice")
-    starts = F.coalesce(F.col("_first") - F.lag("_last").over(in_time) >= width, F.lit(True))
+
+
+def spans_of_slices(slices: DataFrame, keys: list[str], at_us: str, ttl_s: int, *latest: str) -> DataFrame:
+    """Spans from slices, which may come from several batches: keys, span_start_us, last_set_us, n_sets, latest values.
+
+    The windows see one row per key and slice, a number bounded by the length of the
+    time range and not by the rows.
+    """
+    width = ttl_s * 1_000_000
+    merged = slices.groupBy(*keys, "_slice").agg(F.min("_first").alias("_first"), F.max("_end").alias("_end"), F.sum("_n").alias("_n"))
+    in_time = Window.partitionBy(*keys).orderBy("_slice")
+    starts = F.coalesce(F.col("_first") - F.lag(f"_end.{at_us}").over(in_time) >= width, F.lit(True))
     return (
-        slices.withColumn("_starts", starts.cast("int"))
+        merged.withColumn("_starts", starts.cast("int"))
         .withColumn("_span", F.sum("_starts").over(in_time))
-        .groupBy(key, "_span")
-        .agg(
-            F.min("_first").alias("span_start_us"),
-            F.max("_last").alias("last_set_us"),
-            F.sum("_n").alias("n_sets"),
-        )
-        .drop("_span")
+        .groupBy(*keys, "_span")
+        .agg(F.min("_first").alias("span_start_us"), F.max("_end").alias("_end"), F.sum("_n").alias("n_sets"))
+        .select(*keys, "span_start_us", F.col(f"_end.{at_us}").alias("last_set_us"), "n_sets", *(F.col(f"_end.{c}").alias(c) for c in latest))
     )
+
+
+def alive_spans(df: DataFrame, key: str, at_us: str, ttl_s: int) -> DataFrame:
+    """Spans in which a key stayed set, when every row sets it for ``ttl_s`` seconds.
+
+    A span ends where the next set comes ``ttl_s`` or more after the last one.
+    Returns key, span_start_us, last_set_us and n_sets.
+    """
+    return spans_of_slices(span_slices(df, [key], at_us, ttl_s), [key], at_us, ttl_s)

@@ -299,14 +299,14 @@ def town_sql(key: str) -> str:
     WITH places AS (SELECT 'p' || c_custkey AS place_id, c_mktsegment AS name, {town_sql("c_custkey")} FROM customer),
     entries AS (SELECT o_orderkey, CASE WHEN o_totalprice > 400000 THEN 'Unknown' ELSE c_mktsegment END AS name, {town_sql("o_orderkey")}
                 FROM orders JOIN customer ON c_custkey = o_custkey),
-    p AS (SELECT *, {x_sql("lng", 17)} AS x, {y_sql("lat", 17)} AS y FROM places),
-    e AS (SELECT *, {x_sql("lng", 17)} AS x, {y_sql("lat", 17)} AS y FROM entries),
-    ranked AS (
-        SELECT e.o_orderkey, e.name, p.place_id, (p.x - e.x) * (p.x - e.x) + (p.y - e.y) * (p.y - e.y) AS cells2,
-               row_number() OVER (PARTITION BY e.o_orderkey ORDER BY (p.x - e.x) * (p.x - e.x) + (p.y - e.y) * (p.y - e.y), p.place_id) AS rn
-        FROM e LEFT JOIN p ON p.name = e.name AND abs(p.x // 8 - e.x // 8) <= 1 AND abs(p.y // 8 - e.y // 8) <= 1
-    )
-    SELECT o_orderkey, name, coalesce(place_id, '') AS place_id, coalesce(cells2, -1) AS cells2 FROM ranked WHERE rn = 1""")
+    p AS (SELECT *, {x_sql("lng", 14)} AS x, {y_sql("lat", 14)} AS y, radians(lat) AS r FROM places),
+    e AS (SELECT *, {x_sql("lng", 14)} AS x, {y_sql("lat", 14)} AS y, radians(lat) AS r FROM entries),
+    pairs AS (
+        SELECT e.o_orderkey, e.name, p.place_id, CASE WHEN p.place_id IS NOT NULL THEN CAST(floor(2e0 * 6371008.8e0 * asin(sqrt(least(1e0,
+            sin((p.r - e.r) / 2e0) ** 2 + cos(e.r) * cos(p.r) * sin(radians(p.lng - e.lng) / 2e0) ** 2))) * 1000e0 + 0.5e0) AS BIGINT) END AS distance_mm
+        FROM e LEFT JOIN p ON p.name = e.name AND abs(p.y - e.y) <= 1 AND (p.x - e.x + 16384) % 16384 IN (0, 1, 16383)
+    ), ranked AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY distance_mm, place_id) AS rn FROM pairs)
+    SELECT o_orderkey, name, coalesce(place_id, '') AS place_id, coalesce(distance_mm, -1) AS distance_mm FROM ranked WHERE rn = 1""")
 def entity_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of each entry that has only a name and a position."""
     customers = tables.table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
@@ -322,5 +322,5 @@ def entity_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
         spot["lat"].alias("lat"), spot["lng"].alias("lng"),
     )
     return resolve.nearest_by_name(entries, places).select(
-        "o_orderkey", "name", F.coalesce("place_id", F.lit("")).alias("place_id"), F.coalesce("cells2", F.lit(-1)).alias("cells2")
+        "o_orderkey", "name", F.coalesce("place_id", F.lit("")).alias("place_id"), F.coalesce("distance_mm", F.lit(-1)).alias("distance_mm")
     )

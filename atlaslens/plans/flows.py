@@ -23,12 +23,13 @@ class RefreshRun(NamedTuple):
 
 
 def refresh_reviews(pages: DataFrame, requests: DataFrame, parsers: DataFrame, as_of: Column, folder: str,
-                    max_age_days: int = config.MAX_REVIEW_AGE_DAYS) -> RefreshRun:
+                    max_age_days: int = config.MAX_REVIEW_AGE_DAYS, max_pages: int = config.MAX_PAGES) -> RefreshRun:
     """Parse the captured pages of all requests and decide which of them count.
 
     ``pages`` are page records, one per place, language and number; ``requests`` have
     place_id, language and last_scraped. A run takes pages in order up to the first
-    stopping page, and breaks off before a page without reviews.
+    stopping page, and breaks off before a page without reviews. Paging ends at
+    ``max_pages`` pages; later ones are not looked at.
 
     The parsed lists are written to ``folder`` once, below the folder the cluster
     shares. Everything else reads them there: the HTML is not parsed again for each
@@ -47,14 +48,14 @@ def refresh_reviews(pages: DataFrame, requests: DataFrame, parsers: DataFrame, a
         ))
         .withColumn("is_stop", F.col("stops") | (F.col("outcome") != "OK"))
     )
-    reached = paging.take_until_stop(judged)
+    reached = paging.take_until_stop(judged.where(F.col("page_number") < max_pages))
     kept = reached.where("outcome = 'OK'")
     end = F.max_by(F.struct("page_number", "outcome", "stops"), "page_number").alias("end")
     last_page = F.col("end.page_number")
     status = (
         F.when(F.col("end").isNull(), "waiting")
         .when(F.col("end.outcome") != "OK", paging.route(F.col("end.outcome")))
-        .when(F.col("end.stops") | (last_page == config.MAX_PAGES - 1), "done")
+        .when(F.col("end.stops") | (last_page == max_pages - 1), "done")
         .otherwise("waiting")
     )
     ends = reached.groupBy(*paging.PAGE_KEY).agg(end, F.count(F.when(F.col("outcome") == "OK", 1)).alias("n_pages"))
@@ -74,15 +75,27 @@ def mark_refreshed(places: DataFrame, run: RefreshRun, language: str, day: Colum
     return stores.update_map_entry(places, done, "place_id", "last_scraped", F.lit(language), "day")
 
 
+class Resolved(NamedTuple):
+    """What a round of identifier lookups found out."""
+
+    places: DataFrame  # the places table
+    retry: DataFrame   # place_id and search_error of wanted places whose search failed or gave no response
+
+
+NO_RESPONSE = "no response"
+
+
 def resolve_identifiers(places: DataFrame, wanted: DataFrame, cache: DataFrame, responses: DataFrame,
-                        order: list[Column], cache_order: list[Column], as_of: Column, folder: str) -> DataFrame:
-    """Places with the identifiers found for those that wanted one.
+                        order: list[Column], cache_order: list[Column], as_of: Column, folder: str) -> Resolved:
+    """Places with the identifiers found for those that wanted one, and whom to ask again.
 
     ``places`` have place_id, data_id, name, coords and unserpable; ``wanted`` place_id;
     ``cache`` place_id and data_id; ``responses`` the place_id they were asked for and a
     body. A cached entry decides; otherwise the entries of the response do. Entries
     without a place are looked up by name and position, or dropped. Entries of unknown
-    places are added. Wanted places still without identifier are marked.
+    places are added. A place is marked when a search for it succeeded and it still has
+    no identifier; the mark is for good. Where every search failed, or none answered,
+    the place is left alone and returned for another try, with the error.
 
     The entries of the responses, which are also the new rows for the cache, and the
     links are written below ``folder`` once and read from there by the steps after.
@@ -95,18 +108,25 @@ def resolve_identifiers(places: DataFrame, wanted: DataFrame, cache: DataFrame,
     # Failed responses are left out after the write: a filter before it would be pushed below
     # the parsing and parse each response once more for the test.
     rs.normalise_entries(rs.search_entries(asked)).write.parquet(f"{folder}/entries")
-    entries = spark.read.parquet(f"{folder}/entries").where(F.col("search_error").isNull())
+    answers = spark.read.parquet(f"{folder}/entries")
+    entries = answers.where(F.col("search_error").isNull())
+    searched = entries.select(F.col("asked_for").alias("place_id")).distinct()
+    errors = answers.groupBy("asked_for").agg(F.min("search_error").alias("search_error"))
+    retry = (
+        misses.join(searched, F.col("asked_for") == F.col("place_id"), "left_anti").join(errors, "asked_for", "left")
+        .select(F.col("asked_for").alias("place_id"), F.coalesce("search_error", F.lit(NO_RESPONSE)).alias("search_error"))
+    )
     point = {"lat": F.col("geometry.location.lat"), "lng": F.col("geometry.location.lng")}
     unplaced = entries.where(F.col("place_id").isNull()).drop("place_id").withColumns(point)
     known = places.select("place_id", "name", F.col("coords.lat").alias("lat"), F.col("coords.lng").alias("lng"))
     placed = entries.where(F.col("place_id").isNotNull()).unionByName(
-        resolve.nearest_by_name(unplaced, known).drop("lat", "lng", "cells2")
+        resolve.nearest_by_name(unplaced, known).drop("lat", "lng", "distance_mm")
     )
     search.one_link_per_place(placed, *order).write.parquet(f"{folder}/links")
     links = spark.read.parquet(f"{folder}/links")
     new = pl.normalise_places(links, F.lit(None).cast("string"), as_of)
     linked = search.apply_links(places, new)
-    return search.mark_unresolved(_with_ids(linked, hits), wanted)
+    return Resolved(search.mark_unresolved(_with_ids(linked, hits), searched), retry)
 
 
 def _with_ids(places: DataFrame, ids: DataFrame) -> DataFrame:

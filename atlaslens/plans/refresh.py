@@ -42,7 +42,7 @@ DUE_SQL = f"""
 def live_leases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places someone works on, as of the last event."""
     now = tables.latest(tables.events(spark, sf_dir), "at_us")
-    live = spans.live_keys(tables.leases(spark, sf_dir), now, config.LEASE_TTL_S)
+    live = spans.live_keys(tables.leases(spark, sf_dir), now)
     return spans.keys_with_prefix(live, config.LEASE_PREFIX, name="place_id")
 
 

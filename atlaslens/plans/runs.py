@@ -88,7 +88,7 @@ def town_places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def town_responses(orders: DataFrame) -> DataFrame:
-    """Each order as a search response about its customer and the customers after it."""
+    """Each order as a search response about its customer and the customers after it: good, failed or empty."""
     count = F.substring("o_orderpriority", 1, 1).cast("int")
 
     def entry(position: Column) -> Column:
@@ -103,10 +103,14 @@ def town_responses(orders: DataFrame) -> DataFrame:
         )
 
     entries = F.transform(F.sequence(F.lit(0), count), entry)
-    return orders.select(
-        F.concat(F.lit("p"), F.col("o_custkey")).alias("place_id"), "o_orderkey",
-        F.to_json(F.struct(entries.alias("local_results"))).alias("body"),
+    price = F.col("o_totalprice")
+    body = (
+        F.when(price < 150000, F.to_json(F.struct(entries.alias("local_results"))))
+        .when(price < 200000, F.lit('{"error": "out of searches"}')).otherwise(F.lit('{"local_results": []}'))
     )
+    # Dearer orders stand for responses to searches nobody here asked for.
+    asked = F.when(price < 220000, F.concat(F.lit("p"), F.col("o_custkey")))
+    return orders.select(asked.alias("place_id"), "o_orderkey", body.alias("body"))
 
 
 @query("id_resolution", f"""
@@ -119,6 +123,13 @@ def town_responses(orders: DataFrame) -> DataFrame:
         SELECT o_orderkey, i, o_custkey + i AS k FROM (
             SELECT *, unnest(range(CAST(o_orderpriority[1] AS INTEGER) + 1)) AS i FROM orders JOIN misses ON c_custkey = o_custkey
             WHERE o_totalprice < 150000)
+    ), searched AS (
+        SELECT DISTINCT place_id FROM misses JOIN orders ON o_custkey = c_custkey
+        WHERE o_totalprice < 150000 OR (o_totalprice >= 200000 AND o_totalprice < 220000)
+    ), retry AS (
+        SELECT place_id, CASE WHEN EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice >= 150000 AND o_totalprice < 200000)
+            THEN 'out of searches' ELSE 'no response' END AS search_error
+        FROM misses WHERE place_id NOT IN (SELECT place_id FROM searched)
     ), placed AS (
         SELECT 'p' || k AS place_id, 'n' || o_orderkey || '_' || i AS data_id, o_orderkey, i FROM entries
         WHERE i % 2 = 1 OR k IN (SELECT c_custkey FROM customer)
@@ -130,25 +141,25 @@ def town_responses(orders: DataFrame) -> DataFrame:
         SELECT place_id, data_id, false FROM links WHERE place_id NOT IN (SELECT place_id FROM places)
     )
     SELECT place_id, coalesce(data_id, '') AS data_id,
-           CASE WHEN data_id IS NULL AND place_id IN (SELECT place_id FROM wanted) THEN 'true'
-                ELSE coalesce(CAST(unserpable AS VARCHAR), '') END AS unserpable
-    FROM linked""")
+           CASE WHEN data_id IS NULL AND place_id IN (SELECT place_id FROM searched) THEN 'true'
+                ELSE coalesce(CAST(unserpable AS VARCHAR), '') END AS unserpable, coalesce(search_error, '') AS retry
+    FROM linked LEFT JOIN retry USING (place_id)""")
 def id_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places after a round of identifier lookups: cache, responses, names, and marks for failures."""
     places = town_places(spark, sf_dir)
     wanted = places.where(scheduling.needs_identifier(F.col("data_id"), F.col("unserpable")))
     orders = tables.table(spark, sf_dir, "orders")
-    cache = orders.where("o_totalprice > 480000").select(
-        F.concat(F.lit("p"), F.col("o_custkey")).alias("place_id"), F.concat(F.lit("d"), F.col("o_orderkey")).alias("data_id"), "o_orderkey"
+    cache = orders.select(  # entries without a place are of no use and are passed over
+        F.when(F.col("o_totalprice") > 480000, F.concat(F.lit("p"), F.col("o_custkey"))).alias("place_id"), F.concat(F.lit("d"), F.col("o_orderkey")).alias("data_id"), "o_orderkey"
     )
     resolved = flows.resolve_identifiers(
-        places, wanted, cache, town_responses(orders.where("o_totalprice < 150000")),
+        places, wanted, cache, town_responses(orders),
         [F.col("o_orderkey"), F.col("position")], [F.col("o_orderkey")], F.timestamp_seconds(F.lit(1706659200)),
         work_dir(spark, "links"),
     )
-    return resolved.select(
+    return resolved.places.join(resolved.retry, "place_id", "left").select(
         "place_id", F.coalesce("data_id", F.lit("")).alias("data_id"),
-        F.coalesce(F.col("unserpable").cast("string"), F.lit("")).alias("unserpable"),
+        F.coalesce(F.col("unserpable").cast("string"), F.lit("")).alias("unserpable"), F.coalesce("search_error", F.lit("")).alias("retry"),
     )
 
 

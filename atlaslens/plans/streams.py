@@ -11,38 +11,41 @@ from atlaslens.plans.registry import ORACLES, query
 from atlaslens.session import work_dir
 from atlaslens.streaming import jobs
 
+# Files in a batch of the request intake; how many there are changes no row.
+INTAKE_FILES = 1000
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.file_stream(spark, tables.stream_glob(sf_dir, "events"), tables.EVENTS, max_files=1000)
+
+def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    return jobs.file_stream(spark, tables.stream_glob(sf_dir, "events"), tables.EVENTS, max_files)
 
 
 def document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.file_stream(spark, tables.stream_glob(sf_dir, "documents"), tables.DOCUMENTS, max_files=1000)
+    return jobs.file_stream(spark, tables.stream_glob(sf_dir, "documents"), tables.DOCUMENTS)
 
 
 @query("s_request_ingest", ORACLES["request_contract"])
 def s_request_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request messages in bytes, decoded, checked and written by outcome."""
-    messages = tables.request_bodies(event_stream(spark, sf_dir)).withColumn("body", F.encode("body", "UTF-8"))
+    messages = tables.request_bodies(event_stream(spark, sf_dir, INTAKE_FILES)).withColumn("body", F.encode("body", "UTF-8"))
     checked = refresh.checked_columns(jobs.checked_requests(messages))
     return jobs.run(checked, work_dir(spark, "requests"), ("outcome",))
 
 
-# A span is written once the watermark (latest time less one hour) has passed its end.
-CLOSED = "span_end_us <= (SELECT max(epoch_us(ts)) // 1000 * 1000 FROM events) - 3600000000"
+# A span is closed when its last set has run out as of the latest event.
+NOW = "(SELECT max(epoch_us(ts)) FROM events)"
+
+
+def closed(spark: SparkSession, sf_dir: str, ttl_s: int):
+    return F.col("last_set_us") + ttl_s * 1_000_000 <= tables.latest(tables.events(spark, sf_dir), "at_us")
 
 
 @query("s_lease_spans", f"""
-    SELECT user_id, span_start_us, last_set_us, n_sets FROM (
-        SELECT *, last_set_us + 3599999999 AS span_end_us FROM ({refresh.LEASE_SPANS_SQL})
-    ) WHERE {CLOSED}""")
-def s_lease_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spans in which a place stayed in progress, once they are closed."""
-    stream = event_stream(spark, sf_dir).withColumn("at", F.col("ts").cast("timestamp"))
-    spans = jobs.alive_sessions(stream, ["user_id"], "at", config.LEASE_TTL_S)
-    return jobs.run(spans, work_dir(spark, "leases")).select(
-        "user_id", tables.micros("span_start").alias("span_start_us"), tables.micros("last_set").alias("last_set_us"), "n_sets"
-    )
+    SELECT user_id, span_start_us, last_set_us, n_sets, last_set_us + 3600000000 <= {NOW} AS closed FROM ({refresh.LEASE_SPANS_SQL})""")
+def s_lease_spans(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    """Spans in which a place stayed in progress, closed or still open."""
+    stream = event_stream(spark, sf_dir, max_files).withColumn("at_us", tables.micros("ts"))
+    found = jobs.run_slices(stream, work_dir(spark, "leases"), ["user_id"], "at_us", config.LEASE_TTL_S)
+    return found.withColumn("closed", closed(spark, sf_dir, config.LEASE_TTL_S))
 
 
 @query("s_page_checkpoint", f"""
@@ -54,23 +57,20 @@ def s_lease_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), numbered AS (
         SELECT *, sum(starts) OVER (PARTITION BY user_id, language ORDER BY us ROWS UNBOUNDED PRECEDING) AS span FROM marked
     ), spans AS (
-        SELECT user_id, language, min(us) AS span_start_us, max(us) AS last_set_us, max(us) + 86399999999 AS span_end_us,
+        SELECT user_id, language, min(us) AS span_start_us, max(us) AS last_set_us,
                count(*) AS n_sets, arg_max(page_number, row(us, event_id)) AS page_number
         FROM numbered GROUP BY user_id, language, span
     )
-    SELECT user_id, language, span_start_us, last_set_us, n_sets, page_number FROM spans WHERE {CLOSED}""")
-def s_page_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    SELECT user_id, language, span_start_us, last_set_us, n_sets, page_number, last_set_us + 86400000000 <= {NOW} AS closed FROM spans""")
+def s_page_checkpoint(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
     """Last stored page of each place and language while its checkpoint stayed alive."""
-    stream = event_stream(spark, sf_dir).select(
+    keys, ttl_s = ["user_id", "language"], config.PAGE_CHECKPOINT_TTL_S
+    stream = event_stream(spark, sf_dir, max_files).select(
         "user_id", F.when(F.col("event_type").isin("click", "view"), "en").otherwise("es").alias("language"),
-        F.col("ts").cast("timestamp").alias("at"), "event_id", F.floor("value").cast("int").alias("page_number"),
-    )
-    last_page = F.max_by("page_number", F.struct("at", "event_id")).alias("page_number")
-    spans = jobs.alive_sessions(stream, ["user_id", "language"], "at", config.PAGE_CHECKPOINT_TTL_S, last_page)
-    return jobs.run(spans, work_dir(spark, "checkpoints")).select(
-        "user_id", "language", tables.micros("span_start").alias("span_start_us"),
-        tables.micros("last_set").alias("last_set_us"), "n_sets", "page_number",
+        tables.micros("ts").alias("at_us"), "event_id", F.floor("value").cast("int").alias("page_number"),
     )
+    found = jobs.run_slices(stream, work_dir(spark, "checkpoints"), keys, "at_us", ttl_s, "event_id", "page_number")
+    return found.drop("event_id").withColumn("closed", closed(spark, sf_dir, ttl_s))
 
 
 @query("s_outcome_route", ORACLES["page_quality"])

@@ -18,15 +18,19 @@ RUNTIME_SETTINGS = {
     # Session windows are merged before the shuffle, so a hot key travels as a few rows per task.
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
-    # Pages can be megabytes long; a batch of 10,000 of them would not fit a Python worker.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "100",
+    # Pages can be megabytes long; batches are bounded by bytes, not by rows.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+    # State of streams lies on disk, not in the heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session someone else created."""
+    """Apply the runtime settings to a session someone else created, except those its owner has set."""
+    theirs = spark.conf.getAll
     for key, value in RUNTIME_SETTINGS.items():
-        spark.conf.set(key, value)
+        if key not in theirs:
+            spark.conf.set(key, value)
     return spark
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from atlaslens.operators import paging
+from atlaslens.operators import paging, spans
 from atlaslens.sources.requests import check_requests, decode_body
 
 
@@ -40,18 +40,35 @@ def run(stream: DataFrame, out: str, partition_by: tuple[str, ...] = ()) -> Data
     return spark.read.schema(stream.schema).parquet(f"{out}/data")
 
 
+def run_slices(stream: DataFrame, out: str, keys: list[str], at_us: str, ttl_s: int, *latest: str) -> DataFrame:
+    """Spans in which a key stayed set, from all files that have arrived so far, whatever their order.
+
+    Each batch folds its sets to slices (``spans.span_slices``) and writes them to a
+    folder of its own number, so a batch that is tried again replaces itself. Slices
+    merge in any order: no watermark is needed and no set is ever late.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        spans.span_slices(batch, keys, at_us, ttl_s, *latest).write.mode("overwrite").parquet(f"{out}/data/batch={number}")
+
+    spark = stream.sparkSession
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True)
+    writer.start().awaitTermination()
+    return spans.spans_of_slices(spark.read.parquet(f"{out}/data"), keys, at_us, ttl_s, *latest)
+
+
 def checked_requests(messages: DataFrame, body: str = "body") -> DataFrame:
     """Request messages in bytes, decoded and checked against the contract."""
     return check_requests(messages.withColumn(body, decode_body(F.col(body))), body)
 
 
-def alive_sessions(events: DataFrame, keys: list[str], at: str, ttl_s: int, *aggregates: Column,
-                   delay: str = "1 hour") -> DataFrame:
+def alive_sessions(events: DataFrame, keys: list[str], at: str, ttl_s: int, *aggregates: Column, delay: str) -> DataFrame:
     """Spans in which a key stayed set, as session windows.
 
     A session closes where the next set comes ``ttl_s`` or more after the last one;
     the gap is a microsecond short of the ttl because Spark merges sessions that touch.
-    Spans still open at the watermark are not emitted yet. Sessions are merged within
+    Spans still open at the watermark are not emitted yet, and sets more than ``delay``
+    behind the latest one seen are left out: this is for files that arrive in order. To
+    catch up on a stored table use ``run_slices``, which loses nothing. Sessions are merged within
     a task before the shuffle (see ``session.RUNTIME_SETTINGS``), so a hot key does not
     send its single rows.
     """

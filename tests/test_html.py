@@ -113,3 +113,19 @@ def test_reviews_of_a_page(spark):
     ]
     assert str(rows[0].review_date) == "2024-03-03" and rows[0].age_in_days == 17
     assert len({r.unique_review_id for r in rows}) == 4
+
+
+BROKEN = ['<div class="x\'', "<a ", "<", "<!-- ", "<script", '<a "', "<a \"'>", "<a<a", '</a x="', "<!", "<p \"' >", '<a b="1" ']
+
+
+@pytest.mark.parametrize("unit", BROKEN)
+@pytest.mark.parametrize("tail", ["", '">"', "'>'"])
+def test_scan_is_linear_on_broken_markup(unit, tail):
+    """4 MB of markup that never closes: quadratic work would take hours."""
+    import time
+
+    tags = html.Tags(unit * ((4 << 20) // len(unit)) + tail)
+    start = time.perf_counter()
+    while tags.next():
+        pass
+    assert time.perf_counter() - start < 30

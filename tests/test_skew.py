@@ -95,20 +95,34 @@ def test_one_name_in_one_spot(spark, spread):
     got = resolve.nearest_by_name(
         spark.createDataFrame(entries, "id int, name string, lat double, lng double"),
         spark.createDataFrame(places, "place_id string, name string, lat double, lng double"))
-    found = {r.id: (r.cells2, r.place_id) for r in got.collect()}
-    steps = geo.FINE_LEVEL - geo.COARSE_LEVEL
-    spots = [(p, n, *mercator(lat, lng, geo.FINE_LEVEL)) for p, n, lat, lng in places]
+    found = {r.id: (r.distance_mm, r.place_id) for r in got.collect()}
     for i, name, lat, lng in entries:
         if lat is None or name is None:
             assert found[i] == (None, None)
             continue
-        x, y = mercator(lat, lng, geo.FINE_LEVEL)
-        near = [((px - x) ** 2 + (py - y) ** 2, p) for p, n, px, py in spots
-                if n == name and abs((px >> steps) - (x >> steps)) <= 1 and abs((py >> steps) - (y >> steps)) <= 1]
+        x, y = mercator(lat, lng, geo.COARSE_LEVEL)
+        near = [(millimetres(lat, lng, plat, plng), p) for p, n, plat, plng in places
+                if n == name and all(abs(a - b) <= 1 for a, b in zip((x, y), mercator(plat, plng, geo.COARSE_LEVEL)))]
         assert found[i] == (min(near) if near else (None, None))
     assert len(found) == len(entries)
 
 
+def millimetres(lat, lng, plat, plng):
+    import math
+    a, b = math.radians(lat), math.radians(plat)
+    chord = math.sin((b - a) / 2) ** 2 + math.cos(a) * math.cos(b) * math.sin(math.radians(plng - lng) / 2) ** 2
+    return math.floor(2 * 6371008.8 * math.asin(math.sqrt(chord)) * 1000 + 0.5)
+
+
+def test_nearest_beats_smallest_id_and_the_date_line_is_no_border(spark):
+    places = [("a", "X", 10.0010, 20.0), ("z", "X", 10.00001, 20.0), ("w", "Y", -17.0, 179.9999), ("v", "Y", -17.0, 179.0)]
+    entries = [(1, "X", 10.0, 20.0), (2, "Y", -17.0, -179.9999)]
+    got = resolve.nearest_by_name(
+        spark.createDataFrame(entries, "id int, name string, lat double, lng double"),
+        spark.createDataFrame(places, "place_id string, name string, lat double, lng double"))
+    assert {r.id: r.place_id for r in got.collect()} == {1: "z", 2: "w"}
+
+
 def test_many_copies_of_one_text(spark):
     batch = [("same" if i % 3 else f"t{i % 100}", i) for i in range(3000)]
     df = spark.createDataFrame(batch, "id string, n int")

@@ -143,3 +143,17 @@ class OnCluster:
 def test_no_machine_local_folder_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_dir(OnCluster, "x")
+
+
+@pytest.mark.parametrize("name", ["s_lease_spans", "s_page_checkpoint"])
+@pytest.mark.parametrize("max_files", [None, 1])
+def test_no_set_is_lost_however_the_files_come(name, max_files, spark, sf_dir, tmp_path):
+    from atlaslens.plans import streams, tables
+
+    events = tables.table(spark, sf_dir, "events")
+    events.repartition(6).write.parquet(f"{tmp_path}/events.parquet")
+    build = getattr(streams, name)
+    scattered, whole = build(spark, str(tmp_path), max_files), build(spark, sf_dir)
+    assert scattered.agg(F.sum("n_sets")).first()[0] == events.count()
+    assert scattered.exceptAll(whole).isEmpty() and scattered.count() == whole.count()
+    assert {r.closed for r in whole.select("closed").distinct().collect()} == {True, False}
