@@ -45,7 +45,7 @@ COMMON_AT_MOST = 1 << 20
 CHUNK = 2_048
 BROADCAST_KEYS = 2_000_000
 # How often the components of a group are compared by one member each before all members that are still apart meet.
-ROUNDS = 3
+ROUNDS = 2
 # Sets that one task compares with a leader.
 STAR = 4_096
 

@@ -318,7 +318,9 @@ def test_the_bound_never_rules_out_a_link():
             assert ngram_join.may_link(len(a), points[0], len(b), points[1])
 
 
-def test_components_of_random_graphs(spark):
+@pytest.mark.parametrize("one_task", [0, 10_000])
+def test_components_of_random_graphs(spark, monkeypatch, one_task):
+    monkeypatch.setattr(components, "ONE_TASK", one_task)
     rng = random.Random(4)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(k, k + 1) for k in range(400, 460)]
     parent = {n: n for link in links for n in link}
