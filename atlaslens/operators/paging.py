@@ -98,14 +98,16 @@ def page_budget(
     )
 
 
-def token_chain(pages: DataFrame, keys: Sequence[str] = PAGE_KEY) -> DataFrame:
+def token_chain(pages: DataFrame, keys: Sequence[str] = PAGE_KEY, stored: Column | None = None) -> DataFrame:
     """Add the token each page was asked for with, and whether the chain is broken.
 
+    A page that was not ``stored`` keeps its row, but no later page takes a token from it.
+
     The token is that of the previous page number, '' for page 0. It is found by an
     equality join on the page number, which spreads a key with many pages over all
     tasks; a window per key would not.
     """
-    previous = pages.select(
+    previous = (pages if stored is None else pages.where(stored)).select(
         *keys, (F.col("page_number") + 1).alias("page_number"),
         F.col("next_page_token").alias("_token"), F.lit(True).alias("_found"),
     )

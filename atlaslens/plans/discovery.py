@@ -10,9 +10,6 @@ from atlaslens.plans import tables
 from atlaslens.plans.registry import query
 from atlaslens.sources import responses
 
-# Orders that stand for search entries whose place is known.
-FOUND = "o_orderstatus <> 'P' AND o_totalprice > 350000"
-
 
 def x_sql(lng: str, level: int) -> str:
     return f"greatest(0, least({2**level - 1}, CAST(floor(({lng} + 180) / 360 * {2**level}) AS BIGINT)))"
@@ -213,17 +210,18 @@ def serp_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("serp_cache_lookup", """
     WITH ranked AS (
-        SELECT o_custkey, 'd' || o_orderkey AS data_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn
-        FROM orders WHERE o_orderstatus <> 'P' AND o_totalprice > 350000
+        SELECT o_custkey, CASE WHEN o_orderstatus <> 'P' THEN 'd' || o_orderkey END AS data_id,
+               row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn
+        FROM orders
     )
-    SELECT 'p' || c_custkey AS place_id, coalesce(data_id, '') AS cached_data_id, data_id IS NOT NULL AS cache_hit
+    SELECT 'p' || c_custkey AS place_id, coalesce(data_id, '') AS cached_data_id, rn IS NOT NULL AS cache_hit
     FROM customer LEFT JOIN ranked ON o_custkey = c_custkey AND rn = 1""")
 def serp_cache_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places with their first cached search result; those without one go on to a search."""
     requests = tables.places(spark, sf_dir).select("place_id")
     cache = tables.table(spark, sf_dir, "orders").select(
-        F.when(F.expr(FOUND), F.concat(F.lit("p"), F.col("o_custkey"))).alias("place_id"),
-        F.concat(F.lit("d"), F.col("o_orderkey")).alias("data_id"), "o_orderdate", "o_orderkey",
+        F.concat(F.lit("p"), F.col("o_custkey")).alias("place_id"),
+        F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("d"), F.col("o_orderkey"))).alias("data_id"), "o_orderdate", "o_orderkey",
     )
     looked = search.look_up_cache(requests, cache, F.col("o_orderdate"), F.col("o_orderkey"))
     return looked.select("place_id", F.coalesce("cached_data_id", F.lit("")).alias("cached_data_id"), "cache_hit")
@@ -232,8 +230,9 @@ def serp_cache_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 LINKS_SQL = """
     entries AS (
         SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN 'x' || o_orderkey ELSE 'p' || o_custkey END AS place_id,
-               CASE o_orderstatus WHEN 'F' THEN 'd' || o_custkey ELSE 'n' || o_orderkey END AS data_id, o_orderdate, o_orderkey
-        FROM orders WHERE o_orderstatus <> 'P' AND o_totalprice > 350000
+               CASE WHEN o_orderstatus = 'F' THEN 'd' || o_custkey WHEN o_totalprice > 350000 THEN 'n' || o_orderkey END AS data_id,
+               o_orderdate, o_orderkey
+        FROM orders
     ), links AS (
         SELECT place_id, data_id FROM (
             SELECT *, row_number() OVER (PARTITION BY place_id ORDER BY o_orderdate DESC, o_orderkey) AS rn FROM entries) WHERE rn = 1
@@ -249,11 +248,11 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(F.lit("x"), F.col("o_orderkey"))).otherwise(
         F.concat(F.lit("p"), F.col("o_custkey"))
     )
-    found = F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("d"), F.col("o_custkey"))).otherwise(
-        F.concat(F.lit("n"), F.col("o_orderkey"))
+    found = F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("d"), F.col("o_custkey"))).when(
+        F.col("o_totalprice") > 350000, F.concat(F.lit("n"), F.col("o_orderkey"))
     )
     entries = tables.table(spark, sf_dir, "orders").select(
-        F.when(F.expr(FOUND), place).alias("place_id"), found.alias("data_id"), "o_orderdate", "o_orderkey"
+        place.alias("place_id"), found.alias("data_id"), "o_orderdate", "o_orderkey"
     )
     return search.one_link_per_place(entries, F.desc("o_orderdate"), F.col("o_orderkey")).select("place_id", "data_id")
 

@@ -148,12 +148,12 @@ def resume_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored AS (SELECT * FROM pages WHERE length(text) >= 80)
     SELECT s.conv_id, s.page_number,
            CASE WHEN s.page_number = 0 THEN '' ELSE coalesce(p.next_page_token, '') END AS request_token,
-           s.page_number > 0 AND p.conv_id IS NULL AS chain_broken
-    FROM stored s LEFT JOIN stored p ON p.conv_id = s.conv_id AND p.page_number = s.page_number - 1""")
+           s.page_number > 0 AND p.conv_id IS NULL AS chain_broken, length(s.text) >= 80 AS stored
+    FROM pages s LEFT JOIN stored p ON p.conv_id = s.conv_id AND p.page_number = s.page_number - 1""")
 def token_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The token each page was asked for with; pages too short to be stored break the chain."""
-    stored = tables.conversation_pages(spark, sf_dir).where(F.length("text") >= 80)
-    chained = paging.token_chain(stored.select("conv_id", "page_number", "next_page_token"), ["conv_id"])
+    pages = tables.conversation_pages(spark, sf_dir).withColumn("stored", F.length("text") >= 80)
+    chained = paging.token_chain(pages.select("conv_id", "page_number", "next_page_token", "stored"), ["conv_id"], F.col("stored"))
     return chained.select(
-        "conv_id", "page_number", F.coalesce("request_token", F.lit("")).alias("request_token"), "chain_broken"
+        "conv_id", "page_number", F.coalesce("request_token", F.lit("")).alias("request_token"), "chain_broken", "stored"
     )

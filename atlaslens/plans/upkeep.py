@@ -49,15 +49,16 @@ def upsert_set_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("freshness_update", """
     SELECT c_custkey, coalesce(strftime(CASE WHEN d IS NOT NULL THEN d WHEN c_acctbal > 0 THEN DATE '1994-05-01' END, '%Y-%m-%d'), '') AS last_scraped,
            coalesce(strftime(d, '%Y-%m-%d'), '') AS english
-    FROM customer LEFT JOIN (SELECT o_custkey, CAST(max(o_orderdate) AS DATE) AS d FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) ON o_custkey = c_custkey""")
+    FROM customer LEFT JOIN (SELECT o_custkey, CAST(max(o_orderdate) FILTER (o_orderstatus = 'F') AS DATE) AS d FROM orders GROUP BY 1) ON o_custkey = c_custkey""")
 def freshness_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Date of the last scrape set where there was one, as a column and as a map entry."""
     places = tables.table(spark, sf_dir, "customer").select(
         "c_custkey", F.when(F.col("c_acctbal") > 0, F.to_date(F.lit("1994-05-01"))).alias("last_scraped"),
         F.expr("cast(map() as map<string, date>)").alias("by_language"),
     )
-    done = tables.table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.to_date(F.max("o_orderdate")).alias("last_scraped")
+    done = tables.table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        # Places with open orders only have no date; an update without a value leaves a place as it is.
+        F.to_date(F.max(F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate")))).alias("last_scraped")
     )
     updated = stores.update_column(places, done, "c_custkey", "last_scraped")
     mapped = stores.update_map_entry(updated, done, "c_custkey", "by_language", F.lit("en"), "last_scraped")

@@ -44,8 +44,8 @@ def test_only_needed_columns_are_read(name, columns, spark, sf_dir):
 
 
 def test_filters_reach_the_scan(spark, sf_dir):
-    text = plan(QUERIES["freshness_update"](spark, sf_dir))
-    assert "EqualTo(o_orderstatus,F)" in text
+    text = plan(QUERIES["resume_point"](spark, sf_dir))
+    assert "EqualTo(role,assistant)" in text
 
 
 @pytest.mark.parametrize("name", ["scan_dedupe", "serp_cache_lookup", "link_classify", "insert_ignore"])
