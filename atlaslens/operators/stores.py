@@ -15,10 +15,18 @@ from atlaslens.operators.dedupe import absent_from, first_per_key
 
 
 def insert_ignore(batch: DataFrame, store: DataFrame, key: str, *order: Column) -> DataFrame:
-    """Rows of the batch to append: one per key, none whose key is already stored."""
+    """Rows of the batch to append: one per key, none whose key is already stored.
+
+    Rows without a key cannot be told apart and are not appended; see ``without_key``.
+    """
     return absent_from(first_per_key(batch.where(F.col(key).isNotNull()), [key], order), store, [key])
 
 
+def without_key(batch: DataFrame, key: str) -> DataFrame:
+    """Rows of a batch that have no key, for the quarantine."""
+    return batch.where(F.col(key).isNull())
+
+
 def upsert_set(store: DataFrame, incoming: DataFrame, key: str, array: str, element: str) -> DataFrame:
     """Add elements to the array of their key, creating keys that are new.
 

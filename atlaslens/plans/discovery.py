@@ -61,7 +61,7 @@ def place_responses(customers: DataFrame) -> DataFrame:
     FROM cells""")
 def places_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places from search responses: coordinates, cells, defaults and provenance."""
-    results = responses.place_results(place_responses(tables.table(spark, sf_dir, "customer")))
+    results = responses.found_places(responses.place_results(place_responses(tables.table(spark, sf_dir, "customer"))))
     rows = pl.normalise_places(results, F.lit("coffee"), F.timestamp_seconds(F.lit(1706700000)))
     return rows.select(
         "place_id", "name", F.array_join("types_en", ",").alias("types"), "priority", "unserpable",

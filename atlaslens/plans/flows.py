@@ -135,6 +135,6 @@ def _with_ids(places: DataFrame, ids: DataFrame) -> DataFrame:
 
 def scan_area(store: DataFrame, responses: DataFrame, query: str, as_of: Column, order: list[Column]) -> DataFrame:
     """The places table with the results of a scan: new places added, known ones get the query."""
-    results = rs.place_results(responses)
+    results = rs.found_places(rs.place_results(responses))
     found = pl.one_per_place(results, *order)
     return stores.upsert_rows(store, pl.normalise_places(found, F.lit(query), as_of), "place_id", "all_queries")

@@ -196,7 +196,7 @@ def area_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = F.timestamp_seconds(F.lit(1706659200))
     first = spot_responses(tables.table(spark, sf_dir, "customer"), "c_nationkey", "c_acctbal", "c_name", "c_custkey")
     second = spot_responses(tables.table(spark, sf_dir, "supplier"), "s_nationkey", "s_acctbal", "s_name", "s_suppkey")
-    nothing = pl.normalise_places(responses.place_results(first.where("false")), F.lit("coffee"), now)
+    nothing = pl.normalise_places(responses.found_places(responses.place_results(first.where("false"))), F.lit("coffee"), now)
     store = flows.scan_area(nothing, first, "coffee", now, [F.col("k")])
     scanned = flows.scan_area(store, second, "bar", now, [F.col("k")])
     return scanned.select("place_id", "name", "loc_cell_coarse", F.array_join("all_queries", ",").alias("queries"))

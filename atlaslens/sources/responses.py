@@ -18,14 +18,27 @@ def place_results(responses: DataFrame, body: str = "body") -> DataFrame:
     """One row per place of a place-search response; other columns are repeated.
 
     Pages of results may differ in their fields: missing ones are null. A response
-    without a next-page token keeps its rows.
+    without a next-page token keeps its rows. A body that cannot be read, or has no
+    list of results, gives one row with ``response_error``; an empty list gives one
+    row without a place. ``found_places`` leaves both out, ``broken_responses`` returns
+    the former.
     """
     carried = [column for column in responses.columns if column != body]
     parsed = responses.select(*carried, F.from_json(body, schemas.PLACE_RESPONSE).alias("_response"))
     # The results leave the parsed response before they are exploded, so no row carries all of it.
     fields = parsed.select(*carried, "_response.next_page_token", F.col("_response.results").alias("_results"))
-    exploded = fields.select(*carried, "next_page_token", F.explode("_results").alias("_place"))
-    return exploded.select(*carried, "next_page_token", "_place.*")
+    error = F.when(F.col("_results").isNull(), F.lit("no results")).alias("response_error")
+    # An outer explode: a plain one makes Spark test the body in a filter of its own and so parse it twice.
+    exploded = fields.select(*carried, "next_page_token", error, F.explode_outer("_results").alias("_place"))
+    return exploded.select(*carried, "next_page_token", "response_error", F.col("_place").isNotNull().alias("is_place"), "_place.*")
+
+
+def found_places(results: DataFrame) -> DataFrame:
+    return results.where("is_place").drop("is_place", "response_error")
+
+
+def broken_responses(results: DataFrame) -> DataFrame:
+    return results.where(F.col("response_error").isNotNull())
 
 
 def _tagged(entry: Column, tag: Column) -> Column:

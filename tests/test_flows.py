@@ -78,8 +78,10 @@ def test_a_scan_twice_changes_nothing(spark):
     responses = spark.createDataFrame([(1, body)], "page int, body string")
     order = [F.col("name")]
     from atlaslens.operators import places as pl
-    from atlaslens.sources.responses import place_results
-    empty = pl.normalise_places(place_results(responses.where("false")), F.lit("x"), F.lit(NOW))
+    from atlaslens.sources.responses import broken_responses, found_places, place_results
+    empty = pl.normalise_places(found_places(place_results(responses.where("false"))), F.lit("x"), F.lit(NOW))
+    odd = place_results(spark.createDataFrame([(1, body), (2, "{broken"), (3, '{"results": []}'), (4, None)], "page int, body string"))
+    assert sorted(r.page for r in broken_responses(odd).collect()) == [2, 4] and {r.page for r in found_places(odd).collect()} == {1}
     once = flows.scan_area(empty, responses, "coffee", F.lit(NOW), order)
     twice = flows.scan_area(flows.scan_area(once, responses, "coffee", F.lit(NOW), order), responses, "bars", F.lit(NOW), order)
     shape = lambda df: sorted((r.place_id, r.name, r.priority, tuple(r.all_queries)) for r in df.collect())

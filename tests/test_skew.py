@@ -133,6 +133,7 @@ def test_many_copies_of_one_text(spark):
         expected[key] = min(n, expected.get(key, n))
     expected.pop("t0")
     assert {r.id: r.n for r in new.collect()} == expected
+    assert stores.without_key(df.union(spark.createDataFrame([(None, 1)], "id string, n int")), "id").count() == 1
     # Adding the same batch again adds nothing.
     assert stores.insert_ignore(df, store.union(new.select("id")), "id", F.col("n")).count() == 0
 
