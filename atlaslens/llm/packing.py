@@ -207,23 +207,31 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
     bound = max(-(-total // capacity), sum(n for length, n in counts.items() if 2 * length > capacity))
     best = best_fit(counts, capacity)
     sequences = sum(n for _, n in best)
-    # A node: (what is left, waste so far, plan so far as a linked list).
-    stack: list[tuple[dict[int, int], int, tuple | None]] = [(counts, 0, None)]
+    # A node: (what was left, the filling that it takes next and how often, waste so far, plan so far as a linked list).
+    # Siblings share the array of what was left, so the stack stays small.
+    start = np.zeros(max(counts) + 1, dtype=np.int64)
+    start[list(counts)] = list(counts.values())
+    stack: list[tuple[np.ndarray, tuple[int, ...], int, int, tuple | None]] = [(start, (), 0, 0, None)]
     nodes = 0
     while stack and sequences > bound and nodes < NODES:
-        left, waste, path = stack.pop()
+        before, taken, times, waste, path = stack.pop()
         nodes += 1
         allowed = (sequences - 1) * capacity - total
         if waste > allowed:
             continue
-        if not left:
+        after = before.copy()
+        for length in taken:
+            after[length] -= times
+        lengths = np.flatnonzero(after)
+        if not len(lengths):
             fills = []
             while path:
                 fills.append(path[0])
                 path = path[1]
             best, sequences = fills[::-1], sum(n for _, n in fills)
             continue
-        longest = max(left)
+        left = dict(zip(lengths.tolist(), after[lengths].tolist()))
+        longest = int(lengths[-1])
         rest = dict(left)
         rest[longest] -= 1
         order = [v for v in sorted(rest, reverse=True) if rest[v] and v <= capacity - longest]
@@ -232,8 +240,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
             fill = (longest, *filling)
             needs = Counter(fill)
             times = min(left[v] // k for v, k in needs.items())
-            after = {v: n - times * needs.get(v, 0) for v, n in left.items()}
-            branches.append(({v: n for v, n in after.items() if n}, waste + times * (capacity - sum(fill)), ((fill, times), path)))
+            branches.append((after, fill, times, waste + times * (capacity - sum(fill)), ((fill, times), path)))
         stack.extend(reversed(branches))
     return best
 

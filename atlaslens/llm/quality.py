@@ -22,7 +22,7 @@ from atlaslens.llm.common import text_blocks
 
 # The model is fitted on at most this many labelled documents, chosen by a hash of their ids.
 # Half of the places are kept for either label, as far as it has so many.
-LABELLED = 3_000
+LABELLED = 2_000
 WORD_TERMS, SHAPE_TERMS = 1_024, 512
 TERMS = WORD_TERMS + SHAPE_TERMS
 LATENT = 48
@@ -85,9 +85,13 @@ def unit_blocks(x: np.ndarray) -> np.ndarray:
 def fit(counts: np.ndarray, labels: np.ndarray, share: float) -> Model:
     terms = unit_blocks(np.log1p(counts))
     weight = np.log((len(terms) + 1) / ((counts > 0).sum(0) + 1)).astype(np.float32) + 0.3
-    weighted = terms * weight
-    _, vectors = np.linalg.eigh((weighted.T @ weighted).astype(np.float64))
-    axes = vectors[:, ::-1][:, :LATENT].astype(np.float32)
+    weighted = np.multiply(terms, weight, out=terms)
+    # Leading right singular vectors by subspace iteration: needs no matrix of terms by terms.
+    axes = np.linalg.qr(np.random.default_rng(3).normal(size=(TERMS, LATENT + 16)).astype(np.float32))[0]
+    for _ in range(12):
+        axes = np.linalg.qr(weighted.T @ (weighted @ axes))[0]
+    _, turn = np.linalg.eigh((weighted @ axes).T @ (weighted @ axes))
+    axes = np.ascontiguousarray((axes @ turn)[:, ::-1][:, :LATENT])
     return Model(weight, axes, unit(weighted @ axes), labels.astype(np.float64), share)
 
 
