@@ -247,11 +247,12 @@ def test_affinity_wraps_both_ways(spark):
 
 def test_live_keys(spark):
     second = 1_000_000
-    rows = [("a", 10, 5), ("a", 12, 1), ("b", 10, 5), ("c", 10, 3), ("d", 1, 5), ("e", 9, 4)]
+    rows = [("a", 10, 5), ("a", 12, 1), ("b", 10, 5), ("c", 10, 3), ("d", 1, 5), ("e", 9, 4), ("f", 10, 50), ("f", 11, None), ("g", 11, None), ("g", 12, 9)]
     df = spark.createDataFrame([(k, s * second, t) for k, s, t in rows], "key string, set_at long, ttl_s long")
     live = spans.live_keys(df, F.lit(13 * second))
     # a was set again with a shorter life and is gone; c ends exactly now.
-    assert sorted(values(live, "key", "remaining_s")) == [("b", 2)]
+    # f was deleted, g set again after it was.
+    assert sorted(values(live, "key", "remaining_s")) == [("b", 2), ("g", 8)]
 
 
 def test_spans_end_at_exactly_the_ttl(spark):
