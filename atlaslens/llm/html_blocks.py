@@ -152,9 +152,12 @@ def _bucket(word: str, buckets: int) -> int:
 
 def features(page: list[Block]) -> np.ndarray:
     x = np.zeros((len(page), WIDTH), dtype=np.float32)
+    paths: dict[tuple[str, ...], list[int]] = {}  # neighbours share their paths
     for k, block in enumerate(page):
-        for mark in block.path:
-            x[k, _bucket(mark, PATH_TERMS)] = 1.0
+        path = tuple(block.path)
+        if path not in paths:
+            paths[path] = [_bucket(mark, PATH_TERMS) for mark in path]
+        x[k, paths[path]] = 1.0
         words = block.text.split()
         for word in words[:12] if len(words) > 12 else words:  # how a block begins; all of it counts in the sizes
             x[k, PATH_TERMS + _bucket(word.lower(), WORD_TERMS)] += 0.05
@@ -242,6 +245,23 @@ class Labeller:
             parts.append(part[first - low : first - low + WINDOW - 2 * side])
         return np.concatenate(parts)
 
+    def probabilities_of(self, pages: list[np.ndarray]) -> list[np.ndarray]:
+        """The same for many pages; those of like length share a run of at most ``WINDOW`` blocks."""
+        out: list[np.ndarray] = [np.zeros(0, np.float32)] * len(pages)
+        order = sorted((k for k, x in enumerate(pages) if len(x)), key=lambda k: len(pages[k]))
+        while order:
+            longest = len(pages[order[-1]])
+            some = [order.pop() for _ in range(min(len(order), max(1, WINDOW // longest), 64))]
+            if len(some) == 1:
+                out[some[0]] = self.probabilities(pages[some[0]])
+                continue
+            x, mask = np.zeros((len(some), longest, WIDTH), np.float32), np.zeros((len(some), longest), bool)
+            for row, k in enumerate(some):
+                x[row, : len(pages[k])], mask[row, : len(pages[k])] = pages[k], True
+            for row, (k, p) in enumerate(zip(some, self._run(x, mask)[0])):
+                out[k] = p[: len(pages[k])]
+        return out
+
     def train(self, pages: list[tuple[np.ndarray, np.ndarray]], epochs: int = EPOCHS, seed: int = SEED) -> None:
         """Adam on the mean cross-entropy of blocks; pages of like length share a batch."""
         random = np.random.default_rng(seed)
@@ -395,7 +415,7 @@ def plain_labels(page: list[Block]) -> np.ndarray | None:
 
 
 def train(pages: DataFrame, sample: int = SAMPLE_PAGES, made: int = MADE_PAGES) -> Labeller:
-    """On ``made`` generated pages and at most ``sample`` given ones, chosen by a hash of their address."""
+    """On ``made`` generated pages and at most ``sample`` different given ones, chosen by a hash of the page."""
     random = Random(SEED)
     examples = []
     for _ in range(made):
@@ -405,8 +425,11 @@ def train(pages: DataFrame, sample: int = SAMPLE_PAGES, made: int = MADE_PAGES)
             examples.append((features(page), _labels(page, main)))
     order = F.xxhash64(F.coalesce("url", F.lit("")), F.coalesce("html", F.lit("")))
     # A very long page would weigh more than the rest of the sample.
-    some = pages.where(F.length("html") < 20_000).select("html", order.alias("o")).orderBy("o", "html").limit(sample)
-    for row in some.collect():
+    hashed = pages.where(F.length("html") < 20_000).select("html", order.alias("o"))
+    n = hashed.select("o").distinct().count()
+    # So many of the hash values that twice the sample is to be expected; only these pages come to the driver.
+    some = hashed.where(F.pmod("o", F.lit(1 << 30)) < int((1 << 30) * min(1.0, 2 * sample / max(n, 1)))).dropDuplicates(["o"])
+    for row in sorted(some.collect(), key=lambda r: r["o"])[:sample]:
         page = blocks(row["html"])
         labels = plain_labels(page)
         if labels is not None:
@@ -416,10 +439,10 @@ def train(pages: DataFrame, sample: int = SAMPLE_PAGES, made: int = MADE_PAGES)
     return model
 
 
-def main_text(source: str, model: Labeller, least: float = 0.5) -> str:
-    page = blocks(source)
-    chosen = model.probabilities(features(page)) >= least
-    return " ".join(block.text for block, keep in zip(page, chosen) if keep)
+def main_texts(sources: list[str], model: Labeller, least: float = 0.5) -> list[str]:
+    pages = [blocks(source) for source in sources]
+    chosen = model.probabilities_of([features(page) for page in pages])
+    return [" ".join(block.text for block, p in zip(page, own) if p >= least) for page, own in zip(pages, chosen)]
 
 
 def extract(pages: DataFrame, model: Labeller) -> DataFrame:
@@ -431,7 +454,10 @@ def extract(pages: DataFrame, model: Labeller) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(source.as_py() or "", shared.value) for source in batch.column("html")]
+            texts = []
+            for first in range(0, len(batch), 256):
+                sources = batch.column("html").slice(first, 256).to_pylist()
+                texts += main_texts([source or "" for source in sources], shared.value)
             yield pa.RecordBatch.from_arrays([
                 batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()),
             ], names=["page_id", "url", "text", "n_chars"])

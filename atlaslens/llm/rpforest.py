@@ -27,7 +27,7 @@ COSINE = 0.9
 TREES = 10
 # A vector of length 1 goes both ways at a split this near, in units of how far projections spread (1 / sqrt(width)).
 SPILL = 0.16
-SAMPLE = 20_000  # the splits are fitted on at most so many vectors
+SAMPLE = 20_000  # the splits are fitted on about so many vectors, chosen by a hash
 LEAF = 400  # vectors of a leaf that a tree aims at
 CHUNK = 2_048  # vectors of one side of a comparison in one task
 MAX_DEPTH = 24
@@ -184,7 +184,8 @@ def near_duplicates(vectors: DataFrame, least: float = COSINE, trees: int = TREE
     links = None
     widths = [(r["width"], r["n"]) for r in points.groupBy("width").agg(F.count("*").alias("n")).orderBy("width").collect()]
     for width, n in widths:
-        some = points.where(F.col("width") == width).orderBy(F.xxhash64("key", F.lit(SEED))).limit(SAMPLE).select("vector")
+        share = F.pmod(F.xxhash64("key", F.lit(SEED)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE / n))
+        some = points.where((F.col("width") == width) & share).select("key", "vector").orderBy("key")
         sample = _matrix([bytes(r["vector"]) for r in some.collect()], kind)
         found = compare(dealt(leaf_rows(points, fit(sample, n, trees), width, kind)), least, kind)
         links = found if links is None else links.unionByName(found)
