@@ -100,9 +100,9 @@ def _found(text: Column, kind: str, strict: bool) -> Column:
     return F.when(text.rlike(NEEDS[kind, strict]), folded).otherwise(empty)
 
 
-def candidates(docs: DataFrame) -> DataFrame:
+def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds ``candidates`` to documents; a null text has none."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+    text = F.coalesce(F.col(text), F.lit(""))
     arrays = [_found(text, kind, strict) for strict in (True, False) for kind in KINDS]
     return docs.withColumn("candidates", F.concat(*arrays))
 
@@ -215,22 +215,26 @@ def redact(docs: DataFrame) -> DataFrame:
     Overlapping spans become one, named after the first. Null texts stay null.
     ``n_chars``, if there, is the length of the new text.
     """
-    found = stage(candidates(docs), "pii-texts")
+    # Rows travel as one column, so that no name of theirs meets one of these.
+    found = stage(candidates(docs.select(F.struct(*docs.columns).alias("row")), "row.text"), "pii-texts")
     chosen = select(found, train(found))
+    text = F.col("row.text")
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
     by_start = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"], s["end"], s["kind"])))
 
     def step(state: Column, s: Column) -> Column:
-        gap = F.substring(F.col("text"), state["at"] + 1, s["start"] - state["at"])
+        gap = F.substring(text, state["at"] + 1, s["start"] - state["at"])
         return F.when(s["start"] >= state["at"], F.struct(
             s["end"].alias("at"), F.concat(state["out"], gap, names[s["kind"]]).alias("out")
         )).otherwise(F.struct(F.greatest(state["at"], s["end"]).alias("at"), state["out"].alias("out")))
 
     folded = F.aggregate(by_start, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
-    out = chosen.withColumn("_cut", folded).withColumn("text", F.when(
-        F.size("spans") > 0, F.concat(F.col("_cut.out"), F.col("text").substr(F.col("_cut.at") + 1, F.length("text")))
-    ).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        changed = F.when(F.size("spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-        out = out.withColumn("n_chars", changed)
-    return out.select(*docs.columns)
+    rest = text.substr(F.col("cut.at") + 1, F.length(text))
+    changed = chosen.withColumn("cut", F.when(F.size("spans") > 0, folded)).withColumn(
+        "new", F.when(F.col("cut").isNotNull(), F.concat(F.col("cut.out"), rest)).otherwise(text)
+    )
+    columns = {name: F.col(f"row.`{name}`") for name in docs.columns} | {"text": F.col("new")}
+    if "n_chars" in columns:
+        kind = docs.schema["n_chars"].dataType
+        columns["n_chars"] = F.when(F.col("cut").isNotNull(), F.length("new").cast(kind)).otherwise(columns["n_chars"])
+    return changed.select(*(column.alias(name) for name, column in columns.items()))
