@@ -43,7 +43,8 @@ COMMON_FROM = 12
 COMMON_AT_MOST = 1 << 20
 # Members of one tree. Larger groups are dealt into chunks, and every two chunks share a tree.
 CHUNK = 2_048
-BROADCAST_KEYS = 2_000_000
+# Documents to look up again are broadcast up to so many (some 100 bytes each), and joined beyond.
+BROADCAST_KEYS = 200_000
 # How often the components of a group are compared by one member each before all members that are still apart meet.
 ROUNDS = 2
 # Sets that one task compares with a leader.

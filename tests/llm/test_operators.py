@@ -282,6 +282,7 @@ def test_chains_of_near_copies_and_common_passages(spark, monkeypatch):
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(7)
     monkeypatch.setattr(ngram_join, "CHUNK", 8)  # trees of many chunks
     monkeypatch.setattr(ngram_join, "STAR", 5)
+    monkeypatch.setattr(ngram_join, "BROADCAST_KEYS", 0)
     assert _found(df) == _jaccard_components(texts)
 
 
