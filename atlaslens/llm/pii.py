@@ -5,8 +5,10 @@ rules; loose ones propose written-around forms, and spans may overlap. Each
 candidate is a mask of yes/no features of its format and context. Trees are
 boosted on the counts of all masks in the corpus (at most 2**14 numbers), with
 the check sums and ranges of the strict forms as labels, and become a column
-expression again. Candidates that pass the base rules always stay; of the
-others those above a calibrated threshold are added.
+expression again. The check itself is the label, so no tree may split on it.
+Candidates that pass the base rules always stay; of the others those are added
+that do not fail their own check and lie above a threshold, which is calibrated
+on masks that the trees giving their scores were not fitted on.
 """
 
 from __future__ import annotations
@@ -23,7 +25,9 @@ FEATURES = (
     "email", "ip", "card", "phone", "check", "plain", "spaced", "odd_signs", "marked", "keyword",
     "glued_left", "glued_right", "many_digits", "few_digits",
 )
-TREES, RATE, PRECISION = 24, 0.3, 0.98
+CHECK = 1 << FEATURES.index("check")
+SPLITS = [f for f, name in enumerate(FEATURES) if name != "check"]  # what trees may split on
+TREES, RATE, PRECISION, FOLDS = 24, 0.3, 0.98, 5
 
 # The base rules. Greedy loops that nothing follows are possessive, and a match may start inside a
 # run only where the last one ended; both leave the matches as they are and the time linear.
@@ -124,9 +128,49 @@ class Model:
     def probability(self, mask: Column) -> Column:
         return 1 / (1 + F.exp(-self.margin(mask)))
 
+    def scores(self, masks: np.ndarray) -> np.ndarray:
+        """The same for an array of masks."""
+        on = lambda f: (masks >> f) & 1 == 1
+        total = np.full(len(masks), self.bias)
+        for top, off, yes in self.trees:
+            total += np.where(on(top), *(np.where(on(f), b, a) for f, a, b in (yes, off)))
+        return 1 / (1 + np.exp(-total))
+
+
+def _threshold(p: np.ndarray, good: np.ndarray, total: np.ndarray) -> float:
+    """The lowest score from which on upwards enough candidates are good; no score reaches it if there is none."""
+    scores, at = np.unique(-p, return_inverse=True)  # equal scores stand or fall together
+    precision = np.cumsum(np.bincount(at, good)) / np.maximum(np.cumsum(np.bincount(at, total)), 1)
+    above = -scores[precision >= PRECISION]
+    return max(0.5, float(above.min())) if len(above) else 1.1
+
+
+def calibrate(masks: np.ndarray, good: np.ndarray, bad: np.ndarray) -> float:
+    """The threshold on scores that every mask gets from trees fitted on the other folds' masks.
+
+    Loose forms make masks that no strict form has, so what counts is how the
+    trees judge masks they have not seen.
+    """
+    kinds, at = np.unique(masks & ~CHECK, return_inverse=True)
+    weight = np.bincount(at, good + bad)
+    fold = np.empty(len(kinds), np.int64)
+    fold[np.lexsort((kinds, -weight))] = np.arange(len(kinds)) % FOLDS
+    p = np.zeros(len(masks))
+    for k in range(FOLDS):
+        held = fold[at] == k
+        model = fit(masks[~held], good[~held], bad[~held])
+        if model is not None:
+            p[held] = model.scores(masks[held])
+        elif good[~held].sum():  # the others are all good
+            p[held] = 1.0
+    return _threshold(p, good, good + bad)
+
 
 def fit(masks: np.ndarray, good: np.ndarray, bad: np.ndarray) -> Model | None:
-    """Boosts trees of two levels on counts per mask; None without examples of both kinds."""
+    """Boosts trees of two levels on counts per mask; None without examples of both kinds.
+
+    The threshold is that of the given masks; ``calibrate`` has the one of masks not seen.
+    """
     total = good + bad
     if not good.sum() or not bad.sum():
         return None
@@ -141,7 +185,7 @@ def fit(masks: np.ndarray, good: np.ndarray, bad: np.ndarray) -> Model | None:
         def best(rows: np.ndarray) -> tuple[float, tuple]:
             """The split of some rows that gains most, with the values of both sides."""
             found = (-1.0, (0, 0.0, 0.0))
-            for f in range(len(FEATURES)):
+            for f in SPLITS:
                 sides = [(gradient[rows & side].sum(), hessian[rows & side].sum() + 1.0) for side in (~bits[:, f], bits[:, f])]
                 gain = sum(g * g / h for g, h in sides)
                 if gain > found[0] + 1e-9:
@@ -149,7 +193,7 @@ def fit(masks: np.ndarray, good: np.ndarray, bad: np.ndarray) -> Model | None:
             return found
 
         options = []
-        for f in range(len(FEATURES)):
+        for f in SPLITS:
             off, on = best(~bits[:, f]), best(bits[:, f])
             options.append((off[0] + on[0], -f, (f, off[1], on[1])))
         _, _, tree = max(options)
@@ -157,39 +201,37 @@ def fit(masks: np.ndarray, good: np.ndarray, bad: np.ndarray) -> Model | None:
         top, off, on = tree
         for side, (f, no, yes) in ((~bits[:, top], off), (bits[:, top], on)):
             margin += side * np.where(bits[:, f], yes, no)
-    p = 1 / (1 + np.exp(-margin))
-    order = np.argsort(-p, kind="stable")
-    precision = np.cumsum(good[order]) / np.cumsum(total[order])
-    above = p[order][precision >= PRECISION]
-    return Model(bias, trees, max(0.5, float(above.min())) if len(above) else 1.1)
+    return Model(bias, trees, _threshold(1 / (1 + np.exp(-margin)), good, total))
 
 
 def train(found: DataFrame) -> Model | None:
     """From the candidates of all documents: strict ones that pass their check against those that fail it."""
-    check = 1 << FEATURES.index("check")
     each = found.select(F.explode("candidates").alias("c")).where("c.strict")
-    passed = F.col("c.mask").bitwiseAND(F.lit(check)) != 0
+    passed = F.col("c.mask").bitwiseAND(F.lit(CHECK)) != 0
     rows = each.groupBy(F.col("c.mask").alias("mask")).agg(
         F.sum(passed.cast("long")).alias("good"), F.sum((~passed).cast("long")).alias("bad")
     ).collect()
     columns = [np.array([r[c] for r in rows], dtype=np.int64) for c in ("mask", "good", "bad")]
-    return fit(*columns)
+    model = fit(*columns)
+    if model is not None:
+        model.threshold = calibrate(*columns)
+    return model
 
 
 def select(found: DataFrame, model: Model | None) -> DataFrame:
     """Replaces ``candidates`` by ``base`` and ``spans``: arrays of (kind, start, end) by kind as listed, then start.
 
-    ``spans`` has all of ``base`` and those others that the trees accept and
-    that do not overlap a base span.
+    ``spans`` has all of ``base`` and those others that the trees accept, whose
+    own check does not say that they are none, and that do not overlap a base span.
     """
-    check = F.lit(1 << FEATURES.index("check"))
+    passed = lambda c: c["mask"].bitwiseAND(F.lit(CHECK)) != 0
     plain = lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))
-    base = F.array_sort(F.transform(F.filter("candidates", lambda c: c["strict"] & (c["mask"].bitwiseAND(check) != 0)), plain))
+    base = F.array_sort(F.transform(F.filter("candidates", lambda c: c["strict"] & passed(c)), plain))
     with_base = found.withColumn("base", base)
     if model is None:
         return with_base.withColumn("spans", F.col("base")).drop("candidates")
     apart = lambda c: F.forall("base", lambda b: (b["end"] <= c["start"]) | (c["end"] <= b["start"]))
-    wanted = F.filter("candidates", lambda c: ~c["strict"] & (model.probability(c["mask"]) >= model.threshold) & apart(c))
+    wanted = F.filter("candidates", lambda c: ~c["strict"] & passed(c) & (model.probability(c["mask"]) >= model.threshold) & apart(c))
     return with_base.withColumn("spans", F.array_sort(F.concat("base", F.transform(wanted, plain)))).drop("candidates")
 
 

@@ -428,6 +428,47 @@ def test_trees_follow_the_check_and_leave_the_unlikely_alone():
     assert pii.fit(masks, good * 0, good) is None
 
 
+def test_trees_go_by_format_and_context_and_not_by_their_own_label():
+    check, keyword = (1 << pii.FEATURES.index(name) for name in ("check", "keyword"))
+    rng = np.random.default_rng(9)
+    masks = np.unique(rng.integers(0, 1 << len(pii.FEATURES), 3_000)) & ~check
+    sure = np.where(masks & keyword, 99, 10)
+    both = np.concatenate((masks | check, masks))
+    model = pii.fit(both, np.concatenate((sure, 0 * sure)), np.concatenate((0 * sure, 100 - sure)))
+    used = {f for top, *sides in model.trees for f in (top, *(side[0] for side in sides))}
+    assert pii.FEATURES.index("check") not in used and pii.FEATURES.index("keyword") in used
+    p = model.scores(both)
+    assert np.allclose(p[: len(masks)], p[len(masks) :]) and p[both & keyword != 0].min() > 0.9 > 0.3 > p[both & keyword == 0].max()
+
+
+def test_the_threshold_is_that_of_masks_the_trees_have_not_seen():
+    # Each mask has a mind of its own: trees can learn the given ones, and that says nothing about others.
+    card, spaced, keyword = (1 << pii.FEATURES.index(name) for name in ("card", "spaced", "keyword"))
+    masks = np.array([card, card | spaced, card | keyword, card | spaced | keyword])
+    good = np.array([100, 0, 0, 100])
+    assert pii.fit(masks, good, 100 - good).threshold < 1
+    assert pii.calibrate(masks, good, 100 - good) > 1
+
+
+def test_numbers_that_only_look_alike_need_context(spark):
+    # Strict forms in context are good; those without are too short, as part numbers are.
+    rng = random.Random(4)
+    number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    rows = []
+    for _ in range(60):
+        for word in ("call ", "phone: ", "mobile "):
+            rows += [f"{word}+49 {number(3)} {number(7)} now", f"{word}+1 ({number(3)}) {number(3)} {number(4)}", f"{word}+4{number(8)}", f"x{word}+1 {number(9)}"]
+        for word in ("part ", "lot ", "rev. "):
+            rows += [f"{word}+49 {number(3)} now", f"{word}+1 ({number(3)}) {number(2)}", f"{word}+4{number(3)}", f"{word}+1 {number(4)}"]
+    asked = [
+        ("call (030) 555-1234 now", "phone:5:19"), ("phone: 555 123 4567", "phone:7:19"), ("part (030) 555-1234 in", ""), ("lot 555 123 4567", ""),
+        ("host 300[.]1[.]1[.]1", ""),
+    ]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate([a for a, _ in asked] + rows)], "doc_id long, text string")
+    found = {doc_id: spans for doc_id, _, spans in _spans(df)}
+    assert [found[k] for k in range(len(asked))] == [spans for _, spans in asked]
+
+
 # 8 Rules.
 
 
