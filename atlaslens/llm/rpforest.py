@@ -5,6 +5,12 @@ vectors close to a split go both ways (spill). Vectors of one leaf are compared
 exactly, in double precision, and what the trees find is united. Equal vectors
 are one class from the start.
 
+The deeper a tree, the more of its splits can part two near vectors, most of all
+in a large group of loose near copies, which medians cut again and again. So
+deeper forests have more trees, such that the share of links that no tree finds
+stays about the same; they run in rounds, which bounds disk and memory. It is a
+share to be expected, not a guarantee.
+
 Fitted on a sample: the splits only. Every vector is put into leaves. Leaves
 that are too large for one task are split further, again with spill, and what
 still is too large is compared in chunks, every two chunks by one task.
@@ -24,7 +30,10 @@ from atlaslens.llm.common import stage
 from atlaslens.llm.components import connected_components
 
 COSINE = 0.9
-TREES = 10
+TREES = 10  # at least, and of one round
+# At a level of a tree about this share of the links of a loose group (mean cosine 0.9) stays together; so many trees
+# grow that no more than MISS of the links are expected to be missed by all.
+STAYS, MISS = 0.88, 0.01
 # A vector of length 1 goes both ways at a split this near, in units of how far projections spread (1 / sqrt(width)).
 SPILL = 0.16
 SAMPLE = 20_000  # the splits are fitted on about so many vectors, chosen by a hash
@@ -61,13 +70,17 @@ class Tree:
         return rows, nodes
 
 
-def fit(sample: np.ndarray, total: int, trees: int = TREES, leaf: int = LEAF, seed: int = SEED) -> list[Tree]:
-    """Trees deep enough for ``total`` vectors, as far as the sample has medians for their nodes."""
+def trees_of(depth: int) -> int:
+    return max(TREES, int(np.ceil(np.log(MISS) / np.log1p(-(STAYS**depth))))) if depth else TREES
+
+
+def fit(sample: np.ndarray, total: int, trees: int | None = None, leaf: int = LEAF, seed: int = SEED) -> list[Tree]:
+    """Trees deep enough for ``total`` vectors, as far as the sample has medians for their nodes; as many as the depth asks for."""
     random = np.random.default_rng(seed)
     depth = max(0, int(np.ceil(np.log2(max(total, 1) / leaf))))
     depth = min(depth, MAX_DEPTH, int(np.log2(max(len(sample), 1))))
     forest = []
-    for _ in range(trees):
+    for _ in range(trees or trees_of(depth)):
         directions = unit(random.normal(size=(max(depth, 1), sample.shape[1])))[:depth]
         thresholds = np.zeros(2 ** depth - 1)
         nodes = np.zeros(len(sample), np.int64)
@@ -168,7 +181,7 @@ def compare(rows: DataFrame, least: float, kind: str) -> DataFrame:
     return rows.groupBy("tree", "leaf", "chunk").applyInPandas(run, "a long, b long")
 
 
-def near_duplicates(vectors: DataFrame, least: float = COSINE, trees: int = TREES) -> DataFrame:
+def near_duplicates(vectors: DataFrame, least: float = COSINE, trees: int | None = None) -> DataFrame:
     """vec_id, n_links, component_id (smallest vec_id reachable, itself included), kept (it is that one) per row.
 
     ``vectors`` has vec_id and embedding (array of numbers); other columns are
@@ -187,8 +200,12 @@ def near_duplicates(vectors: DataFrame, least: float = COSINE, trees: int = TREE
         share = F.pmod(F.xxhash64("key", F.lit(SEED)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE / n))
         some = points.where((F.col("width") == width) & share).select("key", "vector").orderBy("key")
         sample = _matrix([bytes(r["vector"]) for r in some.collect()], kind)
-        found = compare(dealt(leaf_rows(points, fit(sample, n, trees), width, kind)), least, kind)
-        links = found if links is None else links.unionByName(found)
+        forest = fit(sample, n, trees)
+        for first in range(0, len(forest), TREES):
+            found = compare(dealt(leaf_rows(points, forest[first : first + TREES], width, kind)), least, kind)
+            if len(forest) > TREES:  # the rows of a round go before the next begins
+                found = stage(found.distinct(), "vector-round")
+            links = found if links is None else links.unionByName(found)
     alone = lambda rows: rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     if links is None:
         return alone(known).withColumn("kept", F.lit(True))

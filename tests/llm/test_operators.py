@@ -531,6 +531,40 @@ def test_large_leaves_are_compared_in_chunks(spark, monkeypatch):
     assert {r.vec_id: r.n_links for r in rpforest.near_duplicates(df).collect()} == dict(enumerate(links))
 
 
+def test_deep_forests_miss_no_more_links_of_a_loose_group():
+    # A third of the vectors are one group of unlike near copies, at the depth of some 6.5 million vectors.
+    rng = np.random.default_rng(1)
+    n, width = 1 << 14, 64
+    centre = rpforest.unit(rng.normal(size=(1, width)))
+    hot = centre + rng.normal(size=(n // 3, width)) * np.sqrt((1 / 0.905 - 1) / width)
+    vectors = rpforest.unit(np.concatenate((hot, rng.normal(size=(n - len(hot), width)))))
+    forest = rpforest.fit(vectors, n, leaf=1)
+    assert {len(tree.directions) for tree in forest} == {14}
+    some = vectors[:150]
+    links = np.triu(some @ some.T >= 0.9, 1)
+    found = np.zeros_like(links)
+    for tree in forest:
+        rows, leaves = tree.leaves(some)
+        names, at = np.unique(leaves, return_inverse=True)
+        inside = np.zeros((len(some), len(names)), np.float32)
+        inside[rows, at] = 1
+        found |= inside @ inside.T > 0
+    recall = (found & links).sum() / links.sum()
+    print("recall", recall, "of", links.sum(), "links with", len(forest), "trees")
+    assert recall >= 0.98
+
+
+def test_rounds_of_a_large_forest_are_united(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(150, 8))
+    vectors = np.concatenate([centres + rng.normal(size=centres.shape) * 0.05 for _ in range(8)]).astype(np.float32)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    unit = rpforest.unit(vectors.astype(float))
+    links = (unit @ unit.T >= 0.9).sum(1) - 1
+    found = {r.vec_id: r.n_links for r in rpforest.near_duplicates(df, trees=25).collect()}
+    assert sum(found.values()) >= 0.99 * links.sum() and all(found[k] <= n for k, n in enumerate(links))
+
+
 # 10 Pages.
 
 
