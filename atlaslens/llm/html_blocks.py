@@ -47,7 +47,8 @@ WINDOW = 4_096
 
 @dataclass
 class Block:
-    path: list[str]  # names, classes and ids of the open elements, outermost first
+    path: list[int]  # hashed names, classes and ids of all open elements, each once
+    says: frozenset[str]  # those of them that labels look at
     text: str
     linked: float  # share of the text inside links
 
@@ -68,6 +69,9 @@ def blocks(source: str) -> list[Block]:
     out: list[Block] = []
     open_names: list[str] = []
     open_marks: list[list[str]] = []
+    # Running counts over all open elements, so that a block costs no more however deep it lies.
+    around: dict[int, int] = {}
+    telling: dict[str, int] = {}
     counts: dict[str, int] = {}
     texts: list[str] = []
     linked = 0
@@ -79,15 +83,27 @@ def blocks(source: str) -> list[Block]:
             text = " ".join("".join(texts).split())
             texts.clear()
             if text:
-                path = [m for marks in open_marks[-40:] for m in marks]  # the nearest elements say most
-                out.append(Block(path, text, min(1.0, linked / len(text))))
+                out.append(Block(list(around), frozenset(telling), text, min(1.0, linked / len(text))))
         linked = 0
 
+    def add(counted: dict, key: int | str, n: int) -> None:
+        left = counted.get(key, 0) + n
+        if left:
+            counted[key] = left
+        else:
+            del counted[key]
+
+    def note(marks: list[str], n: int) -> None:
+        for mark in marks:
+            add(around, _bucket(mark, PATH_TERMS), n)
+            if mark in _TELLING:
+                add(telling, mark, n)
+
     def close(name: str) -> None:
         nonlocal unseen
         while counts.get(name):
             last = open_names.pop()
-            open_marks.pop()
+            note(open_marks.pop(), -1)
             counts[last] -= 1
             unseen -= last in UNSEEN
             if last == name:
@@ -122,6 +138,7 @@ def blocks(source: str) -> list[Block]:
             continue
         open_names.append(name)
         open_marks.append(_marks(name, raw))
+        note(open_marks[-1], 1)
         counts[name] = counts.get(name, 0) + 1
         unseen += name in UNSEEN
         if name in RAW or name in ("textarea", "title"):
@@ -152,12 +169,8 @@ def _bucket(word: str, buckets: int) -> int:
 
 def features(page: list[Block]) -> np.ndarray:
     x = np.zeros((len(page), WIDTH), dtype=np.float32)
-    paths: dict[tuple[str, ...], list[int]] = {}  # neighbours share their paths
     for k, block in enumerate(page):
-        path = tuple(block.path)
-        if path not in paths:
-            paths[path] = [_bucket(mark, PATH_TERMS) for mark in path]
-        x[k, paths[path]] = 1.0
+        x[k, block.path] = 1.0
         words = block.text.split()
         for word in words[:12] if len(words) > 12 else words:  # how a block begins; all of it counts in the sizes
             x[k, PATH_TERMS + _bucket(word.lower(), WORD_TERMS)] += 0.05
@@ -406,11 +419,12 @@ def _labels(page: list[Block], main: str) -> np.ndarray:
 
 
 _AGAINST = frozenset("nav header footer aside form comments comment sidebar ad ads menu notice cookie".split())
+_TELLING = _AGAINST | {"article", "main"}
 
 
 def plain_labels(page: list[Block]) -> np.ndarray | None:
     """Labels of a given page that says itself what is what; None for others."""
-    inside = [("article" in b.path or "main" in b.path) and not _AGAINST & set(b.path) for b in page]
+    inside = [("article" in b.says or "main" in b.says) and not _AGAINST & b.says for b in page]
     return np.array(inside, np.float32) if any(inside) else None
 
 

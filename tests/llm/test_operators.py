@@ -618,6 +618,15 @@ def test_windows_of_a_long_page_agree_with_one_run(labeller, monkeypatch):
     assert len(whole) == len(parts) and ((whole >= 0.5) == (parts >= 0.5)).all()
 
 
+def test_containers_of_many_unclosed_elements_stay_in_the_path():
+    loose = "".join(f"<p><b>Words of text number {k}.<br>" for k in range(100))
+    for opening, closing, name in (("<article>", "</article>", "article"), ('<div class="comments">', "</div>", "comments"), ('<div id="footer">', "</div>", "footer")):
+        page = html_blocks.blocks(f"<main>{opening}{loose}{closing}<p>After.</main>")
+        bucket = html_blocks._bucket(name, html_blocks.PATH_TERMS)
+        assert len(page) == 101 and all(html_blocks.features(page)[:100, bucket] == 1)
+        assert all({name, "main"} <= b.says for b in page[:100]) and name not in page[100].says
+
+
 # The pipeline.
 
 
