@@ -60,8 +60,8 @@ def _marks(name: str, raw: str) -> list[str]:
         for key, value in ATTRIBUTE.findall(raw):
             if key.lower() in ("class", "id", "role"):
                 value = html.unescape(value[1:-1] if value[:1] in ("'", '"') else value).lower()
-                out += [part for word in value.split() for part in (word, *word.replace("_", "-").split("-"))][:12]
-    return out
+                out += [part for word in value.split() for part in (word, *word.replace("_", "-").split("-"))]
+    return list(dict.fromkeys(out))
 
 
 def blocks(source: str) -> list[Block]:
@@ -326,6 +326,11 @@ _OTHER = {
     "comments": ["div.comments", "section.comments", "div#comments", "ol.commentlist", "div.comment", "div.replies", "section#comments", "div.discussion"],
     "share": ["div.share", "div.social", "ul.tags", "div.meta", "div.byline", "div.author-box"],
 }
+_UTILITY = (
+    "flex flex-col items-center justify-between px-4 py-2 mt-4 mb-8 mx-auto w-full max-w-lg text-sm text-gray-700 font-bold "
+    "rounded-md shadow-lg bg-white md:w-1/2 lg:px-8 clearfix col-md-8 d-flex post-12 type-post status-publish format-standard "
+    "hentry widget_text textwidget-1 wp-block-group is-layout-flow has-background"
+).split()
 _SYLLABLES = "the an er on re in ti en st al or es it ar ou le la de ing tion ment ung sch der que ción".split()
 
 
@@ -341,16 +346,25 @@ def _prose(random: Random, low: int, high: int) -> str:
     return " ".join(w + (random.choice([",", ".", "."]) if random.random() < 0.12 else "") for w in words) + "."
 
 
-def _tag(spec: str) -> tuple[str, str]:
-    for sign, key in ((".", "class"), ("#", "id")):
-        if sign in spec:
-            name, value = spec.split(sign)
-            return f'<{name} {key}="{value}">', f"</{name}>"
-    return f"<{spec}>", f"</{spec}>"
+def _utility(random: Random) -> str:
+    """Classes that say nothing of what an element is, now and then."""
+    return " ".join(random.sample(_UTILITY, random.randrange(4, 11))) if random.random() < 0.25 else ""
+
+
+def _tag(random: Random, spec: str) -> tuple[str, str]:
+    """Tags of an element; what says what it is comes last among its classes."""
+    name, value, classes = spec, "", _utility(random)
+    if "#" in spec:
+        name, value = spec.split("#")
+        value = f' id="{value}"'
+    elif "." in spec:
+        name, own = spec.split(".")
+        classes = f"{classes} {own}".strip()
+    return f"<{name}{value}" + (f' class="{classes}">' if classes else ">"), f"</{name}>"
 
 
 def _part(random: Random, kind: str) -> str:
-    opening, closing = _tag(str(random.choice(_OTHER[kind])))
+    opening, closing = _tag(random, str(random.choice(_OTHER[kind])))
     shape = random.random()
     if kind in ("nav", "share") or (kind == "side" and shape < 0.5):
         inside = "<ul>" + "".join(f'<li><a href="/{_word(random)}">{_word(random)}</a></li>' for _ in range(random.randrange(2, 9))) + "</ul>"
@@ -376,7 +390,7 @@ def made_page(random: Random) -> tuple[str, str]:
     pick = lambda *kinds: "".join(_part(random, k) for k in kinds if random.random() < 0.5)
     head = f"<html><head><title>{_word(random)}</title><style>p{{}}</style><script>var a = '<p>';</script></head><body>"
     before = pick("notice", "header", "nav", "form", "ad", "side")
-    opening, closing = _tag(str(random.choice(_MAIN)))
+    opening, closing = _tag(random, str(random.choice(_MAIN)))
     body = opening
     if random.random() < 0.8:
         name = str(random.choice(["h1", "h2", "header"]))
@@ -384,7 +398,7 @@ def made_page(random: Random) -> tuple[str, str]:
     for _ in range(int(random.randrange(0 if len(main) else 1, 10))):
         shape, text = random.random(), _prose(random, 1, 90)
         if shape < 0.6:
-            body += f"<p>{add(text)}" + random.choice(["</p>", ""])
+            body += _tag(random, "p")[0] + add(text) + random.choice(["</p>", ""])
         elif shape < 0.7:
             body += f"<p><b>{add(text)}<br>"
         elif shape < 0.8:
@@ -394,7 +408,7 @@ def made_page(random: Random) -> tuple[str, str]:
         elif shape < 0.92:
             body += f"<blockquote><p>{add(text)}</p></blockquote>"
         else:
-            body += f"<div>{add(text)}</div>"
+            body += _tag(random, "div")[0] + f"{add(text)}</div>"
         if random.random() < 0.08:
             body += _part(random, str(random.choice(["ad", "share", "notice", "side", "form"])))
     if random.random() < 0.2:

@@ -627,6 +627,17 @@ def test_containers_of_many_unclosed_elements_stay_in_the_path():
         assert all({name, "main"} <= b.says for b in page[:100]) and name not in page[100].says
 
 
+@pytest.mark.parametrize("classes", [
+    "flex flex-col items-center px-4 py-2 sidebar", "post-12 post type-post status-publish format-standard related-posts",
+    "widget widget_text textwidget-1 clearfix mt-4 comments",
+])
+def test_the_last_of_many_classes_counts(classes):
+    last = classes.split()[-1]
+    assert last in html_blocks._marks("div", f' class="{classes}"')
+    (block,) = html_blocks.blocks(f'<div class="{classes}">Text.</div>')
+    assert html_blocks._bucket(last, html_blocks.PATH_TERMS) in block.path
+
+
 # The pipeline.
 
 
