@@ -162,8 +162,9 @@ def _bucket(word: str, buckets: int) -> int:
         for byte in word.encode("utf-8", "replace")[:64]:
             value = ((value ^ byte) * 1099511628211) & 0xFFFFFFFFFFFFFFFF
         found = int(mix(np.array([value], dtype=np.uint64))[0] % np.uint64(buckets))
-        if len(_hashes) < 200_000:
-            _hashes[word, buckets] = found
+        if len(_hashes) >= 200_000:
+            _hashes.clear()
+        _hashes[word, buckets] = found
     return found
 
 
@@ -172,8 +173,8 @@ def features(page: list[Block]) -> np.ndarray:
     for k, block in enumerate(page):
         x[k, block.path] = 1.0
         words = block.text.split()
-        for word in words[:12] if len(words) > 12 else words:  # how a block begins; all of it counts in the sizes
-            x[k, PATH_TERMS + _bucket(word.lower(), WORD_TERMS)] += 0.05
+        said = np.bincount([_bucket(word, WORD_TERMS) for word in block.text.lower().split()], minlength=WORD_TERMS)
+        x[k, PATH_TERMS : PATH_TERMS + WORD_TERMS] = 0.07 * np.log1p(said)  # long blocks stay in range
         ends = sum(w[-1] in ".!?:;," for w in words)
         x[k, -SIZES:] = (
             np.log1p(len(block.text)) / 6, np.log1p(len(words)) / 5, block.linked, ends / max(len(words), 1),

@@ -638,6 +638,15 @@ def test_the_last_of_many_classes_counts(classes):
     assert html_blocks._bucket(last, html_blocks.PATH_TERMS) in block.path
 
 
+def test_words_after_the_twelfth_count():
+    start = "one two three four five six seven eight nine ten eleven twelve "
+    a, b = (html_blocks.features(html_blocks.blocks(f"<div>{start}{rest}</div>"))[0] for rest in ("subscribe newsletter", "mountains afternoon"))
+    words = slice(html_blocks.PATH_TERMS, html_blocks.PATH_TERMS + html_blocks.WORD_TERMS)
+    assert (a[words] != b[words]).any()
+    long = html_blocks.features(html_blocks.blocks("<p>" + "word other " * 100_000))[0]
+    assert np.isfinite(long).all() and long[words].max() < 2
+
+
 # The pipeline.
 
 
