@@ -41,7 +41,7 @@ HIDDEN = 16
 SAMPLE_PAGES = 200  # given pages to learn from, at most
 MADE_PAGES = 600  # laid out by the generator
 EPOCHS, BATCH, RATE, SEED = 18, 25, 0.02, 7
-#: Longer sequences are read in windows of so many blocks with as much context on either side as fits a quarter.
+#: Longer sequences are read in windows of so many blocks, each beginning with the state the one before ended with.
 WINDOW = 4_096
 
 
@@ -195,9 +195,21 @@ class Direction:
         self.b = np.zeros(4 * HIDDEN, np.float32)
         self.b[HIDDEN : 2 * HIDDEN] = 1  # remember at first
 
+    def windows(self, x: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(start, outputs) of a long sequence, window by window; one run over all of it gives the same."""
+        state = None
+        for first in range(0, len(x), WINDOW):
+            part = x[None, first : first + WINDOW]
+            out, _, state = self.steps(part, np.ones(part.shape[:2], bool), False, state)
+            yield first, out[0]
+
     def forward(self, x: np.ndarray, mask: np.ndarray, keep: bool) -> tuple[np.ndarray, list]:
+        return self.steps(x, mask, keep, None)[:2]
+
+    def steps(self, x: np.ndarray, mask: np.ndarray, keep: bool, state: tuple | None) -> tuple[np.ndarray, list, tuple]:
+        """Outputs, what ``backward`` needs, and the state at the end."""
         n, steps, _ = x.shape
-        h, c = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32)
+        h, c = state or (np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32))
         out, tape = np.zeros((n, steps, HIDDEN), np.float32), []
         driven = x @ self.w[:WIDTH] + self.b
         for t in range(steps):
@@ -211,7 +223,7 @@ class Direction:
                 tape.append((h, c, i, f, o, g, tanh_c))
             h, c = np.where(m, o * tanh_c, h), np.where(m, new_c, c)
             out[:, t] = h
-        return out, tape
+        return out, tape, (h, c)
 
     def backward(self, x: np.ndarray, mask: np.ndarray, tape: list, d_out: np.ndarray) -> list[np.ndarray]:
         d_w, d_b = np.zeros_like(self.w), np.zeros_like(self.b)
@@ -248,16 +260,14 @@ class Labeller:
         return _sigmoid(hidden @ self.v + self.bias[0]), hidden, tape_l, tape_r
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
-        """Of each block of one page being main text; very long pages in windows that see their surroundings."""
+        """Of each block of one page being main text; very long pages in windows, to the same result."""
         if len(x) <= WINDOW:
             return self._run(x[None], np.ones((1, len(x)), bool))[0][0] if len(x) else np.zeros(0, np.float32)
-        side = WINDOW // 4
-        parts = []
-        for first in range(0, len(x), WINDOW - 2 * side):
-            low, high = max(0, first - side), min(len(x), first + WINDOW - side)
-            part = self._run(x[None, low:high], np.ones((1, high - low), bool))[0][0]
-            parts.append(part[first - low : first - low + WINDOW - 2 * side])
-        return np.concatenate(parts)
+        sums = x @ self.v[2 * HIDDEN :] + self.bias[0]
+        for direction, v, y in ((self.ahead, self.v[:HIDDEN], sums), (self.back, self.v[HIDDEN : 2 * HIDDEN], sums[::-1])):
+            for first, out in direction.windows(x if y is sums else x[::-1]):
+                y[first : first + len(out)] += out @ v
+        return _sigmoid(sums)
 
     def probabilities_of(self, pages: list[np.ndarray]) -> list[np.ndarray]:
         """The same for many pages; those of like length share a run of at most ``WINDOW`` blocks."""

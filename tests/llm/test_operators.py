@@ -647,6 +647,14 @@ def test_words_after_the_twelfth_count():
     assert np.isfinite(long).all() and long[words].max() < 2
 
 
+def test_windows_carry_their_state(monkeypatch):
+    model = html_blocks.Labeller()
+    x = np.random.default_rng(2).normal(size=(500, html_blocks.WIDTH)).astype(np.float32)
+    whole = model.probabilities(x)
+    monkeypatch.setattr(html_blocks, "WINDOW", 48)
+    assert np.allclose(model.probabilities(x), whole, atol=1e-5)
+
+
 # The pipeline.
 
 
