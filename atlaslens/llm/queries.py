@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from atlaslens.llm import chat, html_blocks, mixing, ngram_join, packing, pii, quality, rpforest, rules, sharding
+from atlaslens.llm import (
+    chat, collocations, hardneg, html_blocks, langid, mixing, ngram_join, packing, pii, quality, rpforest, rules, sharding,
+)
 from atlaslens.llm.common import table
 
 QUERIES = {}
@@ -152,3 +154,74 @@ WITH d AS (
 SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(above), depth, '0') END AS shard, depth, shard_bytes, shard_documents
 FROM f WHERE r = 1
 """
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    vectors = table(spark, sf_dir, "embeddings")
+    return hardneg.mine(vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)))
+
+
+# Every anchor against every row.
+ORACLES["op11_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
+
+@query
+def op12_context_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_phrase_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+# Phrases as lists of words, looked up by equality.
+ORACLES["op13_phrase_streams"] = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), s AS (
+  SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?
+-
+]')) AS piece FROM d
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS words FROM s
+), t AS (
+  SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM w GROUP BY lang
+), f AS (
+  SELECT lang, phrase, count(*) AS f FROM (
+    SELECT lang, words[i : i + m - 1] AS phrase FROM w, range(1, 6) r(m), unnest(range(1, CAST(greatest(1, len(words) - m + 2) AS BIGINT))) u(i)
+  ) GROUP BY ALL HAVING count(*) >= 100
+), c AS (
+  SELECT lang, phrase, f AS a FROM f WHERE len(phrase) > 1
+), gone AS (
+  SELECT DISTINCT c.lang, c.phrase FROM c JOIN (
+    SELECT lang, a, phrase[i : i + m - 1] AS part FROM c, range(2, 5) r(m), unnest(range(1, CAST(greatest(1, len(phrase) - m + 2) AS BIGINT))) u(i) WHERE m < len(phrase)
+  ) x ON c.lang = x.lang AND c.phrase = x.part AND 100 * x.a >= 100 * c.a
+), k AS (
+  SELECT lang, phrase, a, k FROM c ANTI JOIN gone USING (lang, phrase), unnest(range(1, CAST(len(phrase) AS BIGINT))) u(k)
+), v AS (
+  SELECT k.lang, k.phrase, a, x.f AS l, y.f AS r, n, (1000 * a::HUGEINT * n) // (x.f::HUGEINT * y.f) AS score, k
+  FROM k JOIN f x ON x.lang = k.lang AND x.phrase = k.phrase[1 : k] JOIN f y ON y.lang = k.lang AND y.phrase = k.phrase[k + 1 :] JOIN t ON t.lang = k.lang
+  QUALIFY row_number() OVER (PARTITION BY k.lang, k.phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER o AS rank, array_to_string(phrase, ' ') AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM v WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(phrase, ' ')) QUALIFY row_number() OVER o <= 2000
+"""
