@@ -15,15 +15,18 @@ Where a stream is cut between tasks, windows that go on in the next task are
 added up afterwards, and each task of the count stream also gets the phrases its
 first key begins with. So no first word, however common, has to fit one task.
 
-Before that, words that cannot be common enough are found: all words are counted
-in 2**22 buckets, and a word whose bucket stays below the least count ends the
-windows that meet it. Buckets shared by several words keep windows that are not
-needed, they never lose one. At sizes where every bucket is full nothing is
-saved, with the same result.
+Before that, what cannot be common enough is found by bounded sketches: all words
+are counted in 2**24 buckets, then all pairs of neighbours whose words passed in
+2**27, and a word or pair whose bucket stays below the least count ends the
+windows that meet it. Buckets shared by several keep windows that are not needed,
+they never lose one. The counts themselves come from the streams alone. Where
+every bucket is full, at some 10**11 words, nothing is saved, with the same
+result.
 """
 
 from __future__ import annotations
 
+import hashlib
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -39,7 +42,8 @@ WORDS = 5  # of the longest phrase
 LEAST = 100  # occurrences of a phrase
 TOP = 2_000  # phrases of a language
 UNKNOWN = "und"
-BUCKETS = 1 << 22
+WORD_BUCKETS, PAIR_BUCKETS = 1 << 24, 1 << 27  # a bit each is broadcast: 2 and 16 MB
+RANGE = 1 << 18  # buckets that are added up together
 CHUNK = 1 << 17  # windows that are cut out at a time
 FLUSH = 1 << 20  # windows a task merges before it sends them
 A_TASK = 1 << 14  # phrases of the count stream in one task
@@ -83,14 +87,15 @@ class Words:
         self.data = np.zeros(self.ends[-1] + 1 if len(starts) else 0, np.uint8)
         places, _ = _ragged(starts, sizes)
         self.data[_ragged(self.starts, sizes)[0]] = _LOWER[data[places]]
-        self.breaks = np.flatnonzero((pieces[1:] != pieces[:-1]) | (texts[1:] != texts[:-1])) + 1
+        self.inside = np.zeros(len(starts), dtype=bool)  # whether the word before is of the same piece
+        self.inside[1:] = (pieces[1:] == pieces[:-1]) & (texts[1:] == texts[:-1])
 
     def __len__(self) -> int:
         return len(self.starts)
 
-    def windows(self, useful: np.ndarray) -> Iterator[pa.Array]:
-        """Up to WORDS words from every useful word on, ending before the piece does and before a word that is not useful."""
-        stops = np.union1d(self.breaks, np.append(np.flatnonzero(~useful), len(self)))
+    def windows(self, useful: np.ndarray, joined: np.ndarray) -> Iterator[pa.Array]:
+        """Up to WORDS words from every useful word on, each ``joined`` to the one before."""
+        stops = np.append(np.flatnonzero(~joined), len(self))
         first = np.flatnonzero(useful)
         stop = stops[np.searchsorted(stops, first, side="right")]
         last = np.minimum(first + WORDS, stop) - 1
@@ -116,35 +121,115 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]]:
                 yield lang, Words(data, at)
 
 
-def _buckets(words: Words, lang: str) -> np.ndarray:
-    own = np.uint64(int.from_bytes(lang.encode()[:8].ljust(8), "little") ^ len(lang))
-    return (texthash.mix(words.hashes ^ own) & np.uint64(BUCKETS - 1)).astype(np.int64)
+class Filter:
+    """What may be common enough: a bit per bucket of words, and one per bucket of pairs once they are counted."""
 
+    def __init__(self, words: np.ndarray | None = None, pairs: np.ndarray | None = None):
+        self.words, self.pairs = words, pairs
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """(lang, bucket, n): word counts per bucket (lang is null) and per language (bucket is null)."""
+    def word_buckets(self, words: Words, lang: str) -> np.ndarray:
+        own = np.uint64(int.from_bytes(hashlib.sha256(lang.encode()).digest()[:8], "little"))
+        words.hashes = texthash.mix(words.hashes ^ own)
+        return (words.hashes & np.uint64(WORD_BUCKETS - 1)).astype(np.int64)
+
+    def pair_buckets(self, words: Words, lang: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which words pass, which of them may be joined to the one before, and the bucket of each such pair."""
+        useful = _set(self.words, self.word_buckets(words, lang))
+        joined = words.inside & useful
+        joined[1:] &= useful[:-1]
+        pairs = texthash.windows(words.hashes, 2)[joined[1:]]
+        return useful, joined, (pairs & np.uint64(PAIR_BUCKETS - 1)).astype(np.int64)
+
+    def pass_on(self, words: Words, lang: str) -> tuple[np.ndarray, np.ndarray]:
+        useful, joined, buckets = self.pair_buckets(words, lang)
+        joined[joined] = _set(self.pairs, buckets)
+        return useful, joined
+
+
+def _set(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (bits[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def sketch(docs: DataFrame, known: Filter, least: int) -> tuple[np.ndarray, DataFrame]:
+    """A bit per bucket that reaches ``least``: of words, or of pairs where ``known`` has the words; and (lang, n) word counts."""
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+    buckets = WORD_BUCKETS if known.words is None else PAIR_BUCKETS
+    names, schema = ["part", "lang", "n", "places", "counts"], "part int, lang string, n long, places binary, counts binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[str, int] = {}
-        counts = np.zeros(BUCKETS, np.int64)
+        known, totals = shared.value, {}
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if not held:
+                return
+            places, counts = (np.concatenate(side) for side in zip(*held))
+            order = np.argsort(places)
+            first = np.flatnonzero(np.concatenate(([True], np.diff(places[order]) != 0)))
+            places, counts = places[order][first], np.add.reduceat(counts[order], first)
+            parts, first = np.unique(places // RANGE, return_index=True)
+            last = np.append(first[1:], len(places))
+            low, n = (places % RANGE).astype("<u4"), counts.astype("<i8")
+            n = n.astype("<u2") if len(n) and n.max() < 1 << 16 else n
+            yield pa.RecordBatch.from_arrays([
+                pa.array(parts, pa.int32()), pa.nulls(len(parts), pa.string()), pa.nulls(len(parts), pa.int64()),
+                pa.array([low[a:b].tobytes() for a, b in zip(first, last)], pa.binary()), pa.array([n[a:b].tobytes() for a, b in zip(first, last)], pa.binary()),
+            ], names=names)
+            held.clear()
+
+        size = 0
         for lang, words in _blocks(batches):
             totals[lang] = totals.get(lang, 0) + len(words)
-            found, n = np.unique(_buckets(words, lang), return_counts=True)
-            counts[found] += n
-        some = np.flatnonzero(counts)
-        langs, buckets = [None] * len(some) + list(totals), some.tolist() + [None] * len(totals)
-        n = counts[some].tolist() + list(totals.values())
-        yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(buckets, pa.int64()), pa.array(n, pa.int64())], names=["lang", "bucket", "n"])
+            found = known.word_buckets(words, lang) if known.words is None else known.pair_buckets(words, lang)[2]
+            if len(found):
+                held.append(np.unique(found, return_counts=True))
+                size += len(held[-1][0])
+            if size > FLUSH * 2:
+                yield from flush()
+                size = 0
+        yield from flush()
+        yield pa.RecordBatch.from_arrays([
+            pa.array([-1] * len(totals), pa.int32()), pa.array(list(totals), pa.string()), pa.array(list(totals.values()), pa.int64()),
+            pa.nulls(len(totals), pa.binary()), pa.nulls(len(totals), pa.binary()),
+        ], names=names)
 
-    return docs.mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, sums = -1, np.zeros(RANGE, np.int64)
 
+        def bits() -> pa.RecordBatch:
+            rows = [(part, None, None, np.packbits(sums >= least, bitorder="little").tobytes())] if part >= 0 else []
+            columns = list(zip(*rows)) or [()] * 4
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.string(), pa.int64(), pa.binary()))], names=["part", "lang", "n", "bits"]
+            )
 
-def windows(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """(lang, phrase, n): the windows of all texts; ``common`` has a bit per bucket, equal windows of a task are merged."""
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(common))
+        for batch in batches:
+            for own, lang, n, places, counts in zip(*(column.to_pylist() for column in batch.columns)):
+                if own < 0:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([own], pa.int32()), pa.array([lang]), pa.array([n]), pa.array([None], pa.binary())], names=["part", "lang", "n", "bits"]
+                    )
+                    continue
+                if own != part:
+                    yield bits()
+                    part, sums = own, np.zeros(RANGE, np.int64)
+                places = np.frombuffer(places, "<u4")
+                sums[places] += np.frombuffer(counts, "<u2" if len(counts) == 2 * len(places) else "<i8")
+        yield bits()
+
+    partial = docs.mapInArrow(run, schema).repartition("part").sortWithinPartitions("part")
+    found = stage(partial.mapInArrow(add, "part int, lang string, n long, bits binary"), "sketch")
+    bits = np.zeros(buckets // 8, np.uint8)
+    for row in found.where("part >= 0").select("part", "bits").toArrow().to_pylist():  # buckets / 8 bytes in all
+        bits[row["part"] * RANGE // 8 : (row["part"] + 1) * RANGE // 8] = np.frombuffer(row["bits"], np.uint8)
+    return bits, found.where("part < 0").groupBy("lang").agg(F.sum("n").alias("n"))
+
+
+def windows(docs: DataFrame, known: Filter) -> DataFrame:
+    """(lang, phrase, n): the windows of all texts that pass; equal windows of a task are merged."""
+    shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        useful = np.unpackbits(shared.value).astype(bool)
         held: dict[str, list[pa.Array]] = {}
         size = 0
 
@@ -158,7 +243,7 @@ def windows(docs: DataFrame, common: np.ndarray) -> DataFrame:
             held.clear()
 
         for lang, words in _blocks(batches):
-            for part in words.windows(useful[_buckets(words, lang)]):
+            for part in words.windows(*shared.value.pass_on(words, lang)):
                 held.setdefault(lang, []).append(part)
                 size += len(part)
                 if size >= FLUSH:
@@ -355,11 +440,10 @@ def mine(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
     """
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text").where(F.col("text") != "")
-    counted = stage(count_words(texts), "words")
-    common = np.zeros(BUCKETS, dtype=bool)
-    common[counted.where(F.col("bucket").isNotNull() & (F.col("n") >= least)).select("bucket").toArrow()["bucket"].to_numpy()] = True  # at most BUCKETS rows
-    totals = counted.where("bucket IS NULL").select("lang", F.col("n").alias("total"))
-    found = stage(windows(texts, common), "windows")  # sorting reads them twice: for a sample, then whole
+    known = Filter()
+    known.words, totals = sketch(texts, known, least)
+    known.pairs, _ = sketch(texts, known, least)
+    found = stage(windows(texts, known), "windows")  # sorting reads them twice: for a sample, then whole
     counts = stage(count_phrases(found, least), "counts")
     release(found)
     tasks = max(1, -(-counts.count() // A_TASK))
@@ -380,7 +464,7 @@ def mine(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
     plain = F.replace(F.col("phrase"), F.lit(JOIN), F.lit(" "))
     for byte, written in reversed(ESCAPES):
         plain = F.replace(plain, F.lit(written), F.lit(byte))
-    scored = both.join(totals, "lang").select("lang", plain.alias("phrase"), "a", F.col("total").alias("n"), cut.alias("cut"))
+    scored = both.join(totals.withColumnRenamed("n", "total"), "lang").select("lang", plain.alias("phrase"), "a", F.col("total").alias("n"), cut.alias("cut"))
     order = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
     ranked = scored.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
     return ranked.select("lang", "rank", "phrase", "a", "cut.l", "cut.r", "n", F.col("cut.score").alias("score"))
