@@ -15,13 +15,13 @@ Where a stream is cut between tasks, windows that go on in the next task are
 added up afterwards, and each task of the count stream also gets the phrases its
 first key begins with. So no first word, however common, has to fit one task.
 
-Before that, what cannot be common enough is found by bounded sketches: all words
-are counted in 2**24 buckets, then all pairs of neighbours whose words passed in
-2**27, and a word or pair whose bucket stays below the least count ends the
-windows that meet it. Buckets shared by several keep windows that are not needed,
-they never lose one. The counts themselves come from the streams alone. Where
-every bucket is full, at some 10**11 words, nothing is saved, with the same
-result.
+Before that, what cannot be common enough is found by bounded sketches: words are
+counted in 2**24 buckets, then pairs of neighbours whose words passed, then
+triples whose pairs passed, in 2**27 each. A bucket below the least count ends
+the windows that would go on there, and only words of some passing pair open one.
+Buckets shared by several keys keep windows that are not needed, they never lose
+one; the counts themselves come from the streams alone. Where every bucket is
+full, at some 10**11 words, nothing is saved, with the same result.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ WORDS = 5  # of the longest phrase
 LEAST = 100  # occurrences of a phrase
 TOP = 2_000  # phrases of a language
 UNKNOWN = "und"
-WORD_BUCKETS, PAIR_BUCKETS = 1 << 24, 1 << 27  # a bit each is broadcast: 2 and 16 MB
+WORD_BUCKETS, RUN_BUCKETS = 1 << 24, 1 << 27  # of words, and of pairs or triples; a bit each is broadcast: 2 and 16 MB
 RANGE = 1 << 18  # buckets that are added up together
 CHUNK = 1 << 17  # windows that are cut out at a time
 FLUSH = 1 << 20  # windows a task merges before it sends them
@@ -93,12 +93,13 @@ class Words:
     def __len__(self) -> int:
         return len(self.starts)
 
-    def windows(self, useful: np.ndarray, joined: np.ndarray) -> Iterator[pa.Array]:
-        """Up to WORDS words from every useful word on, each ``joined`` to the one before."""
-        stops = np.append(np.flatnonzero(~joined), len(self))
-        first = np.flatnonzero(useful)
-        stop = stops[np.searchsorted(stops, first, side="right")]
-        last = np.minimum(first + WORDS, stop) - 1
+    def windows(self, opens: np.ndarray, second: np.ndarray, third: np.ndarray) -> Iterator[pa.Array]:
+        """Up to WORDS words from every word that ``opens`` one: a second one where its mark is set, and more while theirs are in ``third``."""
+        stops = np.append(np.flatnonzero(~third), len(self))
+        first = np.flatnonzero(opens)
+        stop = stops[np.minimum(np.searchsorted(stops, first + 2), len(stops) - 1)]
+        pair = np.append(second, False)[first + 1]
+        last = np.where(pair, np.minimum(first + WORDS, np.maximum(stop, first + 2)), first + 1) - 1
         for k in range(0, len(first), CHUNK):
             starts = self.starts[first[k : k + CHUNK]]
             places, bounds = _ragged(starts, self.ends[last[k : k + CHUNK]] - starts)
@@ -122,28 +123,61 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]]:
 
 
 class Filter:
-    """What may be common enough: a bit per bucket of words, and one per bucket of pairs once they are counted."""
+    """What may be common enough: a bit per bucket of words, pairs and triples; ``used`` are the words of passing pairs."""
 
-    def __init__(self, words: np.ndarray | None = None, pairs: np.ndarray | None = None):
-        self.words, self.pairs = words, pairs
+    def __init__(self):
+        self.words = self.pairs = self.triples = self.used = None
 
-    def word_buckets(self, words: Words, lang: str) -> np.ndarray:
-        own = np.uint64(int.from_bytes(hashlib.sha256(lang.encode()).digest()[:8], "little"))
-        words.hashes = texthash.mix(words.hashes ^ own)
-        return (words.hashes & np.uint64(WORD_BUCKETS - 1)).astype(np.int64)
-
-    def pair_buckets(self, words: Words, lang: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Which words pass, which of them may be joined to the one before, and the bucket of each such pair."""
-        useful = _set(self.words, self.word_buckets(words, lang))
-        joined = words.inside & useful
-        joined[1:] &= useful[:-1]
-        pairs = texthash.windows(words.hashes, 2)[joined[1:]]
-        return useful, joined, (pairs & np.uint64(PAIR_BUCKETS - 1)).astype(np.int64)
+    def _marks(self, words: Words, lang: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Buckets of the words; whether each passes with the one before, with the two before; the buckets of those runs.
 
-    def pass_on(self, words: Words, lang: str) -> tuple[np.ndarray, np.ndarray]:
-        useful, joined, buckets = self.pair_buckets(words, lang)
-        joined[joined] = _set(self.pairs, buckets)
-        return useful, joined
+        A run passes where no sketch that is known already rules it out.
+        """
+        own = np.uint64(int.from_bytes(hashlib.sha256(lang.encode()).digest()[:8], "little"))
+        hashes = texthash.mix(words.hashes ^ own)
+        single = (hashes & np.uint64(WORD_BUCKETS - 1)).astype(np.int64)
+        if self.words is None:
+            return single, None, None, None
+        useful, second = _set(self.words, single), words.inside.copy()
+        second &= useful
+        second[1:] &= useful[:-1]
+        runs = (texthash.windows(hashes, 2)[second[1:]] & np.uint64(RUN_BUCKETS - 1)).astype(np.int64)
+        if self.pairs is None:
+            return single, second, None, runs
+        second[second] = _set(self.pairs, runs)
+        third = second.copy()
+        third[:1] = False
+        third[1:] &= second[:-1]
+        runs = (texthash.windows(hashes, 3)[third[2:]] & np.uint64(RUN_BUCKETS - 1)).astype(np.int64)
+        if self.triples is not None:
+            third[third] = _set(self.triples, runs)
+        return single, second, third, runs
+
+    def to_count(self, words: Words, lang: str, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """The buckets of what comes next (words, pairs, triples) and counts; words of passing pairs come after the triples."""
+        single, second, third, runs = self._marks(words, lang)
+        found, counts = np.unique(single if second is None else runs, return_counts=True)
+        if third is not None:
+            both = second.copy()
+            both[:-1] |= second[1:]
+            used = np.unique(single[both])
+            found, counts = np.append(found, used + RUN_BUCKETS), np.append(counts, np.full(len(used), least))
+        return found, counts
+
+    def buckets(self) -> int:
+        return WORD_BUCKETS if self.words is None else RUN_BUCKETS if self.pairs is None else RUN_BUCKETS + WORD_BUCKETS
+
+    def learn(self, bits: np.ndarray) -> None:
+        if self.words is None:
+            self.words = bits
+        elif self.pairs is None:
+            self.pairs = bits
+        else:
+            self.triples, self.used = bits[: RUN_BUCKETS // 8], bits[RUN_BUCKETS // 8 :]
+
+    def passing(self, words: Words, lang: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        single, second, third, _ = self._marks(words, lang)
+        return _set(self.used, single), second, third
 
 
 def _set(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -151,9 +185,8 @@ def _set(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, known: Filter, least: int) -> tuple[np.ndarray, DataFrame]:
-    """A bit per bucket that reaches ``least``: of words, or of pairs where ``known`` has the words; and (lang, n) word counts."""
+    """A bit per bucket that reaches ``least``, of what ``known`` does not have yet; and (lang, n) word counts."""
     shared = docs.sparkSession.sparkContext.broadcast(known)
-    buckets = WORD_BUCKETS if known.words is None else PAIR_BUCKETS
     names, schema = ["part", "lang", "n", "places", "counts"], "part int, lang string, n long, places binary, counts binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,10 +213,10 @@ def sketch(docs: DataFrame, known: Filter, least: int) -> tuple[np.ndarray, Data
         size = 0
         for lang, words in _blocks(batches):
             totals[lang] = totals.get(lang, 0) + len(words)
-            found = known.word_buckets(words, lang) if known.words is None else known.pair_buckets(words, lang)[2]
-            if len(found):
-                held.append(np.unique(found, return_counts=True))
-                size += len(held[-1][0])
+            found = known.to_count(words, lang, least)
+            if len(found[0]):
+                held.append(found)
+                size += len(found[0])
             if size > FLUSH * 2:
                 yield from flush()
                 size = 0
@@ -219,8 +252,8 @@ def sketch(docs: DataFrame, known: Filter, least: int) -> tuple[np.ndarray, Data
 
     partial = docs.mapInArrow(run, schema).repartition("part").sortWithinPartitions("part")
     found = stage(partial.mapInArrow(add, "part int, lang string, n long, bits binary"), "sketch")
-    bits = np.zeros(buckets // 8, np.uint8)
-    for row in found.where("part >= 0").select("part", "bits").toArrow().to_pylist():  # buckets / 8 bytes in all
+    bits = np.zeros(known.buckets() // 8, np.uint8)
+    for row in found.where("part >= 0").select("part", "bits").toArrow().to_pylist():  # a bit per bucket in all
         bits[row["part"] * RANGE // 8 : (row["part"] + 1) * RANGE // 8] = np.frombuffer(row["bits"], np.uint8)
     return bits, found.where("part < 0").groupBy("lang").agg(F.sum("n").alias("n"))
 
@@ -243,7 +276,7 @@ def windows(docs: DataFrame, known: Filter) -> DataFrame:
             held.clear()
 
         for lang, words in _blocks(batches):
-            for part in words.windows(*shared.value.pass_on(words, lang)):
+            for part in words.windows(*shared.value.passing(words, lang)):
                 held.setdefault(lang, []).append(part)
                 size += len(part)
                 if size >= FLUSH:
@@ -441,8 +474,9 @@ def mine(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text").where(F.col("text") != "")
     known = Filter()
-    known.words, totals = sketch(texts, known, least)
-    known.pairs, _ = sketch(texts, known, least)
+    for _ in range(3):
+        bits, totals = sketch(texts, known, least)
+        known.learn(bits)
     found = stage(windows(texts, known), "windows")  # sorting reads them twice: for a sample, then whole
     counts = stage(count_phrases(found, least), "counts")
     release(found)
