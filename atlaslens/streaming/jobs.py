@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from atlaslens.operators import paging, spans
+from atlaslens.operators.keyed_store import KeyedStore
 from atlaslens.sources.requests import check_requests, decode_body
 
 
@@ -40,6 +41,20 @@ def run(stream: DataFrame, out: str, partition_by: tuple[str, ...] = ()) -> Data
     return spark.read.schema(stream.schema).parquet(f"{out}/data")
 
 
+def insert_into(stream: DataFrame, store: KeyedStore, out: str, source: str, *order: Column) -> None:
+    """Insert all that has arrived into a store, exactly once.
+
+    The store's manifest names the last batch it has of ``source``, in the same
+    rename that makes the batch's rows visible. A batch that failed before leaves
+    nothing; one whose checkpoint was lost after is delivered again and left out.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        store.insert(batch, *order, source=source, number=number)
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True)
+    writer.start().awaitTermination()
+
+
 def run_slices(stream: DataFrame, out: str, keys: list[str], at_us: str, ttl_s: int, *latest: str) -> DataFrame:
     """Spans in which a key stayed set, from all files that have arrived so far, whatever their order.
 
