@@ -58,6 +58,27 @@ def mark_unresolved(places: DataFrame, searched: DataFrame) -> DataFrame:
     )
 
 
+CACHE_ROW = (
+    "place_id string, data_id string, place_results variant, local_results string, n_entries int, search_metadata string, "
+    "search_parameters string, search_information string, query_params string, query_dt timestamp, query_ds date"
+)
+
+
+def cache_rows(entries: DataFrame, words: Column, around: Column, at: Column, *more: str) -> DataFrame:
+    """Entries of search responses (``responses.search_entries``) as rows of the cache.
+
+    ``place_results`` holds the whole entry and ``local_results`` its tag. The query is
+    kept as its words and the point it looked around, joined by an underscore; ``at`` is
+    when it was made. ``more`` names further columns to keep. Failed responses are not
+    cached.
+    """
+    return entries.where(F.col("search_error").isNull() & F.col("entry").isNotNull()).select(
+        "place_id", "data_id", F.col("entry").alias("place_results"), F.col("tag").alias("local_results"), "n_entries",
+        "search_metadata", "search_parameters", "search_information", F.concat(words, F.lit("_"), around).alias("query_params"),
+        at.alias("query_dt"), F.to_date(at).alias("query_ds"), *more,
+    )
+
+
 def look_up_cache(requests: DataFrame, cache: DataFrame, *order: Column) -> DataFrame:
     """Requests with the first cached entry of their place and whether there was one.
 

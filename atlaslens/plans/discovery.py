@@ -167,6 +167,7 @@ def search_responses(orders: DataFrame) -> DataFrame:
             F.concat(F.lit("Place "), key, F.lit("/"), position).alias("title"),
             F.concat(F.lit("Street "), position).alias("address"),
             position.cast("int").alias("position"),
+            (position % 5 + 1).cast("int").alias("rating"),  # of no use to the library, but part of the entry
             F.struct(
                 (F.col("o_custkey") % 80).cast("double").alias("latitude"), position.cast("double").alias("longitude")
             ).alias("gps_coordinates"),
@@ -175,7 +176,7 @@ def search_responses(orders: DataFrame) -> DataFrame:
     entries = F.transform(F.sequence(F.lit(1), count), entry)
     primary = entry(F.lit(0))
     main = F.struct(
-        *(primary[name].alias(name) for name in ("place_id", "data_id", "title", "address", "position", "gps_coordinates")),
+        *(primary[name].alias(name) for name in ("place_id", "data_id", "title", "address", "position", "rating", "gps_coordinates")),
         F.array(F.struct(entries.alias("local_results"))).alias("people_also_search_for"),
     )
     metadata = F.struct(F.col("o_orderpriority").alias("id")).alias("search_metadata")

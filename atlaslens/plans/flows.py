@@ -97,11 +97,12 @@ def resolve_identifiers(places: DataFrame, wanted: DataFrame, cache: DataFrame,
     no identifier; the mark is for good. Where every search failed, or none answered,
     the place is left alone and returned for another try, with the error.
 
-    The entries of the responses, which are also the new rows for the cache, and the
-    links are written below ``folder`` once and read from there by the steps after.
+    What the cache had, the entries of the responses, which are also the new rows for
+    the cache, and the links are written below ``folder`` once and read from there by the steps after.
     """
     spark = places.sparkSession
-    looked = search.look_up_cache(wanted.select("place_id"), cache, *cache_order)
+    search.look_up_cache(wanted.select("place_id"), cache, *cache_order).write.parquet(f"{folder}/looked")
+    looked = spark.read.parquet(f"{folder}/looked")
     hits = looked.where("cache_hit").select("place_id", F.col("cached_data_id").alias("data_id"))
     misses = looked.where(~F.col("cache_hit")).select(F.col("place_id").alias("asked_for"))
     asked = responses.withColumnRenamed("place_id", "asked_for").join(misses, "asked_for", "left_semi")
@@ -120,7 +121,7 @@ def resolve_identifiers(places: DataFrame, wanted: DataFrame, cache: DataFrame,
     unplaced = entries.where(F.col("place_id").isNull()).drop("place_id").withColumns(point)
     known = places.select("place_id", "name", F.col("coords.lat").alias("lat"), F.col("coords.lng").alias("lng"))
     placed = entries.where(F.col("place_id").isNotNull()).unionByName(
-        resolve.nearest_by_name(unplaced, known).drop("lat", "lng", "distance_mm")
+        resolve.nearest_by_name(unplaced, known, folder=f"{folder}/resolve").drop("lat", "lng", "distance_mm")
     )
     search.one_link_per_place(placed, *order).write.parquet(f"{folder}/links")
     links = spark.read.parquet(f"{folder}/links")

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from atlaslens.operators import keyed_store
+from pyspark.sql.types import StructType
+
+from atlaslens.operators import keyed_store, search
+from atlaslens.operators.day_store import DayStore
 from atlaslens.operators.keyed_store import KeyedStore
-from atlaslens.plans import tables, upkeep
+from atlaslens.plans import discovery, tables
 from atlaslens.plans.registry import ORACLES, query
 from atlaslens.session import work_dir
+from atlaslens.sources import responses
 from atlaslens.streaming import jobs
 
 
@@ -67,3 +73,37 @@ def s_store_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):  # the second run finds nothing new to read
         jobs.insert_into(reviews, store, out, "reviews", F.col("doc_id"))
     return store.read().select("unique_review_id", "doc_id", "text")
+
+
+@query("cache_days", """
+    WITH entries AS (
+        SELECT *, unnest(range(CASE o_orderstatus WHEN 'F' THEN 1 ELSE 0 END, n + 1)) AS i FROM (
+            SELECT *, CAST(o_orderpriority[1] AS INTEGER) AS n FROM orders) WHERE o_orderstatus IN ('O', 'F') AND o_orderkey % 2 = 1
+    ), hits AS (
+        SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey, i) AS rn FROM entries WHERE i % 2 = 1
+    )
+    SELECT 'p' || c_custkey AS place_id, rn IS NOT NULL AS cache_hit, 'd' || o_orderkey || '_' || i AS data_id,
+           CASE WHEN o_orderstatus = 'F' THEN 'll_' WHEN i = 0 THEN 'pr' ELSE 'pasf_' END || CASE WHEN i = 0 AND o_orderstatus = 'O' THEN '' ELSE CAST(i AS VARCHAR) END AS tag,
+           CAST(CASE o_orderstatus WHEN 'F' THEN n ELSE n + 1 END AS INTEGER) AS n_entries, CAST(i % 5 + 1 AS INTEGER) AS rating,
+           'Place ' || o_orderkey || '_@' || (o_custkey % 80) AS query_params, CASE WHEN rn IS NOT NULL THEN '2024-03-02' END AS query_day
+    FROM customer LEFT JOIN hits ON o_custkey = c_custkey AND rn = 1""")
+def cache_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places looked up in the search results of the last day cached, with a field that only the cached entry has."""
+    orders = tables.table(spark, sf_dir, "orders")
+    found = responses.search_entries(discovery.search_responses(orders))
+    point = F.concat(F.lit("@"), F.col("gps_coordinates.latitude").cast("int"))
+    key = F.col("o_orderkey")
+    days = [dt.date(2024, 3, 1), dt.date(2024, 3, 2)]
+    store = DayStore(spark, work_dir(spark, "cache"), "query_ds", StructType.fromDDL(search.CACHE_ROW + ", o_orderkey long, position int"))
+    for number, day in enumerate([*days, days[1]]):  # the last run is repeated, and replaces itself
+        own = found.where(key % 2 == min(number, 1))
+        at = F.to_timestamp(F.lit(f"{day} 10:00:00"))
+        rows = search.cache_rows(own, F.concat(F.lit("Place "), key), point, at, "o_orderkey", "position")
+        store.append(rows, f"run-{min(number, 1)}")
+    cached = store.read(since=days[1])
+    looked = search.look_up_cache(tables.places(spark, sf_dir).select("place_id"), cached, F.col("query_dt"), key, F.col("position"))
+    return looked.select(
+        "place_id", "cache_hit", F.col("cached_data_id").alias("data_id"), F.col("cached_local_results").alias("tag"),
+        F.col("cached_n_entries").alias("n_entries"), F.try_variant_get("cached_place_results", "$.rating", "int").alias("rating"),
+        F.col("cached_query_params").alias("query_params"), F.date_format("cached_query_ds", "yyyy-MM-dd").alias("query_day"),
+    )

@@ -13,11 +13,6 @@ PLACE_RESPONSE = (
     "geometry: struct<location: struct<lat: double, lng: double>>>>, next_page_token string"
 )
 
-SEARCH_ENTRY = (
-    "struct<place_id: string, data_id: string, title: string, address: string, formatted_address: string, "
-    "types: array<string>, position: int, gps_coordinates: struct<latitude: double, longitude: double>>"
-)
-
 SCRAPE_REQUEST = (
     "place_id string, data_id string, name string, language string, country_domain string, "
     "priority int, last_scraped string"

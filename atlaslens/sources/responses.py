@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from atlaslens import schemas
 
-SEARCH_RESPONSE = (
-    f"place_results {schemas.SEARCH_ENTRY[:-1]}, "
-    f"people_also_search_for: array<struct<local_results: array<{schemas.SEARCH_ENTRY}>>>>, "
-    f"local_results array<{schemas.SEARCH_ENTRY}>, error string, "
-    "search_metadata string, search_parameters string, search_information string"
+# Fields of a search entry that have a column of their own. All others stay in the entry.
+ENTRY = (
+    "struct<place_id: string, data_id: string, title: string, address: string, formatted_address: string, "
+    "types: array<string>, position: int, gps_coordinates: struct<latitude: double, longitude: double>>"
 )
+ENTRY_FIELDS = ("place_id", "data_id", "title", "address", "formatted_address", "types", "position", "gps_coordinates")
 
 
 def place_results(responses: DataFrame, body: str = "body") -> DataFrame:
@@ -41,42 +41,46 @@ def broken_responses(results: DataFrame) -> DataFrame:
     return results.where(F.col("response_error").isNotNull())
 
 
-def _tagged(entry: Column, tag: Column) -> Column:
-    fields = ("place_id", "data_id", "title", "address", "formatted_address", "types", "position", "gps_coordinates")
-    return F.struct(tag.alias("tag"), *(entry[field].alias(field) for field in fields))
-
-
 def search_entries(responses: DataFrame, body: str = "body") -> DataFrame:
     """One row per entry of a search response, with a tag telling where it stood.
 
     The primary place is ``pr``, the first group of places also searched for is
     ``pasf_<position>``; a plain result list is ``ll_<position>``. The metadata is
-    repeated on each row. A response with an error, or of an unknown shape, gives one
-    row with ``search_error`` set, so that nothing is lost on the way.
+    repeated on each row, as is ``n_entries``, how many the response has. ``entry``
+    is the entry as it came, with all its fields, whatever they are. A response with
+    an error, or of an unknown shape, gives one row with ``search_error`` set, so
+    that nothing is lost on the way.
+
+    The body is parsed once, to a variant; fields are taken from that.
     """
     metadata = ["search_metadata", "search_parameters", "search_information"]
     carried = [column for column in responses.columns if column != body]
-    parsed = responses.select(*carried, F.from_json(body, SEARCH_RESPONSE).alias("_response")).select(*carried, "_response.*")
-    primary = F.col("place_results")
-    nothing = F.expr(f"cast(array() as array<{schemas.SEARCH_ENTRY}>)")
-    related = F.coalesce(F.try_element_at(primary["people_also_search_for"], F.lit(1))["local_results"], nothing)
-    entries = F.when(
-        primary.isNotNull(),
-        F.concat(
-            F.array(_tagged(primary, F.lit("pr"))),
-            F.transform(related, lambda e: _tagged(e, F.concat(F.lit("pasf_"), e["position"].cast("string")))),
-        ),
-    ).when(
-        F.col("local_results").isNotNull(),
-        F.transform("local_results", lambda e: _tagged(e, F.concat(F.lit("ll_"), e["position"].cast("string")))),
+    parsed = responses.select(*carried, F.try_parse_json(body).alias("_response"))
+    part = lambda path, kind: F.try_variant_get("_response", path, kind)
+    parts = parsed.select(
+        *carried, *(part(f"$.{name}", "string").alias(name) for name in metadata), part("$.error", "string").alias("_error"),
+        # Null where the field is something else than an object or a list.
+        part("$.place_results", "struct<place_id: variant>").isNotNull().alias("_is_place"),
+        part("$.place_results", "variant").alias("_primary"),
+        part("$.place_results.people_also_search_for[0].local_results", "array<variant>").alias("_related"),
+        part("$.local_results", "array<variant>").alias("_list"),
     )
+    none = F.expr("cast(array() as array<variant>)")
+    entries = F.when(F.col("_is_place"), F.concat(F.array("_primary"), F.coalesce("_related", none))).otherwise(F.col("_list"))
     # Entries and metadata are columns of their own before the explode, so no row carries the response.
-    tagged = parsed.select(*carried, *metadata, "error", entries.alias("_entries"))
-    failed = F.when(F.col("_entries").isNull(), F.coalesce("error", F.lit("unexpected response"))).alias("search_error")
-    exploded = tagged.select(*carried, *metadata, failed, "_entries").select(
-        *carried, *metadata, "search_error", F.explode_outer("_entries").alias("_entry")
+    listed = parts.select(*carried, *metadata, "_error", "_is_place", entries.alias("_entries"))
+    failed = F.when(F.col("_entries").isNull(), F.coalesce("_error", F.lit("unexpected response"))).alias("search_error")
+    exploded = listed.select(
+        *carried, *metadata, failed, "_is_place", F.coalesce(F.size("_entries"), F.lit(0)).alias("n_entries"), F.posexplode_outer("_entries").alias("_at", "entry")
+    )
+    fields = F.try_variant_get("entry", "$", ENTRY)
+    tag = F.when(F.col("_is_place") & (F.col("_at") == 0), "pr").otherwise(
+        F.concat(F.when(F.col("_is_place"), "pasf_").otherwise("ll_"), F.col("position").cast("string"))
+    )
+    named = exploded.select(*carried, *metadata, "search_error", "n_entries", "entry", "_is_place", "_at", fields.alias("_fields")).select("*", "_fields.*")
+    return named.select(
+        *carried, *metadata, "search_error", "n_entries", F.when(F.col("search_error").isNull(), tag).alias("tag"), *ENTRY_FIELDS, "entry"
     )
-    return exploded.select(*carried, *metadata, "search_error", "_entry.*")
 
 
 def normalise_entries(entries: DataFrame) -> DataFrame:
