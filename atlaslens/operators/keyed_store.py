@@ -107,6 +107,30 @@ class KeyedStore:
         system.delete(folder, True)
         return version
 
+    def add(self, rows: DataFrame, fold: Callable[[DataFrame], DataFrame], source: str | None = None, number: int = 0) -> int:
+        """Add what a batch knows about its keys, to be folded when read (``folded``).
+
+        ``fold`` takes any number of rows per key to one and does not mind their
+        order or grouping, such as a maximum, a sum or the latest write. A batch
+        only adds folders; a bucket with more than ``MOST_FOLDERS`` of them is
+        folded to one, so what is read stays in proportion to the keys. Keys may
+        be null here.
+        """
+        before = self.version()
+        manifest = self.manifest(before)
+        if source is not None and number <= manifest["batches"].get(source, -1):
+            return before
+        own = fold(rows)
+        kept = {bucket: manifest["folders"].get(bucket, []) + writes for bucket, writes in self._write(own).items()}
+        manifest = manifest | {"schema": manifest["schema"] or own.schema.jsonValue()}
+        crowded = [bucket for bucket, writes in kept.items() if len(writes) > MOST_FOLDERS]
+        if crowded:
+            kept |= self._write(fold(self._rows({**manifest, "folders": kept}, crowded)))
+        return self._commit(before, manifest, kept, source, number)
+
+    def folded(self, fold: Callable[[DataFrame], DataFrame], version: int | None = None) -> DataFrame:
+        return fold(self.read(version))
+
     def update(self, updates: DataFrame, change: Callable[[DataFrame, DataFrame], DataFrame], source: str | None = None, number: int = 0) -> int:
         """Rewrite the buckets of the updates' keys as ``change(stored rows, updates)`` has them.
 

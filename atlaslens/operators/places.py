@@ -32,6 +32,16 @@ def with_coordinates(df: DataFrame) -> DataFrame:
     return geo.with_location_cells(flat, F.col("coords.lat"), F.col("coords.lng"))
 
 
+def with_searched_cells(df: DataFrame) -> DataFrame:
+    """The fine cell a response was asked for (``searched_cell``, if there) and its coarse one."""
+    if "searched_cell" not in df.columns:
+        return df
+    cell = F.col("searched_cell")
+    return df.withColumns({
+        "search_cell_fine": cell, "search_cell_coarse": geo.parent_cell(cell, geo.FINE_LEVEL, geo.COARSE_LEVEL),
+    }).drop("searched_cell")
+
+
 def with_defaults(df: DataFrame) -> DataFrame:
     """Priority and flag defaults; given values stay."""
     given = {name: F.col(name) if name in df.columns else F.lit(None) for name in ("priority", "unserpable")}
@@ -61,7 +71,8 @@ def allowed_columns(df: DataFrame) -> DataFrame:
 
 def normalise_places(results: DataFrame, query: Column, as_of: Column) -> DataFrame:
     """Place results as storable place rows, in one projection."""
-    rows = with_provenance(with_defaults(with_coordinates(with_place_types(results))), query, as_of)
+    located = with_searched_cells(with_coordinates(with_place_types(results)))
+    rows = with_provenance(with_defaults(located), query, as_of)
     return allowed_columns(rows)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from atlaslens import config, schemas
 from atlaslens.functions.affinity import affinity
+from atlaslens.operators import spans
 from atlaslens.operators.dedupe import absent_from
 
 
@@ -55,6 +56,13 @@ def as_message(keys: Sequence[str] = schemas.SCRAPE_REQUEST_KEYS) -> Column:
     return F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
 
 
+def id_requests(places: DataFrame) -> DataFrame:
+    """Places that need an identifier as request messages (column ``value``); coordinates go as [latitude, longitude]."""
+    wanted = places.where(needs_identifier(F.col("data_id"), F.col("unserpable")))
+    shaped = wanted.withColumn("coords", F.when(F.col("coords").isNotNull(), F.array("coords.lat", "coords.lng")))
+    return shaped.select(as_message(schemas.ID_REQUEST_KEYS).alias("value"))
+
+
 def even_slots(keys: DataFrame, key: str, hours: float = 24.0, seed: int = 10, digits: int = 4) -> DataFrame:
     """Spread distinct keys evenly over the day in a seeded, repeatable random order.
 
@@ -98,3 +106,25 @@ def best_slots(slots: DataFrame, group: Sequence[str], hour: Column, as_of_s: Co
 def slot_report(slots: DataFrame) -> DataFrame:
     """All slots, the most recently used first."""
     return slots.orderBy(F.desc("last_used"), "name", "slot")
+
+
+def ranked(df: DataFrame, folder: str, *order: Column, rank: str = "rank") -> DataFrame:
+    """Add each row's place, from 1, in a total order of the whole table.
+
+    Rows are dealt to tasks by ranges of the order and written below ``folder``; a row's
+    rank is its place in its range and the sizes of the ranges before. A window holds
+    one range, or one number per range, never the table.
+    """
+    path = f"{folder}/ranges"
+    df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+    sizes = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    before = F.sum("_size").over(Window.partitionBy(F.lit(1)).orderBy("_range")) - F.col("_size")
+    offsets = sizes.select("_range", before.alias("_before"))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return rows.withColumn("_within", within).join(offsets, "_range").withColumn(rank, F.col("_before") + F.col("_within")).drop("_range", "_within", "_before")
+
+
+def expiry_report(live: DataFrame, suffix: str) -> DataFrame:
+    """The keys with a suffix that are still set (``spans.live_keys``): name, without the suffix, and remaining_s."""
+    return spans.keys_with_suffix(live, suffix).select("name", "remaining_s")

@@ -26,6 +26,18 @@ def live_keys(state: DataFrame, as_of: Column, key: str = "key", set_at: str = "
     )
 
 
+def latest_writes(state: DataFrame, *value: str, key: str = "key", set_at: str = "set_at", ttl_s: str = "ttl_s") -> DataFrame:
+    """The latest set or delete of each key, with its value columns: what ``live_keys`` needs, folded before the shuffle.
+
+    The fold may be repeated on its own results in any grouping. Of writes at the
+    same time a set counts before a delete, then the longer ttl, then the greater
+    value.
+    """
+    found = F.struct(set_at, ttl_s, *value)
+    order = F.struct(F.col(set_at), F.col(ttl_s).isNotNull(), F.col(ttl_s), *value)
+    return state.groupBy(key).agg(F.max_by(found, order).alias("_last")).select(key, "_last.*")
+
+
 def keys_with_prefix(state: DataFrame, prefix: str, key: str = "key", name: str = "name") -> DataFrame:
     """Rows whose key begins with the prefix, with the rest of the key as a column."""
     return state.where(F.startswith(F.col(key), F.lit(prefix))).withColumn(
@@ -62,7 +74,7 @@ def spans_of_slices(slices: DataFrame, keys: list[str], at_us: str, ttl_s: int,
     time range and not by the rows.
     """
     width = ttl_s * 1_000_000
-    merged = slices.groupBy(*keys, "_slice").agg(F.min("_first").alias("_first"), F.max("_end").alias("_end"), F.sum("_n").alias("_n"))
+    merged = merge_slices(slices, keys)
     in_time = Window.partitionBy(*keys).orderBy("_slice")
     starts = F.coalesce(F.col("_first") - F.lag(f"_end.{at_us}").over(in_time) >= width, F.lit(True))
     return (
@@ -74,6 +86,11 @@ def spans_of_slices(slices: DataFrame, keys: list[str], at_us: str, ttl_s: int,
     )
 
 
+def merge_slices(slices: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key and slice from those of several batches."""
+    return slices.groupBy(*keys, "_slice").agg(F.min("_first").alias("_first"), F.max("_end").alias("_end"), F.sum("_n").alias("_n"))
+
+
 def alive_spans(df: DataFrame, key: str, at_us: str, ttl_s: int) -> DataFrame:
     """Spans in which a key stayed set, when every row sets it for ``ttl_s`` seconds.
 

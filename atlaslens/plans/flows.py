@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from atlaslens import config
+from atlaslens.functions import geo
 from atlaslens.operators import paging, places as pl, resolve, reviews as rv, search, stores
+from atlaslens.operators.keyed_store import KeyedStore
 from atlaslens.sources import responses as rs
 
 PAGE = [*paging.PAGE_KEY, "page_number"]
@@ -69,6 +71,67 @@ def refresh_reviews(pages: DataFrame, requests: DataFrame, parsers: DataFrame, a
     )
 
 
+class RunLedger:
+    """What the runs of the refresh job know of each other: a row per request and the pages and reviews stored so far.
+
+    The three tables lie side by side below ``root``. A run first stores its pages and reviews,
+    each once however often a page is done again, and then moves its requests on, so a run that
+    fails between is repeated without loss.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
+        self.requests = KeyedStore(spark, f"{root}/requests", paging.PAGE_KEY, buckets)
+        self.pages = KeyedStore(spark, f"{root}/pages", PAGE, buckets)
+        self.reviews = KeyedStore(spark, f"{root}/reviews", [*PAGE, "position"], buckets)
+
+    def state(self) -> DataFrame | None:
+        """The last known row of each request; None before the first run."""
+        return self.requests.folded(latest_run) if self.requests.version() else None
+
+
+def latest_run(rows: DataFrame) -> DataFrame:
+    """Of each request, where its last run ended, and the last page that any run stored."""
+    point = F.max_by(F.struct("page_number", "next_page_token", "set_at"), F.when(F.col("page_number").isNotNull(), F.struct("run", "page_number")))
+    last = F.max_by(F.struct("run", "status", "last_page"), F.struct("run"))
+    return rows.groupBy(*paging.PAGE_KEY).agg(last.alias("_last"), point.alias("_point")).select(*paging.PAGE_KEY, "_last.*", "_point.*")
+
+
+def resume_reviews(pages: DataFrame, requests: DataFrame, parsers: DataFrame, as_of: Column, folder: str, ledger: RunLedger, run: int,
+                   max_age_days: int = config.MAX_REVIEW_AGE_DAYS, max_pages: int = config.MAX_PAGES,
+                   pages_per_run: int = config.PAGES_PER_RUN, checkpoint_ttl_s: int = config.PAGE_CHECKPOINT_TTL_S) -> None:
+    """One run of the refresh job: every request that is not done goes on where its last run ended, for so many pages.
+
+    A request starts at its resume point (``paging.resume_points``), or at page 0 if its
+    checkpoint has run out at ``as_of``. Only the pages of this run are parsed. It is done at
+    a stopping page or the page limit; otherwise it waits for the next run. A run number that
+    the ledger has already is passed over. What the runs found is in the ledger's tables.
+    """
+    spark, state = pages.sparkSession, ledger.state()
+    keys = list(paging.PAGE_KEY)
+    if run <= ledger.requests.manifest()["batches"].get("run", -1):
+        return
+    if state is None:
+        open_requests = requests.withColumns({"start_page": F.lit(0), "start_token": F.lit("")})
+    else:
+        left = F.col("set_at").cast("timestamp") + F.make_dt_interval(secs=F.lit(float(checkpoint_ttl_s))) > as_of
+        points = state.where(left & F.col("page_number").isNotNull()).select(*keys, "page_number", "next_page_token", "set_at")
+        finished = state.where("status = 'done'")
+        open_requests = paging.resume_points(requests.join(finished.select(*keys), keys, "left_anti"), points.drop("next_page_token"), points.drop("set_at"))
+    open_requests.write.parquet(f"{folder}/open")
+    open_requests = spark.read.parquet(f"{folder}/open")
+    first = open_requests.select("place_id", F.col("language").alias("scrape_language"), "start_page")
+    turn = F.col("page_number").between(F.col("start_page"), F.col("start_page") + pages_per_run - 1)
+    own = pages.where(F.col("page_number") < max_pages).join(first, ["place_id", "scrape_language"]).where(turn).drop("start_page")
+    found = refresh_reviews(own, open_requests.drop("start_page", "start_token"), parsers, as_of, f"{folder}/lists", max_age_days, max_pages)
+    ledger.pages.insert(found.pages)
+    ledger.reviews.insert(found.reviews)
+    ended = found.pages.groupBy(*keys).agg(F.max_by(F.struct("page_number", "next_page_token"), "page_number").alias("_end"))
+    rows = found.requests.where(F.col("last_page").isNotNull()).join(ended, keys, "left").select(
+        *keys, F.lit(run).alias("run"), "status", "last_page", "_end.page_number", "_end.next_page_token", as_of.alias("set_at"),
+    )
+    ledger.requests.add(rows, latest_run, "run", run)
+
+
 def mark_refreshed(places: DataFrame, run: RefreshRun, language: str, day: Column) -> DataFrame:
     """Places with the day of the run as last scrape, where the run of their request is done."""
     done = run.requests.where((F.col("status") == "done") & (F.col("language") == language)).select("place_id", day.alias("day"))
@@ -139,3 +202,13 @@ def scan_area(store: DataFrame, responses: DataFrame, query: str, as_of: Column,
     results = rs.found_places(rs.place_results(responses))
     found = pl.one_per_place(results, *order)
     return stores.upsert_rows(store, pl.normalise_places(found, F.lit(query), as_of), "place_id", "all_queries")
+
+
+def responses_of_cells(cells: DataFrame, responses: DataFrame, cell: str = "cell") -> DataFrame:
+    """Responses (child_cell, body and more) to the searches that cover the given coarse cells, with the cell each was asked for.
+
+    A search was made in every fine cell of a coarse one; a response may name places
+    outside the cell it was asked for. Responses to other searches are left out.
+    """
+    asked = geo.cover(cells, cell).select("child_cell")
+    return responses.join(asked, "child_cell", "left_semi").withColumnRenamed("child_cell", "searched_cell")

@@ -9,7 +9,7 @@ from atlaslens.operators import places as pl, scheduling
 from atlaslens.plans import discovery, flows, tables
 from atlaslens.plans.parsing import escaped
 from atlaslens.plans.refresh import PLACES_SQL
-from atlaslens.plans.registry import query
+from atlaslens.plans.registry import ORACLES, query
 from atlaslens.session import work_dir
 from atlaslens.sources import responses
 from atlaslens.sources.pages import page_records
@@ -80,6 +80,27 @@ def refresh_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("refresh_rounds", ORACLES["refresh_run"])
+def refresh_rounds(spark: SparkSession, sf_dir: str, pages_per_run: int = 4, runs: int = 3) -> DataFrame:
+    """The same from several runs of a few pages each, every one going on where the last ended."""
+    pages = captured_conversations(spark, sf_dir)
+    weeks = (F.col("conv_id") % 4 + 1).cast("int") * 14
+    requests = tables.table(spark, sf_dir, "conversations").select("conv_id").distinct().select(
+        F.col("conv_id").cast("string").alias("place_id"), F.lit("en").alias("language"),
+        F.date_sub(F.to_date(F.lit("2024-01-31")), weeks).alias("last_scraped"),
+    )
+    ledger = flows.RunLedger(spark, work_dir(spark, "ledger"))
+    for run in range(runs):
+        now = F.timestamp_seconds(F.lit(1706659200 + 600 * run))
+        flows.resume_reviews(pages, requests, config.parser_table(spark), now, work_dir(spark, "round"), ledger, run, 70, pages_per_run=pages_per_run)
+    n_pages = ledger.pages.read().groupBy("place_id").agg(F.count(F.lit(1)).alias("n_pages"))
+    n_reviews = ledger.reviews.read().groupBy("place_id").agg(F.count(F.lit(1)).alias("n_reviews"))
+    zero = lambda name: F.coalesce(name, F.lit(0)).alias(name)
+    return ledger.state().join(n_pages, "place_id", "left").join(n_reviews, "place_id", "left").select(
+        "place_id", "status", "last_page", zero("n_pages"), zero("n_reviews")
+    )
+
+
 def town_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     point = tables.town_point(F.col("c_custkey"))
     return tables.places(spark, sf_dir).select(

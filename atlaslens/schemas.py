@@ -18,12 +18,15 @@ SCRAPE_REQUEST = (
     "priority int, last_scraped string"
 )
 
-# The contract of a scrape request: exactly these keys.
+# The contract of a scrape request, exactly these keys.
 SCRAPE_REQUEST_KEYS = ("place_id", "data_id", "name", "language", "country_domain", "priority", "last_scraped")
 
+# The contract of a request for an identifier: exactly these keys.
+ID_REQUEST_KEYS = ("place_id", "priority", "name", "coords", "data_id")
+
 ID_REQUEST = "place_id string, priority int, name string, coords array<double>, data_id string"
 
-# Columns that may be stored for a place.
+# Columns that may be stored for a place.
 PLACE_COLUMNS = (
     "formatted_address", "name", "place_id", "types_en", "loc_cell_coarse", "loc_cell_fine", "coords",
     "search_cell_coarse", "search_cell_fine", "search_query", "query_ds", "last_scraped", "permanent_closed",

@@ -6,8 +6,11 @@ neither loses nor repeats rows. A job takes ``max_files`` as its intake bound.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from atlaslens.operators import paging, spans
 from atlaslens.operators.keyed_store import KeyedStore
@@ -55,20 +58,80 @@ def insert_into(stream: DataFrame, store: KeyedStore, out: str, source: str, *or
     writer.start().awaitTermination()
 
 
+def fold_into(stream: DataFrame, store: KeyedStore, out: str, source: str, fold: Callable[[DataFrame], DataFrame]) -> None:
+    """Add all that has arrived to a store whose rows are folded per key, each batch exactly once (see ``insert_into``).
+
+    What is kept, and read later, is in proportion to the keys and not to the batches.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        store.add(batch, fold, source, number)
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True)
+    writer.start().awaitTermination()
+
+
 def run_slices(stream: DataFrame, out: str, keys: list[str], at_us: str, ttl_s: int, *latest: str) -> DataFrame:
     """Spans in which a key stayed set, from all files that have arrived so far, whatever their order.
 
-    Each batch folds its sets to slices (``spans.span_slices``) and writes them to a
-    folder of its own number, so a batch that is tried again replaces itself. Slices
-    merge in any order: no watermark is needed and no set is ever late.
+    Each batch folds its sets to slices (``spans.span_slices``) and adds them to a
+    store of slices below ``out``. Slices merge in any order: no watermark is needed
+    and no set is ever late. Without any file there are no spans.
     """
-    def write(batch: DataFrame, number: int) -> None:
-        spans.span_slices(batch, keys, at_us, ttl_s, *latest).write.mode("overwrite").parquet(f"{out}/data/batch={number}")
+    spark = stream.sparkSession
+    store = KeyedStore(spark, f"{out}/slices", [*keys, "_slice"], buckets=16)
+    schema = spans.span_slices(spark.createDataFrame([], stream.schema), keys, at_us, ttl_s, *latest).schema
+
+    def fold(rows: DataFrame) -> DataFrame:
+        return spans.merge_slices(rows, keys) if "_slice" in rows.columns else spans.span_slices(rows, keys, at_us, ttl_s, *latest)
+
+    fold_into(stream, store, out, "slices", fold)
+    slices = store.read() if store.version() else spark.createDataFrame([], schema)
+    return spans.spans_of_slices(slices, keys, at_us, ttl_s, *latest)
+
 
+def run_live_keys(stream: DataFrame, out: str, as_of: Column, *value: str) -> DataFrame:
+    """Keys that are still set at ``as_of``, from all sets and deletes that have arrived, in any order and with any ttl.
+
+    ``stream`` has key, set_at (microseconds), ttl_s (null for a delete) and the value
+    columns. The state below ``out`` has one row per key.
+    """
     spark = stream.sparkSession
-    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True)
+    store = KeyedStore(spark, f"{out}/keys", ["key"], buckets=16)
+    fold = lambda rows: spans.latest_writes(rows, *value)
+    fold_into(stream, store, out, "keys", fold)
+    state = store.folded(fold) if store.version() else spark.createDataFrame([], stream.select("key", "set_at", "ttl_s", *value).schema)
+    return spans.live_keys(state, as_of).join(state.select("key", *value), "key")
+
+
+class PageRefused(RuntimeError):
+    """A site refused a page; all pages of its batch are in their folders."""
+
+
+def route_pages(routed: DataFrame, out: str) -> DataFrame:
+    """Write pages (see ``routed_pages``) to a folder per route, then fail if one asks for an abort.
+
+    One batch function serves the three folders. It raises only after all rows of its
+    batch are written. When the job is started again the batch is delivered once more,
+    found complete and passed over, so it neither repeats rows nor fails again.
+    """
+    spark = routed.sparkSession
+
+    def write(batch: DataFrame, number: int) -> None:
+        path = f"{out}/data/batch={number}"
+        done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        if done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+            return
+        batch.write.mode("overwrite").partitionBy("route").parquet(path)
+        raise_on_abort(spark.read.schema(batch.schema).parquet(path))
+
+    writer = routed.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True)
     writer.start().awaitTermination()
-    return spans.spans_of_slices(spark.read.parquet(f"{out}/data"), keys, at_us, ttl_s, *latest)
+    return written_pages(spark, out, routed.schema)
+
+
+def written_pages(spark: SparkSession, out: str, schema: StructType) -> DataFrame:
+    """All pages that ``route_pages`` has written, also those of a run that failed after."""
+    return spark.read.schema(schema).option("basePath", f"{out}/data").parquet(f"{out}/data/batch=*").select(*schema.names)
 
 
 def checked_requests(messages: DataFrame, body: str = "body") -> DataFrame:
@@ -106,4 +169,4 @@ def routed_pages(pages: DataFrame, content: Column, n_rows: Column, **options) -
 def raise_on_abort(routed: DataFrame) -> None:
     """Stop the run after its pages were written when one of them asks for it."""
     if not routed.where("route = 'abort'").isEmpty():
-        raise RuntimeError("a page was refused by its site; see the rows with route = 'abort'")
+        raise PageRefused("a page was refused by its site; see the rows with route = 'abort'")
