@@ -401,9 +401,11 @@ class Tree:
 
 
 def tree_pairs(members: DataFrame) -> DataFrame:
-    """(a, b) of different labels that may link, from members (shingle, chunk, slot, key, n, label, coarse).
+    """(a, b) of different labels that may link, from members (shingle, chunk, slot, key, n, label, coarse, fine).
 
-    A task reads its groups in order and holds one at a time: at most two chunks.
+    What the tree brings up is bounded on the finer points in the same task, so no more
+    leaves it than pairs that are all but certain. A task reads its groups in order and
+    holds one at a time: at most two chunks.
     """
 
     def pairs(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -412,12 +414,15 @@ def tree_pairs(members: DataFrame) -> DataFrame:
         if (labels == labels[0]).all():
             return none, none
         points = np.stack([counts_of(p, GROUPS) for p in group.column("coarse").to_pylist()])
+        sizes, fine = group.column("n").to_numpy(), group.column("fine").to_pylist()
         a, b = [none], [none]
-        for x, y in Tree(points, group.column("n").to_numpy()).pairs():
+        for x, y in Tree(points, sizes).pairs():
             # Two chunks in one tree: pairs within one of them belong to that chunk's own tree.
             keep = (labels[x] != labels[y]) & ((slot[x] != slot[y]) | (slot[x] < 0))
-            a.append(np.minimum(keys[x], keys[y])[keep])
-            b.append(np.maximum(keys[x], keys[y])[keep])
+            x, y = x[keep], y[keep]
+            near = np.array([may_link(int(sizes[i]), fine[i], int(sizes[j]), fine[j]) for i, j in zip(x.tolist(), y.tolist())], dtype=bool)
+            a.append(np.minimum(keys[x], keys[y])[near])
+            b.append(np.maximum(keys[x], keys[y])[near])
         return np.concatenate(a), np.concatenate(b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -436,7 +441,7 @@ def tree_pairs(members: DataFrame) -> DataFrame:
                 both = np.unique(np.column_stack([np.concatenate(x) for x in zip(*found)]), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["a", "b"])
 
-    names = ["shingle", "chunk", "slot", "key", "n", "label", "coarse"]
+    names = ["shingle", "chunk", "slot", "key", "n", "label", "coarse", "fine"]
     dealt = members.select(*names).repartition("shingle", "chunk").sortWithinPartitions("shingle", "chunk")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
@@ -520,15 +525,14 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
         labels = stage(connected_components(links), "labels")
         groups = open_groups(groups, labels)
 
-    some = points.select("key", "n", "coarse").dropDuplicates(["key"])
-    candidates = stage(tree_pairs(chunked(one_of_each(groups).join(some, "key"))), "candidates")
-    possible = stage(bounded(candidates, points), "possible")
+    some = points.dropDuplicates(["key"])
+    possible = stage(tree_pairs(chunked(one_of_each(groups).join(some, "key"))), "possible")
     wanted = stand.join(possible.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key", "left_semi").select("doc_id")
     sets = stage(_sets_of(docs, wanted, [], "", words).select("key", "shingles"), "tree-sets")
     more = stage(verify(possible, sets).distinct(), "tree-links")
 
     reached = connected_components(links.unionByName(more))
-    release(members, groups, sets, candidates, possible, links, labels, more)
+    release(members, groups, sets, possible, links, labels, more)
     classes = stage(
         sized.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
         .join(reached, F.col("key") == F.col("node"), "left").withColumn("class", F.coalesce("component", "key")).select("key", "doc_id", "class"), "classes"
