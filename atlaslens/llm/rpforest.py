@@ -11,9 +11,10 @@ deeper forests have more trees, such that the share of links that no tree finds
 stays about the same; they run in rounds, which bounds disk and memory. It is a
 share to be expected, not a guarantee.
 
-Fitted on a sample: the splits only. Every vector is put into leaves. Leaves
-that are too large for one task are split further, again with spill, and what
-still is too large is compared in chunks, every two chunks by one task.
+Fitted on a sample: the splits only. Every vector is put into leaves. Trees are
+no deeper than the sample has medians for, so from some 6.5 million vectors on
+leaves grow with the input; leaves that are too large for one task are compared
+in chunks, every two chunks by one task.
 """
 
 from __future__ import annotations
