@@ -8,22 +8,26 @@ every block is judged in the light of the document before and after it.
 
 The network is trained here, on pages that a small generator lays out with
 known main text, and on a bounded sample of the given pages in which elements
-that say what they are (article, nav, footer) give the labels.
+that say what they are (article, nav, footer) give the labels. Any page may be in
+the sample, whatever its length; of a long one a bounded run of blocks is learnt.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 from random import Random
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from atlaslens.functions.html import ATTRIBUTE, RAW, VOID, Tags
-from atlaslens.llm.texthash import mix
+from atlaslens.llm.common import text_blocks
+from atlaslens.llm.texthash import Runs, words
 
 # Elements that end a block where they begin and end, and elements whose text no reader sees.
 BLOCK = frozenset((
@@ -35,10 +39,12 @@ UNSEEN = frozenset("script style noscript template textarea title svg math ifram
 #: An opening tag of these closes an open one of the same name, as browsers do.
 SELF_CLOSING = frozenset("p li dt dd option tr td th".split())
 
-PATH_TERMS, WORD_TERMS, SIZES = 160, 48, 6
+# So many path terms that few names share one.
+PATH_TERMS, WORD_TERMS, SIZES = 320, 48, 6
 WIDTH = PATH_TERMS + WORD_TERMS + SIZES
 HIDDEN = 16
 SAMPLE_PAGES = 200  # given pages to learn from, at most
+SAMPLE_BLOCKS = 256  # neighbouring blocks of one of them, at most
 MADE_PAGES = 600  # laid out by the generator
 EPOCHS, BATCH, RATE, SEED = 18, 25, 0.02, 7
 #: Longer sequences are read in windows of so many blocks, each beginning with the state the one before ended with.
@@ -67,12 +73,13 @@ def _marks(name: str, raw: str) -> list[str]:
 def blocks(source: str) -> list[Block]:
     """Leaf blocks in page order, without empty ones. White space in a block is one space."""
     out: list[Block] = []
-    open_names: list[str] = []
+    open_names: list[str] = []  # "" where an inline element ended before a block element inside it
     open_marks: list[list[str]] = []
+    places: dict[str, list[int]] = {}  # where the open elements of a name are among them
+    open_blocks: list[int] = []  # where block elements are
     # Running counts over all open elements, so that a block costs no more however deep it lies.
     around: dict[int, int] = {}
     telling: dict[str, int] = {}
-    counts: dict[str, int] = {}
     texts: list[str] = []
     linked = 0
     unseen = 0
@@ -101,13 +108,23 @@ def blocks(source: str) -> list[Block]:
 
     def close(name: str) -> None:
         nonlocal unseen
-        while counts.get(name):
+        if not places.get(name):
+            return
+        at = places[name][-1]
+        if name not in BLOCK and name not in UNSEEN and open_blocks and open_blocks[-1] > at:
+            # The end of an inline element leaves block elements inside it open.
+            places[name].pop()
+            note(open_marks[at], -1)
+            open_names[at], open_marks[at] = "", []
+            return
+        while len(open_names) > at:
             last = open_names.pop()
             note(open_marks.pop(), -1)
-            counts[last] -= 1
-            unseen -= last in UNSEEN
-            if last == name:
-                break
+            if last:
+                places[last].pop()
+                unseen -= last in UNSEEN
+        while open_blocks and open_blocks[-1] >= at:
+            open_blocks.pop()
 
     def say(text: str) -> None:
         nonlocal linked
@@ -115,7 +132,7 @@ def blocks(source: str) -> list[Block]:
             return
         text = html.unescape(text) if "&" in text else text
         texts.append(text)
-        if counts.get("a"):
+        if places.get("a"):
             linked += len(text)
 
     tags, at = Tags(source), 0
@@ -136,10 +153,12 @@ def blocks(source: str) -> list[Block]:
             close(name)
         if name in VOID or raw.endswith("/"):
             continue
+        places.setdefault(name, []).append(len(open_names))
+        if name in BLOCK:
+            open_blocks.append(len(open_names))
         open_names.append(name)
         open_marks.append(_marks(name, raw))
         note(open_marks[-1], 1)
-        counts[name] = counts.get(name, 0) + 1
         unseen += name in UNSEEN
         if name in RAW or name in ("textarea", "title"):
             # No markup until the end tag.
@@ -156,31 +175,47 @@ _hashes: dict[tuple[str, int], int] = {}
 
 
 def _bucket(word: str, buckets: int) -> int:
+    """Of all bytes of a name."""
     found = _hashes.get((word, buckets))
     if found is None:
-        value = 1469598103934665603
-        for byte in word.encode("utf-8", "replace")[:64]:
-            value = ((value ^ byte) * 1099511628211) & 0xFFFFFFFFFFFFFFFF
-        found = int(mix(np.array([value], dtype=np.uint64))[0] % np.uint64(buckets))
-        if len(_hashes) >= 200_000:
-            _hashes.clear()
-        _hashes[word, buckets] = found
+        found = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "replace"), digest_size=8).digest(), "little") % buckets
+        if len(word) <= 64:  # remembered, as most come again and again
+            if len(_hashes) >= 200_000:
+                _hashes.clear()
+            _hashes[word, buckets] = found
     return found
 
 
+_ENDS = np.zeros(256, bool)
+_ENDS[list(b".!?:;,")] = True
+_STOPS = np.zeros(256, bool)
+_STOPS[list(b".!?")] = True
+
+
+def features_of(pages: list[list[Block]]) -> list[np.ndarray]:
+    """The vectors of the blocks of each page, one array a page; words of many blocks are hashed at once."""
+    every = [block for page in pages for block in page]
+    x = np.zeros((len(every), WIDTH), dtype=np.float32)
+    deep = np.fromiter((len(block.path) for block in every), np.int64, len(every))
+    x[np.repeat(np.arange(len(every)), deep), np.fromiter(chain.from_iterable(block.path for block in every), np.int64, int(deep.sum()))] = 1.0
+    for first, data, at in text_blocks(pa.array([block.text.lower() for block in every], pa.large_string())):
+        found, n = words(data, at), len(at) - 1
+        rows = x[first : first + n]
+        bucket = (Runs(data).hash(found.starts, found.ends) % np.uint64(WORD_TERMS)).astype(np.int64)
+        said = np.bincount(found.doc * WORD_TERMS + bucket, minlength=n * WORD_TERMS).reshape(n, WORD_TERMS)
+        rows[:, PATH_TERMS : PATH_TERMS + WORD_TERMS] = 0.07 * np.log1p(said)  # long blocks stay in range
+        ends = np.bincount(found.doc, _ENDS[data[found.ends - 1]], n)
+        rows[:, -5] = np.log1p(found.count) / 5
+        rows[:, -3] = ends / np.maximum(found.count, 1)
+        rows[:, -2] = _STOPS[data[at[1:] - 1]]  # no block is empty
+    x[:, -6] = np.log1p(np.fromiter((len(block.text) for block in every), np.int64, len(every))) / 6
+    x[:, -4] = np.fromiter((block.linked for block in every), np.float32, len(every))
+    x[:, -1] = 1.0
+    return np.split(x, np.cumsum([len(page) for page in pages])[:-1]) if pages else []
+
+
 def features(page: list[Block]) -> np.ndarray:
-    x = np.zeros((len(page), WIDTH), dtype=np.float32)
-    for k, block in enumerate(page):
-        x[k, block.path] = 1.0
-        words = block.text.split()
-        said = np.bincount([_bucket(word, WORD_TERMS) for word in block.text.lower().split()], minlength=WORD_TERMS)
-        x[k, PATH_TERMS : PATH_TERMS + WORD_TERMS] = 0.07 * np.log1p(said)  # long blocks stay in range
-        ends = sum(w[-1] in ".!?:;," for w in words)
-        x[k, -SIZES:] = (
-            np.log1p(len(block.text)) / 6, np.log1p(len(words)) / 5, block.linked, ends / max(len(words), 1),
-            float(block.text[-1] in ".!?"), 1.0,
-        )
-    return x
+    return features_of([page])[0]
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -354,7 +389,7 @@ def _prose(random: Random, low: int, high: int) -> str:
     words[0] = words[0].capitalize()
     if random.random() < 0.1:  # poor texts are main text too
         words = [w.upper() + "!!" for w in words] if random.random() < 0.4 else [w + random.choice(["###", "%%%", "$$$", "&amp;", " |"]) for w in words]
-    return " ".join(w + (random.choice([",", ".", "."]) if random.random() < 0.12 else "") for w in words) + "."
+    return " ".join(w + (random.choice([",", ".", "."]) if random.random() < 0.12 else "") for w in words) + random.choice([".", ".", "!", "", ""])
 
 
 def _utility(random: Random) -> str:
@@ -407,7 +442,7 @@ def made_page(random: Random) -> tuple[str, str]:
         name = str(random.choice(["h1", "h2", "header"]))
         body += f"<{name}>{add(_prose(random, 2, 10))}</{name}>" if name != "header" else f"<h1>{add(_prose(random, 2, 10))}</h1>"
     for _ in range(int(random.randrange(0 if len(main) else 1, 10))):
-        shape, text = random.random(), _prose(random, 1, 90)
+        shape, text = random.random(), _prose(random, 1, random.choice([12, 90]))
         if shape < 0.6:
             body += _tag(random, "p")[0] + add(text) + random.choice(["</p>", ""])
         elif shape < 0.7:
@@ -453,8 +488,26 @@ def plain_labels(page: list[Block]) -> np.ndarray | None:
     return np.array(inside, np.float32) if any(inside) else None
 
 
+def _given(sources: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Vectors and labels of the sampled pages that say what is what: of a long page a run of blocks, placed by its hash."""
+    for batch in sources:
+        for order, source in zip(batch.column("o").to_pylist(), batch.column("html").to_pylist()):
+            page = blocks(source or "")
+            labels = plain_labels(page)
+            if labels is None:
+                continue
+            low = order % max(1, len(page) - SAMPLE_BLOCKS + 1)
+            x = features(page[low : low + SAMPLE_BLOCKS])
+            yield pa.RecordBatch.from_arrays([
+                pa.array([order], pa.int64()), pa.array([x.tobytes()], pa.binary()), pa.array([labels[low : low + SAMPLE_BLOCKS].tobytes()], pa.binary()),
+            ], names=["o", "x", "y"])
+
+
 def train(pages: DataFrame, sample: int = SAMPLE_PAGES, made: int = MADE_PAGES) -> Labeller:
-    """On ``made`` generated pages and at most ``sample`` different given ones, chosen by a hash of the page."""
+    """On ``made`` generated pages and at most ``sample`` different given ones, chosen by a hash of the page.
+
+    Every given page may be chosen; ``SAMPLE_BLOCKS`` bounds what one of them weighs and what comes to the driver.
+    """
     random = Random(SEED)
     examples = []
     for _ in range(made):
@@ -463,16 +516,12 @@ def train(pages: DataFrame, sample: int = SAMPLE_PAGES, made: int = MADE_PAGES)
         if page:
             examples.append((features(page), _labels(page, main)))
     order = F.xxhash64(F.coalesce("url", F.lit("")), F.coalesce("html", F.lit("")))
-    # A very long page would weigh more than the rest of the sample.
-    hashed = pages.where(F.length("html") < 20_000).select("html", order.alias("o"))
+    hashed = pages.select("html", order.alias("o"))
     n = hashed.select("o").distinct().count()
-    # So many of the hash values that twice the sample is to be expected; only these pages come to the driver.
+    # So many of the hash values that twice the sample is to be expected; only these pages are read for it.
     some = hashed.where(F.pmod("o", F.lit(1 << 30)) < int((1 << 30) * min(1.0, 2 * sample / max(n, 1)))).dropDuplicates(["o"])
-    for row in sorted(some.collect(), key=lambda r: r["o"])[:sample]:
-        page = blocks(row["html"])
-        labels = plain_labels(page)
-        if labels is not None:
-            examples.append((features(page), labels))
+    for row in some.mapInArrow(_given, "o long, x binary, y binary").orderBy("o").limit(sample).collect():
+        examples.append((np.frombuffer(row["x"], np.float32).reshape(-1, WIDTH), np.frombuffer(row["y"], np.float32)))
     model = Labeller()
     model.train(examples)
     return model
@@ -480,7 +529,7 @@ def train(pages: DataFrame, sample: int = SAMPLE_PAGES, made: int = MADE_PAGES)
 
 def main_texts(sources: list[str], model: Labeller, least: float = 0.5) -> list[str]:
     pages = [blocks(source) for source in sources]
-    chosen = model.probabilities_of([features(page) for page in pages])
+    chosen = model.probabilities_of(features_of(pages))
     return [" ".join(block.text for block, p in zip(page, own) if p >= least) for page, own in zip(pages, chosen)]
 
 
