@@ -5,6 +5,13 @@ vectors close to a split go both ways (spill). Vectors of one leaf are compared
 exactly, in double precision, and what the trees find is united. Equal vectors
 are one class from the start.
 
+A pair is counted by the first leaf that holds both (by tree, then by number) and
+passed over by all others, so the numbers of links are sums and no list of pairs
+exists anywhere: a comparison gives the links of each vector and so many links as
+hold its vectors together, one fewer than there are. Leaves are worked out again
+where vectors are compared. They come out the same, as directions and vectors are
+whole numbers there, whose products are exact in any order.
+
 The deeper a tree, the more of its splits can part two near vectors, most of all
 in a large group of loose near copies, which medians cut again and again. So
 deeper forests have more trees, such that the share of links that no tree finds
@@ -25,6 +32,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from atlaslens.llm.common import stage
@@ -37,11 +45,14 @@ TREES = 10  # at least, and of one round
 STAYS, MISS = 0.88, 0.01
 # A vector of length 1 goes both ways at a split this near, in units of how far projections spread (1 / sqrt(width)).
 SPILL = 0.16
-SAMPLE = 20_000  # the splits are fitted on about so many vectors, chosen by a hash
+SAMPLE = 20_000  # the splits are fitted on about so many vectors, chosen by a hash,
+SAMPLE_BYTES = 64 << 20  # and on fewer wide ones, so that they stay within this
 LEAF = 400  # vectors of a leaf that a tree aims at
 CHUNK = 2_048  # vectors of one side of a comparison in one task
 MAX_DEPTH = 24
 SEED = 97
+# Components of vectors and directions as whole numbers; a product of two stays below 2**53.
+VECTOR_STEPS, DIRECTION_STEPS = float(1 << 26), float(1 << 24)
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -51,19 +62,25 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 
+def whole(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length 1 in whole steps."""
+    return np.rint(vectors * VECTOR_STEPS)
+
+
 @dataclass
 class Tree:
     """One direction per level, one threshold per node; node k has the children 2k + 1 and 2k + 2."""
 
-    directions: np.ndarray
+    directions: np.ndarray  # in whole steps
     thresholds: np.ndarray
 
     def leaves(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, leaf) of every vector and each of its leaves."""
+        """(row, leaf) of every vector and each of its leaves, the same whatever other vectors there are."""
         rows, nodes = np.arange(len(vectors)), np.zeros(len(vectors), np.int64)
         near = SPILL / np.sqrt(vectors.shape[1])
-        for direction in self.directions:
-            away = (vectors @ direction)[rows] - self.thresholds[nodes]
+        along = whole(vectors) @ self.directions.T / (VECTOR_STEPS * DIRECTION_STEPS)
+        for level in range(len(self.directions)):
+            away = along[rows, level] - self.thresholds[nodes]
             left, right = away < near, away >= -near
             rows, nodes = (
                 np.concatenate((rows[left], rows[right])), np.concatenate((2 * nodes[left] + 1, 2 * nodes[right] + 2))
@@ -82,11 +99,11 @@ def fit(sample: np.ndarray, total: int, trees: int | None = None, leaf: int = LE
     depth = min(depth, MAX_DEPTH, int(np.log2(max(len(sample), 1))))
     forest = []
     for _ in range(trees or trees_of(depth)):
-        directions = unit(random.normal(size=(max(depth, 1), sample.shape[1])))[:depth]
+        directions = np.rint(unit(random.normal(size=(max(depth, 1), sample.shape[1]))) * DIRECTION_STEPS)[:depth]
         thresholds = np.zeros(2 ** depth - 1)
         nodes = np.zeros(len(sample), np.int64)
         for level, direction in enumerate(directions):
-            along = sample @ direction
+            along = whole(sample) @ direction / (VECTOR_STEPS * DIRECTION_STEPS)
             for node in range(2 ** level - 1, 2 ** (level + 1) - 1):
                 inside = along[nodes == node]
                 if len(inside):
@@ -129,23 +146,24 @@ def classes(vectors: DataFrame) -> DataFrame:
     return vectors.select("vec_id", "embedding").mapInArrow(run, "vec_id long, width int, vector binary").withColumn("key", F.xxhash64("vector"))
 
 
-def leaf_rows(points: DataFrame, forest: list[Tree], width: int, kind: str) -> DataFrame:
-    """(tree, leaf, key, vector) for every leaf of every point."""
-    shared = points.sparkSession.sparkContext.broadcast(forest)
+def leaf_rows(points: DataFrame, forest: Broadcast, trees: range, width: int, kind: str) -> DataFrame:
+    """(tree, leaf, key, copies, vector) for every leaf that every point has in some trees of the forest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
             matrix = _matrix(batch.column("vector").to_pylist(), kind)
-            for number, tree in enumerate(shared.value):
-                rows, leaves = tree.leaves(matrix)
+            for number in trees:
+                rows, leaves = forest.value[number].leaves(matrix)
                 take = pa.array(rows)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(rows), number, np.int32)), pa.array(leaves), batch.column("key").take(take), batch.column("vector").take(take),
-                ], names=["tree", "leaf", "key", "vector"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(rows), number, np.int32)), pa.array(leaves), *(batch.column(k).take(take) for k in range(3))],
+                    names=["tree", "leaf", "key", "copies", "vector"],
+                )
 
-    return points.where(F.col("width") == width).select("key", "vector").mapInArrow(run, "tree int, leaf long, key long, vector binary")
+    schema = "tree int, leaf long, key long, copies long, vector binary"
+    return points.where(F.col("width") == width).select("key", "copies", "vector").mapInArrow(run, schema)
 
 
 def dealt(rows: DataFrame) -> DataFrame:
@@ -159,27 +177,80 @@ def dealt(rows: DataFrame) -> DataFrame:
     return rows.join(sizes, ["tree", "leaf"]).withColumn("own", own).withColumn("at", F.explode(each)).select(*rows.columns, "at.chunk", "at.slot")
 
 
-def compare(rows: DataFrame, least: float, kind: str) -> DataFrame:
-    """(a, b) with a cosine of at least ``least`` among the rows of each tree, leaf and chunk."""
+def met_before(vectors: np.ndarray, forest: list[Tree], tree: int, leaf: int) -> np.ndarray:
+    """Which two of the vectors share a leaf of an earlier tree, or one of this tree with a smaller number."""
+    met = np.zeros((len(vectors), len(vectors)), bool)
+    for number in range(tree + 1):
+        rows, leaves = forest[number].leaves(vectors)
+        if number == tree:
+            rows, leaves = rows[leaves < leaf], leaves[leaves < leaf]
+        order = np.argsort(leaves, kind="stable")
+        rows, leaves = rows[order], leaves[order]
+        starts = np.flatnonzero(np.r_[True, leaves[1:] != leaves[:-1]]) if len(leaves) else leaves
+        ends = np.r_[starts[1:], len(leaves)]
+        for low, high in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):
+            inside = rows[low:high]
+            met[inside[:, None], inside] = True
+    return met
+
+
+def spanning(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (two arrays of rows) that hold together what a symmetric matrix of links does, at most one a row."""
+    left = near.any(axis=1)
+    froms, tos = [], []
+    while left.any():
+        first = int(np.argmax(left))
+        left[first], waiting = False, [first]
+        while waiting:
+            row = waiting.pop()
+            new = np.flatnonzero(near[row] & left)
+            left[new] = False
+            froms.append(np.full(len(new), row))
+            tos.append(new)
+            waiting += new.tolist()
+    none = np.empty(0, np.int64)
+    return np.concatenate([none, *froms]), np.concatenate([none, *tos])
+
+
+def compare(rows: DataFrame, forest: Broadcast, least: float, kind: str) -> DataFrame:
+    """What each tree, leaf and chunk finds first: (a, b, others).
+
+    Rows with a null b say how many other vectors key a links with, copies
+    counted; those with b are links that hold together all pairs found.
+    """
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        matrix = _matrix(group["vector"].tolist(), kind)
-        keys, slot = group["key"].to_numpy(), group["slot"].to_numpy()
+        keys, copies, slot = (group[name].to_numpy() for name in ("key", "copies", "slot"))
         sides = [np.flatnonzero(slot == s) for s in np.unique(slot)]
-        if len(sides) == 1 and slot[0] >= 0:
-            return pd.DataFrame({"a": keys[:0], "b": keys[:0]})
+        none = pd.DataFrame({"a": keys[:0], "b": pd.array([], "Int64"), "others": keys[:0]})
+        if len(keys) < 2 or len(sides) == 1 and slot[0] >= 0:
+            return none
+        matrix = _matrix(group["vector"].tolist(), kind)
+        near = np.zeros((len(keys), len(keys)), bool)
         left, right = sides[0], sides[-1]
-        found = []
         for low in range(0, len(left), 512):
             some = left[low : low + 512]
-            x, y = np.nonzero(matrix[some] @ matrix[right].T >= least)
-            found.append(np.column_stack((keys[some[x]], keys[right[y]])))
-        pairs = np.concatenate(found)
-        pairs.sort(axis=1)
-        pairs = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    return rows.groupBy("tree", "leaf", "chunk").applyInPandas(run, "a long, b long")
+            near[some[:, None], right] = matrix[some] @ matrix[right].T >= least
+        near |= near.T
+        np.fill_diagonal(near, False)
+        linked = np.flatnonzero(near.any(axis=1))
+        if not len(linked):
+            return none
+        tree, leaf = int(group["tree"].iat[0]), int(group["leaf"].iat[0])
+        near = near[linked[:, None], linked] & ~met_before(matrix[linked], forest.value, tree, leaf)
+        keys, copies = keys[linked], copies[linked]
+        others = np.zeros(len(keys), np.int64)
+        for low in range(0, len(keys), 512):
+            others[low : low + 512] = np.where(near[low : low + 512], copies, 0).sum(axis=1)
+        one, two = spanning(near)
+        counted = np.flatnonzero(others)
+        return pd.DataFrame({
+            "a": np.concatenate((keys[counted], keys[one])),
+            "b": pd.array([None] * len(counted) + keys[two].tolist(), "Int64"),
+            "others": np.concatenate((others[counted], np.zeros(len(one), np.int64))),
+        })
+
+    return rows.groupBy("tree", "leaf", "chunk").applyInPandas(run, "a long, b long, others long")
 
 
 def near_duplicates(vectors: DataFrame, least: float = COSINE, trees: int | None = None) -> DataFrame:
@@ -195,25 +266,29 @@ def near_duplicates(vectors: DataFrame, least: float = COSINE, trees: int | None
         F.count("*").alias("copies"), F.min("vec_id").alias("smallest"), F.first("width").alias("width"), F.first("vector").alias("vector")
     )
     points = stage(grouped, "points")
-    links = None
+    found = None
     widths = [(r["width"], r["n"]) for r in points.groupBy("width").agg(F.count("*").alias("n")).orderBy("width").collect()]
     for width, n in widths:
-        share = F.pmod(F.xxhash64("key", F.lit(SEED)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE / n))
+        wanted = min(SAMPLE, SAMPLE_BYTES // (8 * width))
+        share = F.pmod(F.xxhash64("key", F.lit(SEED)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, wanted / n))
         some = points.where((F.col("width") == width) & share).select("key", "vector").orderBy("key")
         sample = _matrix([bytes(r["vector"]) for r in some.collect()], kind)
-        forest = fit(sample, n, trees)
+        if not len(sample):  # a hash may choose none of a few very wide vectors
+            sample = np.zeros((1, width))
+        forest = fit(sample, n, trees, LEAF)
+        shared = vectors.sparkSession.sparkContext.broadcast(forest)
         for first in range(0, len(forest), TREES):
-            found = compare(dealt(leaf_rows(points, forest[first : first + TREES], width, kind)), least, kind)
+            some_trees = range(first, min(first + TREES, len(forest)))
+            new = compare(dealt(leaf_rows(points, shared, some_trees, width, kind)), shared, least, kind)
             if len(forest) > TREES:  # the rows of a round go before the next begins
-                found = stage(found.distinct(), "vector-round")
-            links = found if links is None else links.unionByName(found)
+                new = stage(new, "vector-round")
+            found = new if found is None else found.unionByName(new)
     alone = lambda rows: rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    if links is None:
+    if found is None:
         return alone(known).withColumn("kept", F.lit(True))
-    links = stage(links.distinct(), "vector-links")
-    weights = points.select("key", "copies")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = both.join(weights, F.col("b") == F.col("key")).groupBy("a").agg(F.sum("copies").alias("others"))
+    found = stage(found, "vector-links")
+    links = found.where("b IS NOT NULL").select("a", "b")
+    degree = found.where("b IS NULL").groupBy("a").agg(F.sum("others").alias("others"))
     reached = connected_components(links)
     named = stage(
         points.select("key", "copies", "smallest").join(reached, F.col("key") == F.col("node"), "left")

@@ -565,6 +565,54 @@ def test_rounds_of_a_large_forest_are_united(spark):
     assert sum(found.values()) >= 0.99 * links.sum() and all(found[k] <= n for k, n in enumerate(links))
 
 
+def test_a_deep_forest_counts_every_pair_once(spark, monkeypatch):
+    # The whole operator, leaves aimed at 4 vectors (depth 9): a third is one loose group, besides exact and near copies.
+    monkeypatch.setattr(rpforest, "LEAF", 4)
+    rng = np.random.default_rng(11)
+    width, n = 64, 2_000
+    centre = rpforest.unit(rng.normal(size=(1, width)))
+    hot = centre + rng.normal(size=(n // 3, width)) * np.sqrt((1 / 0.905 - 1) / width)
+    rest = rng.normal(size=(n - len(hot) - 60, width))
+    vectors = np.concatenate((hot, rest, rest[:30], rest[30:60] + rng.normal(size=(30, width)) * 0.1)).astype(np.float32)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<float>").repartition(7)
+    unit = rpforest.unit(vectors.astype(float))
+    links = (unit @ unit.T >= 0.9).sum(1) - 1
+    found = {r.vec_id: r.n_links for r in rpforest.near_duplicates(df).collect()}
+    recall = sum(found.values()) / links.sum()
+    print("recall", recall, "of", links.sum() // 2, "links")
+    assert all(found[k] <= count for k, count in enumerate(links)) and recall >= 0.95
+
+
+def test_spanning_links_hold_the_same_together():
+    rng = np.random.default_rng(12)
+    near = np.triu(rng.random((200, 200)) < 0.008, 1)
+    near |= near.T
+    one, two = rpforest.spanning(near.copy())
+
+    def parts(pairs):
+        name = list(range(200))
+        for _ in range(200):
+            for a, b in pairs:
+                name[a] = name[b] = min(name[a], name[b])
+        return name
+
+    assert near[one, two].all() and len(one) == 200 - len(set(parts(np.argwhere(near).tolist())))
+    assert parts(list(zip(one.tolist(), two.tolist()))) == parts(np.argwhere(near).tolist())
+
+
+def test_leaves_do_not_depend_on_the_batch():
+    rng = np.random.default_rng(13)
+    vectors = rpforest.unit(rng.normal(size=(700, 64)))
+    for tree in rpforest.fit(vectors, 700, trees=3, leaf=2):
+        at = lambda rows, leaves: {(int(r), int(k)) for r, k in zip(rows, leaves)}
+        whole = at(*tree.leaves(vectors))
+        parts = set()
+        for low in (*range(0, 600, 13), *range(611, 700)):
+            high = min(low + 13, 611) if low < 611 else low + 1
+            parts |= {(low + r, k) for r, k in at(*tree.leaves(vectors[low:high]))}
+        assert parts == whole
+
+
 # 10 Pages.
 
 
