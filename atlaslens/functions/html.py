@@ -25,6 +25,8 @@ RAW = frozenset(("script", "style"))
 
 NAME_END = re.compile(r"[\s/>]")
 QUOTE_OR_END = re.compile("[\"'>]")
+# An ordinary tag: quotes in pairs and no other tag begun inside, so a try that fails reads no further than the next "<".
+PLAIN = re.compile(r"""<(/?)([A-Za-z][^\s/<>]*+)([^"'<>]*+(?:(?:"[^"<]*+"|'[^'<]*+')[^"'<>]*+)*+)>""")
 ATTRIBUTE = re.compile(r"""([^\s/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s]+))?""")
 
 
@@ -34,7 +36,8 @@ class Tags:
     A quote without a partner further on is an ordinary character. What cannot
     be closed is no tag but text. Whatever a search has learned about the rest
     of the page (no further quote, no way to a closing bracket from here) is
-    kept, so broken markup is not searched again from every tag start.
+    kept, so broken markup is not searched again from every tag start. Ordinary
+    tags are found by one pattern, which agrees with that search.
     """
 
     def __init__(self, source: str) -> None:
@@ -78,6 +81,9 @@ class Tags:
         """(start, end, "/" of an end tag, name, rest inside) of the next tag; the name is None for what is no element."""
         source = self.source
         while (start := source.find("<", self.at)) >= 0:
+            if plain := PLAIN.match(source, start):
+                self.at = plain.end()
+                return start, self.at, *plain.groups()
             self.at = start + 1
             first = source[start + 1 : start + 2]
             if source.startswith("<!--", start):

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from atlaslens import config
@@ -129,3 +131,18 @@ def test_scan_is_linear_on_broken_markup(unit, tail):
     while tags.next():
         pass
     assert time.perf_counter() - start < 30
+
+
+@given(st.lists(st.sampled_from(["<", "</", ">", '"', "'", "a", "b=", " ", "/", "<a ", "<i>", "<!--", "-->", "<!", "é", "\n", "x"]), max_size=40).map("".join))
+@settings(max_examples=2_000, deadline=None)
+def test_ordinary_tags_are_those_of_the_careful_search(source):
+    def every():
+        tags = html.Tags(source)
+        return list(iter(tags.next, None))
+
+    quick, pattern = every(), html.PLAIN
+    try:
+        html.PLAIN = re.compile("(?!)")
+        assert every() == quick
+    finally:
+        html.PLAIN = pattern
