@@ -59,18 +59,30 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
+def columns_of(docs: DataFrame, inside: str = "") -> dict[str, Column]:
+    """Every column by name, whatever signs the name has; ``inside`` names the struct that holds them."""
+    return {name: F.col(inside + "`" + name.replace("`", "``") + "`") for name in docs.columns}
+
+
+def as_row(docs: DataFrame) -> Column:
+    """A row as one column, so that no name of its columns meets a name of the work done around it."""
+    return F.struct(*(column.alias(name) for name, column in columns_of(docs).items()))
+
+
 def pick_rows(docs: DataFrame, picked: DataFrame, mark: Column) -> DataFrame:
     """Rows of ``docs`` whose doc_id and mark (a number worked out from the row) are picked, once each.
 
-    ``picked`` has _doc_id, _mark, _copies (how many such rows there are) and
-    what else the result is to carry. Rows without copies are joined as they
-    are; only those with copies are folded, before their texts travel far.
+    ``picked`` has doc_id, mark, copies (how many such rows there are) and what
+    else the result is to carry. Returns the row of ``docs`` as the column
+    ``row``, and copies and the rest as they are; names of ``docs`` may be any.
+    Null doc_ids are equal. Rows without copies are joined as they are; only
+    those with copies are folded, before their texts travel far.
     """
-    marked = docs.withColumn("_own_mark", mark)
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_own_mark") == F.col("_mark"))
-    single, several = picked.where("_copies = 1"), picked.where("_copies > 1")
-    folded = marked.join(several.select("_doc_id", "_mark"), same, "left_semi").dropDuplicates(["doc_id", "_own_mark"])
-    return marked.join(single, same).unionByName(folded.join(several, same)).drop("_own_mark", "_doc_id", "_mark")
+    marked = docs.select(as_row(docs).alias("row"), F.col("doc_id").alias("own_id"), mark.alias("own_mark"))
+    same = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_mark") == F.col("mark"))
+    single, several = picked.where("copies = 1"), picked.where("copies > 1")
+    folded = marked.join(several.select("doc_id", "mark"), same, "left_semi").dropDuplicates(["own_id", "own_mark"])
+    return marked.join(single, same).unionByName(folded.join(several, same)).drop("own_id", "own_mark", "doc_id", "mark")
 
 
 def n_words(text: Column) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from atlaslens.llm.common import WORD, n_words, pick_rows, stage
+from atlaslens.llm.common import WORD, columns_of, n_words, pick_rows, stage
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -96,7 +96,7 @@ def plan_mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int =
     """
     rows = docs.select(
         "doc_id", "source", source_key().alias("key"), n_words(F.col("text")).alias("size"),
-        F.xxhash64(*docs.columns).alias("fingerprint"),
+        F.xxhash64(*columns_of(docs).values()).alias("fingerprint"),
     )
     # Equal rows travel as one row with a count, so a row repeated a million times is no hot spot.
     folded = stage(rows.groupBy("doc_id", "source", "key", "size", "fingerprint").agg(F.count("*").alias("copies")), "mix-sizes")
@@ -146,15 +146,14 @@ def mixed_documents(docs: DataFrame, plan: DataFrame) -> DataFrame:
     per_copy = F.expr("sequence(0L, copies - 1)")
     laps = F.array_sort(F.flatten(F.transform(per_copy, lambda c: F.array(taken_words(c, 0), taken_words(c, 1)))))
     wanted = plan.select(
-        F.col("doc_id").alias("_doc_id"), F.col("fingerprint").alias("_mark"), F.col("copies").alias("_copies"), F.col("size").alias("_size"),
-        F.filter(laps, lambda n: n > 0).alias("_laps"),
-    ).where(F.size("_laps") > 0)
+        "doc_id", F.col("fingerprint").alias("mark"), "copies", "size", F.filter(laps, lambda n: n > 0).alias("laps")
+    ).where(F.size("laps") > 0)
     # Equal rows are one row of the plan, which says what all of them together give.
-    taken = pick_rows(docs, wanted, F.xxhash64(*docs.columns))
-    part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0)), 1, F.col("_take").cast("int")), "")
-    out = taken.withColumn("_take", F.explode("_laps")).withColumn(
-        "text", F.when(F.col("_take") == F.col("_size"), F.col("text")).otherwise(part)
-    )
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_take") == F.col("_size"), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+    taken = pick_rows(docs, wanted, F.xxhash64(*columns_of(docs).values())).withColumn("take", F.explode("laps"))
+    columns, all_of_it = columns_of(docs, "row."), F.col("take") == F.col("size")
+    part = F.array_join(F.slice(F.regexp_extract_all(columns["text"], F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0)), 1, F.col("take").cast("int")), "")
+    out = taken.withColumn("new", F.when(all_of_it, columns["text"]).otherwise(part))
+    columns["text"] = F.col("new")
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(all_of_it, columns["n_chars"]).otherwise(F.length("new").cast(docs.schema["n_chars"].dataType))
+    return out.select(*(column.alias(name) for name, column in columns.items()))

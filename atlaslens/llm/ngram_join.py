@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from atlaslens.llm import texthash as T
-from atlaslens.llm.common import WORD, pick_rows, release, stage, text_blocks
+from atlaslens.llm.common import WORD, columns_of, pick_rows, release, stage, text_blocks
 from atlaslens.llm.components import connected_components
 
 WORDS = 5
@@ -555,6 +555,7 @@ def keep_one(docs: DataFrame, words: int = WORDS) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "copies")).alias("f")
     named = rows.where("component_id IS NOT NULL").groupBy("component_id").agg(first).select("f.*")
     picked = named.unionByName(rows.where("component_id IS NULL").select(F.lit(True).alias("none"), "doc_id", "mark", "copies"))
-    picked = stage(picked.select(F.col("doc_id").alias("_doc_id"), F.col("mark").alias("_mark"), F.col("copies").alias("_copies")), "kept")
+    picked = stage(picked.select("doc_id", "mark", "copies"), "kept")
     no_words = docs.where(F.coalesce(~F.col("text").rlike(WORD), F.lit(True)))
-    return pick_rows(docs.where(F.col("text").rlike(WORD)), picked, text_mark()).select(*docs.columns).unionByName(no_words)
+    found = pick_rows(docs.where(F.col("text").rlike(WORD)), picked, text_mark())
+    return found.select(*(column.alias(name) for name, column in columns_of(docs, "row.").items())).unionByName(no_words)

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from atlaslens.llm.common import stage
+from atlaslens.llm.common import as_row, columns_of, stage
 
 KINDS = ("email", "ip", "card", "phone")
 FEATURES = (
@@ -258,7 +258,7 @@ def redact(docs: DataFrame) -> DataFrame:
     ``n_chars``, if there, is the length of the new text.
     """
     # Rows travel as one column, so that no name of theirs meets one of these.
-    found = stage(candidates(docs.select(F.struct(*docs.columns).alias("row")), "row.text"), "pii-texts")
+    found = stage(candidates(docs.select(as_row(docs).alias("row")), "row.text"), "pii-texts")
     chosen = select(found, train(found))
     text = F.col("row.text")
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
@@ -275,7 +275,7 @@ def redact(docs: DataFrame) -> DataFrame:
     changed = chosen.withColumn("cut", F.when(F.size("spans") > 0, folded)).withColumn(
         "new", F.when(F.col("cut").isNotNull(), F.concat(F.col("cut.out"), rest)).otherwise(text)
     )
-    columns = {name: F.col(f"row.`{name}`") for name in docs.columns} | {"text": F.col("new")}
+    columns = columns_of(docs, "row.") | {"text": F.col("new")}
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
         columns["n_chars"] = F.when(F.col("cut").isNotNull(), F.length("new").cast(kind)).otherwise(columns["n_chars"])

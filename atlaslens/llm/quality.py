@@ -163,7 +163,9 @@ def keep(docs: DataFrame, model: Model | None, least: float = 0.5) -> DataFrame:
         for rows, counts in count_batches(batches):
             yield rows.filter(pa.array(shared.value.score(counts) >= least)) if shared.value else rows
 
-    return docs.mapInArrow(run, docs.schema)
+    # Signs in names would be read as syntax on the way, so only the text keeps its name there.
+    plain = docs.toDF(*(name if name == "text" else f"c{k}" for k, name in enumerate(docs.columns)))
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def held_out(doc_id="doc_id"):

@@ -791,6 +791,18 @@ def test_sites_without_an_article_element(labeller):
 # The pipeline.
 
 
+def test_stages_carry_columns_of_any_name(spark, docs, sf_dir):
+    names = ("_doc_id", "_mark", "_copies", "_take", "_laps", "_size", "mark", "take", "laps", "row", "new", "own_id", "a.b", "tick`s", "spans", "cut")
+    df = docs.unionByName(docs.limit(3))
+    for number, name in enumerate(names):
+        df = df.withColumn(name, F.lit(number))
+    for stage in (corpus_pipeline.judge, corpus_pipeline.deduplicate, corpus_pipeline.redact, corpus_pipeline.mix):
+        found = stage(spark, df, sf_dir)
+        assert found.columns == df.columns
+        rows = found.collect()
+        assert rows and all(row[-len(names) :] == tuple(range(len(names))) for row in rows)
+
+
 def test_pipeline_stages(spark, docs, sf_dir, nothing):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality classifier", "n-gram jaccard join", "pii", "mixing", "best-fit packing"]
     at = docs
