@@ -14,13 +14,15 @@ many documents share do not bring these together. Pairs that the tree or a
 group's leader brings up are first bounded on a finer point, with a group for
 every few shingles, so that few sets have to be sent anywhere. Equal sets are one text from
 the start. In a group of near copies all are first compared with one of them;
-only texts that this leaves unconnected meet in the tree. That suffices for
-components, and no group is expanded into all its pairs.
+only texts that this leaves unconnected meet in the tree. There no pair leaves
+a task: what may link is told as smaller groups, each of which then gets its
+sets once, and only links that join two components come back. That suffices
+for components, and no group is expanded into all its pairs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -43,6 +45,7 @@ COMMON_FROM = 12
 COMMON_AT_MOST = 1 << 20
 # Members of one tree. Larger groups are dealt into chunks, and every two chunks share a tree.
 CHUNK = 2_048
+CHUNK_BYTES = 1 << 25  # of the sets of one chunk, where a tree has whole sets
 # Documents to look up again are broadcast up to so many (some 100 bytes each), and joined beyond.
 BROADCAST_KEYS = 200_000
 # How often the components of a group are compared by one member each before all members that are still apart meet.
@@ -334,22 +337,6 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return OF * both >= NEED * (len(a) + len(b) - both)
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b: keys) that link."""
-    one = sets.select(F.col("key").alias("a"), F.col("shingles").alias("left"))
-    other = sets.select(F.col("key").alias("b"), F.col("shingles").alias("right"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = batch.column("left"), batch.column("right")
-            good = [
-                linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in zip(left, right)
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return pairs.join(one, "a").join(other, "b").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
-
-
 class Tree:
     """R-tree over count vectors, bulk-loaded by halving along the widest coordinate."""
 
@@ -400,49 +387,149 @@ class Tree:
                 stack += [(i, c) for c in children_j]
 
 
-def tree_pairs(members: DataFrame) -> DataFrame:
-    """(a, b) of different labels that may link, from members (shingle, chunk, slot, key, n, label, coarse, fine).
-
-    What the tree brings up is bounded on the finer points in the same task, so no more
-    leaves it than pairs that are all but certain. A task reads its groups in order and
-    holds one at a time: at most two chunks.
+def _runs(batches: Iterator[pa.RecordBatch], by: tuple[str, ...]) -> Iterator[list[pa.Table]]:
+    """The runs of rows that are alike in ``by``, as many as each batch completes. One at a time is held."""
+    held = None
+    for batch in chain(batches, (None,)):
+        whole = held if batch is None else pa.Table.from_batches([*(held.to_batches() if held else []), batch])
+        if whole is None or not len(whole):
+            continue
+        new = np.ones(len(whole), dtype=bool)
+        new[1:] = np.any([np.diff(whole.column(c).to_numpy()) != 0 for c in by], axis=0)
+        starts = np.append(np.flatnonzero(new), len(whole)).tolist()
+        done = len(starts) - (1 if batch is None else 2)
+        yield [whole.slice(i, j - i) for i, j in zip(starts[:done], starts[1:])]
+        held = whole.slice(starts[-2]).combine_chunks()
+
+
+class Joined:
+    """Which rows of a group have been joined, as a forest."""
+
+    def __init__(self, parent: list[int]):
+        self.parent = parent
+
+    def root(self, i: int) -> int:
+        parent = self.parent
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    def join_where(self, x: np.ndarray, y: np.ndarray, alike: Callable[[int, int], bool]) -> Iterator[tuple[int, int]]:
+        """Joins the pairs that are ``alike`` and gives them; those that are joined by then are not looked at."""
+        for i, j in zip(x.tolist(), y.tolist()):
+            a, b = self.root(i), self.root(j)
+            if a != b and alike(i, j):
+                self.parent[max(a, b)] = min(a, b)
+                yield i, j
+
+
+def _across(slot: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Two chunks in one tree: pairs within one of them belong to that chunk's own tree."""
+    return (slot[x] != slot[y]) | (slot[x] < 0)
+
+
+def near_groups(members: DataFrame) -> DataFrame:
+    """(x, y, first, key, n, label): members that may link with members of other labels, in groups named by two hashes of their
+    keys; first is the group's smallest key.
+
+    ``members`` has shingle, chunk, slot, key, n, label, coarse and fine. What
+    a tree brings up is bounded on the finer points in the same task, and
+    whatever is left of these pairs, one by one or in a chain, is one group.
+    So a tree tells each of its members at most once, not its pairs, and all
+    pairs that may link are within some group. Groups of the same members have
+    the same name and come once. A task reads its trees in order and holds one
+    at a time: at most two chunks.
     """
+    names, by = ["x", "y", "first", "key", "n", "label"], ("shingle", "chunk")
 
-    def pairs(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        labels, slot, keys = (group.column(c).to_numpy() for c in ("label", "slot", "key"))
-        none = np.empty(0, np.int64)
+    def near(tree: pa.Table) -> Iterator[np.ndarray]:
+        labels, slot, n = (tree.column(c).to_numpy() for c in ("label", "slot", "n"))
         if (labels == labels[0]).all():
-            return none, none
-        points = np.stack([counts_of(p, GROUPS) for p in group.column("coarse").to_pylist()])
-        sizes, fine = group.column("n").to_numpy(), group.column("fine").to_pylist()
-        a, b = [none], [none]
-        for x, y in Tree(points, sizes).pairs():
-            # Two chunks in one tree: pairs within one of them belong to that chunk's own tree.
-            keep = (labels[x] != labels[y]) & ((slot[x] != slot[y]) | (slot[x] < 0))
-            x, y = x[keep], y[keep]
-            near = np.array([may_link(int(sizes[i]), fine[i], int(sizes[j]), fine[j]) for i, j in zip(x.tolist(), y.tolist())], dtype=bool)
-            a.append(np.minimum(keys[x], keys[y])[near])
-            b.append(np.maximum(keys[x], keys[y])[near])
-        return np.concatenate(a), np.concatenate(b)
+            return
+        points = np.stack([counts_of(p, GROUPS) for p in tree.column("coarse").to_pylist()])
+        sizes, fine = n.tolist(), tree.column("fine").to_pylist()
+        joined, some = Joined(list(range(len(tree)))), set()
+        for x, y in Tree(points, n).pairs():
+            keep = (labels[x] != labels[y]) & _across(slot, x, y)
+            for pair in joined.join_where(x[keep], y[keep], lambda i, j: may_link(sizes[i], fine[i], sizes[j], fine[j])):
+                some.update(pair)
+        rows = np.array(sorted(some), dtype=np.int64)
+        roots = np.array([joined.root(i) for i in rows.tolist()], dtype=np.int64)
+        for root in np.unique(roots).tolist():
+            yield rows[roots == root]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in chain(batches, (None,)):
-            whole = held if batch is None else pa.Table.from_batches([*(held.to_batches() if held else []), batch])
-            if whole is None or not len(whole):
-                continue
-            s, c = whole.column("shingle").to_numpy(), whole.column("chunk").to_numpy()
-            starts = np.flatnonzero(np.concatenate(([True], (s[1:] != s[:-1]) | (c[1:] != c[:-1]))))
-            ends = np.append(starts[1:], len(s))
-            done = len(starts) if batch is None else len(starts) - 1
-            found = [pairs(whole.slice(i, j - i)) for i, j in zip(starts[:done].tolist(), ends[:done].tolist())]
-            held = whole.slice(int(starts[-1])).combine_chunks()
-            if found:
-                both = np.unique(np.column_stack([np.concatenate(x) for x in zip(*found)]), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["a", "b"])
-
-    names = ["shingle", "chunk", "slot", "key", "n", "label", "coarse", "fine"]
-    dealt = members.select(*names).repartition("shingle", "chunk").sortWithinPartitions("shingle", "chunk")
+        seen = set()
+        for trees in _runs(batches, by):
+            out: list[np.ndarray] = []
+            for tree in trees:
+                keys, n, labels = (tree.column(c).to_numpy() for c in names[3:])
+                for rows in near(tree):
+                    own = keys[rows].view(np.uint64)
+                    with np.errstate(over="ignore"):
+                        name = np.array([np.bitwise_xor.reduce(T.mix(own)), T.mix(own * _KEY_ODD).sum(dtype=np.uint64)]).view(np.int64)
+                    if (mark := name.tobytes()) not in seen:
+                        seen.add(mark)
+                        name = np.append(name, keys[rows].min())
+                        out.append(np.column_stack((np.tile(name, (len(rows), 1)), keys[rows], n[rows], labels[rows])))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c.copy()) for c in np.concatenate(out).T], names=names)
+
+    dealt = members.select(*by, "slot", "key", "n", "label", "coarse", "fine").repartition(*by).sortWithinPartitions(*by)
+    return dealt.mapInArrow(run, "x long, y long, first long, key long, n long, label long").distinct()
+
+
+def put_together(groups: DataFrame) -> DataFrame:
+    """(x, y, key, n, label): groups of ``near_groups`` that overlap are one, so that each set has to be sent once.
+
+    Where that would be more than CHUNK members, they stay the groups they are.
+    """
+    reached = stage(connected_components(groups.select(F.col("first").alias("a"), F.col("key").alias("b"))), "near-components")
+    small = reached.groupBy("component").agg(F.count("*").alias("members")).where(F.col("members") <= CHUNK).select("component")
+    both = groups.join(reached.join(small, "component").select(F.col("node").alias("key"), "component"), "key", "left")
+    return both.select(
+        F.coalesce("component", "x").alias("x"), F.when(F.col("component").isNull(), F.col("y")).otherwise(0).alias("y"), "key", "n", "label"
+    ).distinct()
+
+
+def group_links(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """The links (a, b: keys) that join the components of every group (x, y, key, n, label), by the exact rule.
+
+    A pair whose labels are joined by then is not compared, so a tree gives
+    fewer links than it has members. A task holds the sets of one tree at a time.
+    """
+    by = ("x", "y", "chunk")
+
+    def links(tree: pa.Table) -> Iterator[tuple[int, int]]:
+        keys, first = np.unique(tree.column("key").to_numpy(), return_index=True)
+        slot = tree.column("slot").to_numpy()[first]
+        _, one, of = np.unique(tree.column("label").to_numpy()[first], return_index=True, return_inverse=True)
+        if len(one) == 1:
+            return
+        column = tree.column("shingles")
+        own = [np.frombuffer(column[i].as_buffer(), np.uint64) for i in first.tolist()]
+        points = np.stack([counts_of(point(s, GROUPS), GROUPS) for s in own])
+        sizes = [len(s) for s in own]
+        fine = [point(s, finest(len(s))) for s in own]
+        joined = Joined(one[of].tolist())
+
+        def alike(i: int, j: int) -> bool:
+            return may_link(sizes[i], fine[i], sizes[j], fine[j]) and linked(own[i], own[j])
+
+        for x, y in Tree(points, np.array(sizes)).pairs():
+            keep = _across(slot, x, y)
+            for pair in joined.join_where(x[keep], y[keep], alike):
+                yield tuple(sorted(int(keys[i]) for i in pair))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for trees in _runs(batches, by):
+            if found := [pair for tree in trees for pair in links(tree)]:
+                a, b = zip(*found)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    trees = chunked(groups, ["x", "y"], F.greatest(F.count("*") / CHUNK, F.sum("n") * 8 / CHUNK_BYTES))
+    dealt = trees.join(sets, "key").select(*by, "slot", "key", "label", "shingles").repartition(*by).sortWithinPartitions(*by)
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -479,17 +566,17 @@ def representatives(groups: DataFrame, number: int) -> DataFrame:
     return each.join(first, "shingle").where("label <> main").select("a", "b").distinct()
 
 
-def chunked(members: DataFrame) -> DataFrame:
-    """Deals groups of more than CHUNK members into chunks, and gives every two chunks of a group a tree of their own.
+def chunked(members: DataFrame, by: list[str], size: Column) -> DataFrame:
+    """Deals groups into as many chunks as ``size`` (an aggregate) says, and gives every two chunks of a group a tree of their own.
 
     Adds chunk (which tree) and slot (which side; -1 in a chunk's own tree).
     """
-    sizes = members.groupBy("shingle").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    sizes = members.groupBy(*by).agg(F.ceil(size).cast("int").alias("chunks"))
     own = F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int")
     each = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda o: F.when(
         o == F.col("own"), F.struct((o * F.col("chunks") + o).cast("long").alias("chunk"), F.lit(-1).alias("slot"))
     ).otherwise(F.struct((F.least(o, F.col("own")) * F.col("chunks") + F.greatest(o, F.col("own"))).cast("long").alias("chunk"), F.col("own").alias("slot"))))
-    return members.join(sizes, "shingle").withColumn("own", own).withColumn("at", F.explode(each)).select(*members.columns, "at.chunk", "at.slot")
+    return members.join(sizes, by).withColumn("own", own).withColumn("at", F.explode(each)).select(*members.columns, "at.chunk", "at.slot")
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -526,13 +613,16 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
         groups = open_groups(groups, labels)
 
     some = points.dropDuplicates(["key"])
-    possible = stage(tree_pairs(chunked(one_of_each(groups).join(some, "key"))), "possible")
-    wanted = stand.join(possible.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key", "left_semi").select("doc_id")
+    trees = chunked(one_of_each(groups).join(some, "key"), ["shingle"], F.count("*") / CHUNK)
+    apart = stage(near_groups(trees), "near-groups")
+    near = stage(put_together(apart), "near")
+    release(apart)
+    wanted = stand.join(near.select("key").distinct(), "key", "left_semi").select("doc_id")
     sets = stage(_sets_of(docs, wanted, [], "", words).select("key", "shingles"), "tree-sets")
-    more = stage(verify(possible, sets).distinct(), "tree-links")
+    more = stage(group_links(near, sets), "tree-links")
 
     reached = connected_components(links.unionByName(more))
-    release(members, groups, sets, possible, links, labels, more)
+    release(members, groups, sets, near, links, labels, more)
     classes = stage(
         sized.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
         .join(reached, F.col("key") == F.col("node"), "left").withColumn("class", F.coalesce("component", "key")).select("key", "doc_id", "class"), "classes"
