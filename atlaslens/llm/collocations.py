@@ -22,6 +22,12 @@ the windows that would go on there, and only words of some passing pair open one
 Buckets shared by several keys keep windows that are not needed, they never lose
 one; the counts themselves come from the streams alone. Where every bucket is
 full, at some 10**11 words, nothing is saved, with the same result.
+
+Equal windows are merged within a task, over all it reads, as long as the
+different ones are few enough to keep. A common window still leaves every task,
+so the windows are cut out in as many tasks as there are cores: with a task for
+each part of the input, both the tasks and the common windows would grow with
+it, and the rows with their product.
 """
 
 from __future__ import annotations
@@ -45,7 +51,8 @@ UNKNOWN = "und"
 WORD_BUCKETS, RUN_BUCKETS = 1 << 24, 1 << 27  # of words, and of pairs or triples; a bit each is broadcast: 2 and 16 MB
 RANGE = 1 << 18  # buckets that are added up together
 CHUNK = 1 << 17  # windows that are cut out at a time
-FLUSH = 1 << 20  # windows a task merges before it sends them
+FLUSH = 1 << 20  # windows a task merges at a time
+MERGED = 1 << 19  # different windows a task keeps before it sends them
 A_TASK = 1 << 14  # phrases of the count stream in one task
 SAMPLE = 1 << 14  # keys that its cuts are chosen from
 
@@ -263,25 +270,38 @@ def windows(docs: DataFrame, known: Filter) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merged: dict[str, pa.Table] = {}
         held: dict[str, list[pa.Array]] = {}
         size = 0
 
-        def flush() -> Iterator[pa.RecordBatch]:
+        def merge() -> int:
             for lang, parts in held.items():
                 found = pa.table({"phrase": pa.chunked_array(parts, pa.large_string())}).group_by("phrase", use_threads=False).aggregate([([], "count_all")])
+                found = found.select(["phrase", "count_all"]).rename_columns(["phrase", "n"])
+                if lang in merged:
+                    both = pa.concat_tables([merged[lang], found]).group_by("phrase", use_threads=False).aggregate([("n", "sum")])
+                    found = both.select(["phrase", "n_sum"]).rename_columns(["phrase", "n"])
+                merged[lang] = found
+            held.clear()
+            return sum(map(len, merged.values()))
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lang, found in merged.items():
                 for part in found.to_batches(max_chunksize=1 << 16):
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([lang] * len(part), pa.string()), part.column("phrase").cast(pa.string()), part.column("count_all"),
+                        pa.array([lang] * len(part), pa.string()), part.column("phrase").cast(pa.string()), part.column("n"),
                     ], names=["lang", "phrase", "n"])
-            held.clear()
+            merged.clear()
 
         for lang, words in _blocks(batches):
             for part in words.windows(*shared.value.passing(words, lang)):
                 held.setdefault(lang, []).append(part)
                 size += len(part)
                 if size >= FLUSH:
-                    yield from flush()
+                    if merge() >= MERGED:
+                        yield from flush()
                     size = 0
+        merge()
         yield from flush()
 
     return docs.mapInArrow(run, "lang string, phrase string, n long")
@@ -477,7 +497,9 @@ def mine(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
     for _ in range(3):
         bits, totals = sketch(texts, known, least)
         known.learn(bits)
-    found = stage(windows(texts, known), "windows")  # sorting reads them twice: for a sample, then whole
+    # Every task sends its own copy of a window, so there are as many tasks as cores, however many parts the input has.
+    found = windows(texts.coalesce(spark.sparkContext.defaultParallelism), known)
+    found = stage(found, "windows")  # sorting reads them twice: for a sample, then whole
     counts = stage(count_phrases(found, least), "counts")
     release(found)
     tasks = max(1, -(-counts.count() // A_TASK))

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from atlaslens.llm import collocations
 from atlaslens.llm import ngram_join as J
 from atlaslens.llm.components import connected_components
 
@@ -57,3 +58,50 @@ def test_a_run_of_rows_may_go_over_many_batches():
         batches = [pa.RecordBatch.from_pylist([{"s": s, "c": c} for s, c in rows[k : k + cut]]) for k in range(0, len(rows), cut)]
         found = [[tuple(r.values()) for r in run.to_pylist()] for runs in J._runs(iter(batches), ("s", "c")) for run in runs]
         assert found == [rows[:2], rows[2:5], rows[5:6], rows[6:]]
+
+
+def _windows(spark, monkeypatch, docs, least):
+    """The rows of the window stage, and the phrases."""
+    made = []
+
+    def stage(df, name):
+        staged = plain(df, name)
+        if name == "windows":
+            made.extend(tuple(r) for r in staged.select("lang", "phrase", "n").collect())
+        return staged
+
+    plain = collocations.stage
+    with monkeypatch.context() as m:
+        m.setattr(collocations, "stage", stage)
+        phrases = sorted(tuple(r) for r in collocations.mine(docs, least).collect())
+    return made, phrases
+
+
+def _texts(spark, count, parts):
+    rows = [(k, "en" if k % 3 else "fr", f"a b c d{k % 4}, e f{k % 3} g") for k in range(count)]
+    return spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(parts, "doc_id")
+
+
+def test_windows_do_not_grow_with_the_parts_of_the_input(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    few, expected = _windows(spark, monkeypatch, _texts(spark, 600, 1), 5)
+    many, phrases = _windows(spark, monkeypatch, _texts(spark, 600, 5 * cores), 5)
+    assert phrases == expected and phrases
+    assert len(few) == len({r[:2] for r in few}) and len(many) <= cores * len(few)
+    assert sum(r[2] for r in many) == sum(r[2] for r in few)
+
+
+@pytest.mark.parametrize("kept", [1, 1 << 19])
+def test_equal_windows_are_merged_over_all_that_a_task_reads(spark, monkeypatch, kept):
+    whole, expected = _windows(spark, monkeypatch, _texts(spark, 600, 1), 5)
+    monkeypatch.setattr(collocations, "FLUSH", 16)
+    monkeypatch.setattr(collocations, "MERGED", kept)  # with 1 they are sent each time
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows)
+    spark.conf.set(rows, "20")  # many blocks
+    try:
+        found, phrases = _windows(spark, monkeypatch, _texts(spark, 600, 1), 5)
+    finally:
+        spark.conf.set(rows, before)
+    assert phrases == expected
+    assert sorted(found) == sorted(whole) if kept > 1 else len(found) > len(whole)
